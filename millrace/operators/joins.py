@@ -28,14 +28,19 @@ def any_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
-def null_salt(keys: Sequence[str], columns: Sequence[str]) -> Column:
+def hashable(df: DataFrame) -> list[str]:
+    """Columns whose values Spark can hash (objects and maps cannot be)."""
+    return [f.name for f in df.schema.fields if f.dataType.typeName() not in ("variant", "map")]
+
+
+def null_salt(df: DataFrame, keys: Sequence[str]) -> Column:
     """0 for rows whose keys are all set; otherwise a bucket drawn from the row's content.
 
     Rows with a NULL key match nothing, yet a shuffle on the key alone would send every
     one of them to a single task. Used as an extra join key on both sides.
     """
     some_null = any_of([qcol(k).isNull() for k in keys])
-    bucket = F.pmod(F.xxhash64(*[qcol(c) for c in columns]), F.lit(NULL_BUCKETS))
+    bucket = F.pmod(F.xxhash64(*[qcol(c) for c in hashable(df)]), F.lit(NULL_BUCKETS))
     return F.when(some_null, bucket + 1).otherwise(F.lit(0)).cast("int")
 
 

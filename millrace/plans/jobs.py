@@ -534,7 +534,7 @@ def _recover_dataset(store: TableStore, row, items: DataFrame, run_at: datetime)
         error_flag=flag,
     )
     store.append(RUN_LOG, log, batch)
-    per_item = results.withColumns({"error_flag": flag, "seq": F.col("file"), "_aborted": aborted})
+    per_item = results.withColumns({"error_flag": flag, "seq": F.col("full"), "_aborted": aborted})
     settled = runlog.queue_outcomes(per_item)
     counted = per_item.groupBy("queue_id").agg((~F.bool_or("_aborted")).alias("counted"))
     return settled.join(counted, "queue_id").select("queue_id", "status", "note", "counted")
