@@ -44,7 +44,7 @@ FILE_ORACLE = {
     "wide_refresh": _WIDE,
     "stream_refresh": _WIDE,
     "dataset_run": """
-        SELECT event_type AS dataset, CASE WHEN event_type = 'error' THEN s.status ELSE 'LOADED' END AS status,
+        SELECT DISTINCT event_type AS dataset, CASE WHEN event_type = 'error' THEN s.status ELSE 'LOADED' END AS status,
                event_type = 'error' AS error_flag,
                CASE WHEN event_type = 'error' THEN count(*) ELSE 0 END AS errors_seen
         FROM events CROSS JOIN (VALUES ('LOAD_FAILED'), ('VALIDATION_ERROR')) s(status)

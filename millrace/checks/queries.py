@@ -272,7 +272,7 @@ def surrogate_key(spark, sf_dir):
     )
 
 
-def _line_object(spark, sf_dir):
+def _line_fields():
     c = F.col
     text = lambda x: x.cast("string")
     fields = {
@@ -286,8 +286,12 @@ def _line_object(spark, sf_dir):
         "T不良_05": F.when(c("l_tax") > 0.035, F.lit("")).otherwise(F.lit("NULL")),
         "T不良_06": F.concat(F.lit("-"), text(c("l_suppkey"))),
     }
+    return fields
+
+
+def _line_objects(spark, sf_dir, build):
     lines = table(spark, sf_dir, "lineitem")
-    return lines.select("l_orderkey", "l_linenumber", semistruct.build_object(fields).alias("raw_obj"))
+    return lines.select("l_orderkey", "l_linenumber", build(_line_fields()).alias("raw_obj"))
 
 
 KNOWN_KEYS = ["時刻", "ラインNo.", "T投入数[個]"]
@@ -296,8 +300,8 @@ KNOWN_KEYS = ["時刻", "ラインNo.", "T投入数[個]"]
 def unpivot_numeric(spark, sf_dir):
     """Long rows of the numeric values of wide objects, known fields left out."""
     return semistruct.unpivot_numeric(
-        _line_object(spark, sf_dir),
-        semistruct.object_entries(F.col("raw_obj")),
+        _line_objects(spark, sf_dir, semistruct.build_map),
+        F.col("raw_obj"),
         ["l_orderkey", "l_linenumber"],
         KNOWN_KEYS,
     )
@@ -306,7 +310,7 @@ def unpivot_numeric(spark, sf_dir):
 def object_fields(spark, sf_dir):
     """Typed fields read back from objects by key."""
     obj = F.col("raw_obj")
-    return _line_object(spark, sf_dir).select(
+    return _line_objects(spark, sf_dir, semistruct.build_object).select(
         "l_orderkey",
         "l_linenumber",
         parse_timestamp(semistruct.object_text(obj, "時刻")).alias("stamp"),

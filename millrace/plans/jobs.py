@@ -240,17 +240,10 @@ def add_raw_objects(store: TableStore, rows: DataFrame, run_at: datetime, batch:
 
 
 def events_of(raw: DataFrame) -> DataFrame:
-    """Typed event per raw object. The objects are turned into a map once per row."""
-    entries = raw.select(
-        event_id(F.col("source_file_path"), F.col("source_row_number")).alias("event_id"),
-        "source_file_path",
-        "source_row_number",
-        semistruct.object_entries(F.col("raw_obj")).alias("_m"),
-        *[c for c in raw.columns if c == BATCH],
-    )
+    """Typed event per raw object."""
 
     def field(name: str, kind):
-        text = F.try_element_at("_m", F.lit(name))
+        text = F.try_element_at("raw_obj", F.lit(name))
         if kind == schemas.STAMP:
             return parse_timestamp(text)
         if kind == schemas.TEXT:
@@ -258,8 +251,8 @@ def events_of(raw: DataFrame) -> DataFrame:
         # numbers are whole here, also the rate that its column would give a decimal
         return parse_number(text).try_cast(kind)
 
-    return entries.select(
-        "event_id",
+    return raw.select(
+        event_id(F.col("source_file_path"), F.col("source_row_number")).alias("event_id"),
         "source_file_path",
         "source_row_number",
         *[field(name, kind).alias(name) for name, kind in schemas.PRODUCTION_FIELDS],
@@ -271,9 +264,7 @@ def defects_of(raw: DataFrame) -> DataFrame:
     """Long rows of the numeric values beside the known fields."""
     keyed = raw.withColumn("event_id", event_id(F.col("source_file_path"), F.col("source_row_number")))
     keep = ["event_id", "source_file_path", "source_row_number"] + [c for c in raw.columns if c == BATCH]
-    return semistruct.unpivot_numeric(
-        keyed, semistruct.object_entries(F.col("raw_obj")), keep, schemas.FIELD_KEYS
-    )
+    return semistruct.unpivot_numeric(keyed, F.col("raw_obj"), keep, schemas.FIELD_KEYS)
 
 
 def normalize_events(
@@ -293,12 +284,13 @@ def normalize_events(
         present = set(store.batches(table))
         now = F.lit(run_at).cast("timestamp_ntz")
         if not present or (batches is not None and not present & set(batches)):
-            # nothing to match: a plain write without any shuffle on the key
-            merged = rows.withColumns({"created_at": now, "updated_at": now})
+            # nothing to match: a plain write, no shuffle
+            fresh = rows.withColumns({"created_at": now, "updated_at": now})
+            store.merge_batches(table, fresh, deal=batches is None)
         else:
             target = store.read(table, batches, with_batch=True)
             merged = merge.upsert(target, rows, [*keys, BATCH], run_at)
-        store.merge_batches(table, merged)
+            store.merge_batches(table, merged, deal=batches is None)
     return "OK"
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from millrace import session
 from millrace.functions import null_tokens, parse_date, parse_time_text, parse_timestamp, qcol
+from millrace.operators.semistruct import build_map
 from millrace.sources.formats import CsvFormat, charset
 from millrace.sources.schemas import TIME
 
@@ -351,10 +352,8 @@ def validation_errors(rows: DataFrame) -> DataFrame:
 
 def read_csv_as_object(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of text columns named ``keys`` as one object each, NULL values included."""
-    from millrace.operators.semistruct import build_object
-
     return data_rows(rows).select(
         F.col("file").alias("source_file_path"),
         F.col("row_number").cast("decimal(38,0)").alias("source_row_number"),
-        build_object({k: qcol(k) for k in keys}).alias("raw_obj"),
+        build_map({k: qcol(k) for k in keys}).alias("raw_obj"),
     )

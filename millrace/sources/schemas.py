@@ -171,7 +171,7 @@ _COLUMNS = {
     "PROD_LOG_FH_RAW": [
         ("source_file_path", TEXT),
         ("source_row_number", num()),
-        ("raw_obj", T.VariantType()),
+        ("raw_obj", T.MapType(TEXT, TEXT)),
         ("loaded_at", STAMP),
     ],
     "PROD_LOG_FH": [("event_id", TEXT), ("source_file_path", TEXT), ("source_row_number", num())]

@@ -100,12 +100,15 @@ class TableStore:
         for old in versions[:-1]:
             self.drop_folder(f"{folder}/v={old}")
 
-    def merge_batches(self, name: str, df: DataFrame) -> None:
+    def merge_batches(self, name: str, df: DataFrame, deal: bool = True) -> None:
         """Replace exactly the batches present in ``df``; others are not rewritten.
 
-        The rows are dealt out by batch, and a large batch over several tasks.
+        ``deal`` first brings the rows of a batch together, a large batch in several
+        tasks, so that many batches do not end as one small file per task and batch.
         """
-        rows = self._declared(name, df, BATCH).hint("rebalance", BATCH)
+        rows = self._declared(name, df, BATCH)
+        if deal:
+            rows = rows.hint("rebalance", BATCH)
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             BATCH
         ).parquet(self.path(name))

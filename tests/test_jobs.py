@@ -172,7 +172,7 @@ def test_refresh_events(store, stage, incremental):
     assert jobs.refresh_events(store, T1, incremental) == "OK"
     raw = {int(r.source_row_number): r for r in store.read("PROD_LOG_FH_RAW").collect()}
     assert raw[1].source_file_path == name
-    keys = json.loads(raw[1].raw_obj.toJson())
+    keys = raw[1].raw_obj
     assert len(keys) == 60 and keys["T不良_05"] is None
     events, defects = wide(store)
     assert sorted(events) == [1, 2]
@@ -207,12 +207,12 @@ def test_normalize_keeps_defects_that_vanish(store, spark):
     raw = spark.createDataFrame([("f", 1, '{"T不良_01": "5"}')], "p string, n int, j string").select(
         F.col("p").alias("source_file_path"),
         F.col("n").alias("source_row_number"),
-        F.expr("to_variant_object(from_json(j, 'map<string,string>'))").alias("raw_obj"),
+        F.from_json("j", "map<string,string>").alias("raw_obj"),
         F.lit(T1).cast("timestamp_ntz").alias("loaded_at"),
     )
     store.append(jobs.RAW, raw, batch)
     jobs.normalize_events(store, T1)
-    store.append(jobs.RAW, raw.withColumn("raw_obj", F.expr("to_variant_object(map('T不良_01', 'gone', 'T不良_02', '1'))")), batch)
+    store.append(jobs.RAW, raw.withColumn("raw_obj", F.expr("map('T不良_01', 'gone', 'T不良_02', '1')")), batch)
     jobs.normalize_events(store, T2)
     rows = {r.defect_name: r for r in store.read(jobs.DEFECTS).collect()}
     assert rows["T不良_01"].defect_value == 5 and rows["T不良_01"].updated_at == T1
