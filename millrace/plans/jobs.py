@@ -18,6 +18,8 @@ from millrace.sources.store import BATCH, TableStore
 WIDE_LOCATION = "@MY_AZURE_STAGE/dataspider_dev/IoT/FH/Recv/"
 WIDE_PATTERN = r".*Prod_log/.*\.csv"
 WIDE_FORMAT = "FF_CSV_PROD_LOG_FH"
+# marks the history batch written before a raw batch
+STARTED = "-started"
 RAW, EVENTS, DEFECTS = "PROD_LOG_FH_RAW", "PROD_LOG_FH", "PROD_LOG_FH_DEFECT"
 # The four typed logs, their folders, format and error policy.
 TYPED_LOADS = {
@@ -228,15 +230,30 @@ def ingest_raw_objects(
 
 
 def add_raw_objects(store: TableStore, rows: DataFrame, run_at: datetime, batch: str) -> None:
-    """Insert numbered text rows that the raw table does not hold yet, as one batch."""
+    """Insert numbered text rows that the raw table does not hold yet, as one batch.
+
+    The load history names the batches that hold earlier rows of the same files. Usually
+    there are none and the rows are written as they come; otherwise only the keys of those
+    batches are read. Files are noted as started before any row is written, so rows of a
+    load that broke off are found as well.
+    """
     found = csv_files.read_csv_as_object(
         rows.where(F.col("_error").isNull()), schemas.WIDE_KEYS
     ).withColumn("loaded_at", F.lit(run_at).cast("timestamp_ntz"))
-    others = store.read(RAW, with_batch=True).where(F.col(BATCH) != batch)
-    keys = ["source_file_path", "source_row_number"]
-    fresh = merge.insert_new(others, found, keys, scope=["source_file_path"])
-    store.append(RAW, fresh, batch)
-    store.append("LOAD_HISTORY", quality.file_outcomes(rows, RAW, run_at), batch)
+    outcomes = quality.file_outcomes(rows, RAW, run_at)
+    start = batch + STARTED
+    past = store.read("LOAD_HISTORY", with_batch=True).where(
+        (F.col("target_table") == RAW) & ~F.col(BATCH).isin(batch, start)
+    )
+    earlier = past.join(rows.select("file").distinct(), "file", "left_semi").select(BATCH).distinct()
+    # batch ids of re-delivered files only
+    earlier = sorted({r[BATCH].removesuffix(STARTED) for r in earlier.toLocalIterator()})
+    store.append("LOAD_HISTORY", outcomes.withColumn("status", F.lit("STARTED")), start)
+    if earlier:
+        keys = ["source_file_path", "source_row_number"]
+        found = merge.insert_new(store.read(RAW, earlier), found, keys, scope=["source_file_path"])
+    store.append(RAW, found, batch)
+    store.append("LOAD_HISTORY", outcomes, batch)
 
 
 def events_of(raw: DataFrame) -> DataFrame:
@@ -277,6 +294,7 @@ def normalize_events(
     is rewritten: a raw row never leaves its batch, so neither do its event and defects.
     """
     raw = store.read(RAW, batches, with_batch=True)
+    several = len(store.batches(RAW) if batches is None else batches) > 1
     for table, rows, keys in (
         (EVENTS, events_of(raw), ["event_id"]),
         (DEFECTS, defects_of(raw), ["event_id", "defect_name"]),
@@ -286,11 +304,11 @@ def normalize_events(
         if not present or (batches is not None and not present & set(batches)):
             # nothing to match: a plain write, no shuffle
             fresh = rows.withColumns({"created_at": now, "updated_at": now})
-            store.merge_batches(table, fresh, deal=batches is None)
+            store.merge_batches(table, fresh, deal=several)
         else:
             target = store.read(table, batches, with_batch=True)
             merged = merge.upsert(target, rows, [*keys, BATCH], run_at)
-            store.merge_batches(table, merged, deal=batches is None)
+            store.merge_batches(table, merged, deal=several)
     return "OK"
 
 
