@@ -98,14 +98,35 @@ _TABLES = {
                p_retailprice > 950 AS is_active
         FROM part""",
 }
+
+
+def _unique(name: str, keys: str, rest: str) -> str:
+    """One row per key: the least of the remaining columns, taken together."""
+    first = ", ".join(f"{c} NULLS FIRST" for c in rest.split(", "))
+    return f"""SELECT * FROM ({_TABLES[name]})
+        QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {first}) = 1"""
+
+
+_UNIQUE = {
+    "vbap": _unique(
+        "vbap",
+        "mandt, vbeln, posnr",
+        "matnr, arktx, kdmat, bstkd_ana, berid, zzsection, vkorg_ana, erdat, lgort, umziz",
+    ),
+    "vbpa": _unique("vbpa", "mandt, vbeln, posnr, parvw", "assigned_bp, adrnr, land1"),
+    "vbep": _unique(
+        "vbep", "mandt, vbeln, posnr, etenr", "wmeng, dlvqty_su, edatu, mbdat, wadat, req_dlvdate"
+    ),
+    "eket": _unique("eket", "ebeln, ebelp, etenr", "eindt"),
+}
 _NEEDS = {"flagged": ["run_log"]}
 
 
-def _with(names: str, body: str) -> str:
+def _with(names: str, body: str, tables: dict[str, str] = _TABLES) -> str:
     wanted: list[str] = []
     for name in names.split():
         wanted += [n for n in (*_NEEDS.get(name, []), name) if n not in wanted]
-    return "WITH " + ",\n".join(f"{n} AS ({_TABLES[n]})" for n in wanted) + body
+    return "WITH " + ",\n".join(f"{n} AS ({tables[n]})" for n in wanted) + body
 
 
 def _partner(role: str, prefix: str, document: list[str]) -> str:
@@ -175,62 +196,8 @@ def _digest(groups: str, files: str) -> str:
     )
 
 
-ORACLE = {
-    "open_schedule": _with(
-        "vbep",
-        f""" SELECT mandt, vbeln, posnr, soqty::DECIMAL(18,2) AS soqty, dlvqty::DECIMAL(18,2) AS dlvqty,
-                    openqty::DECIMAL(18,2) AS openqty, max_line FROM ({_OPEN})""",
-    ),
-    "last_schedule_line": _with(
-        "vbep",
-        f""" SELECT o.mandt, o.vbeln, o.posnr, o.max_line, v.edatu, v.mbdat, v.wadat
-             FROM ({_OPEN}) o LEFT JOIN vbep v
-               ON v.mandt = o.mandt AND v.vbeln = o.vbeln AND v.posnr = o.posnr AND v.etenr = o.max_line""",
-    ),
-    "partner_fallback": _with(
-        "vbep vbpa",
-        f""" SELECT i.mandt, i.vbeln, i.posnr, {_pick('ag', 'assigned_bp', 'sold_to_bp')},
-                    {_pick('ag', 'adrnr', 'sold_to_addr')}
-             FROM vbep i {_partner('AG', 'ag', ['mandt', 'vbeln'])}""",
-    ),
-    "partner_three_roles": _with(
-        "vbep vbpa",
-        f""" SELECT i.mandt, i.vbeln, i.posnr, {_picks('zr')}
-             FROM vbep i {_partner('AG', 'ag', ['mandt', 'vbeln'])}
-             {_partner('WE', 'we', ['mandt', 'vbeln'])} {_partner('ZR', 'zr', ['mandt', 'vbeln'])}""",
-    ),
-    "name_lookup": _with(
-        "vbpa adrc",
-        """ SELECT p.mandt, p.vbeln, p.posnr, p.adrnr AS first_addr,
-                   CASE WHEN p.parvw = 'AG' THEN p.adrnr END AS second_addr,
-                   a.name1 AS first_name, b.name1 AS second_name
-            FROM vbpa p
-            LEFT JOIN adrc a ON a.addrnumber = p.adrnr AND a.client = p.mandt
-            LEFT JOIN adrc b ON b.addrnumber = CASE WHEN p.parvw = 'AG' THEN p.adrnr END AND b.client = p.mandt""",
-    ),
-    "flow_hop": _with(
-        "vbep vbfa",
-        """ SELECT i.mandt, i.vbeln, i.posnr, f.vbeln AS po_vbeln, f.posnn AS po_posnn
-            FROM vbep i LEFT JOIN vbfa f ON f.mandt = i.mandt AND f.vbelv = i.vbeln AND f.posnv = i.posnr
-            WHERE f.vbtyp_v = 'C' AND f.vbtyp_n = 'V'""",
-    ),
-    "transformed_key_join": _with(
-        "vbfa eket",
-        """ SELECT f.vbeln, f.posnn, f.vbeln AS ebeln, substr(f.posnn, 2, 5) AS ebelp, e.eindt
-            FROM vbfa f LEFT JOIN eket e
-              ON e.ebeln = f.vbeln AND e.ebelp = substr(f.posnn, 2, 5) AND e.etenr = '0001'""",
-    ),
-    "recent_changes": _with(
-        "cdhdr cdpos",
-        """ SELECT DISTINCT h.objectid AS vbeln, p.tabkey[14:19] AS posnr, p.tabkey[20:23] AS etenr, h.udate,
-                   p.value_old, p.value_new
-            FROM cdhdr h LEFT JOIN cdpos p ON p.changenr = h.changenr AND p.objectid = h.objectid
-            WHERE h.objectclas = 'VERKBELEG' AND h.mandant = '900' AND p.tabname = 'VBEP' AND p.fname = 'EDATU'
-              AND h.udate >= DATE '2001-07-02'""",
-    ),
-    "delivery_change_report": _with(
-        "cdhdr cdpos vbap vbpa vbep vbfa adrc",
-        f"""
+_CHANGE_TABLES = "cdhdr cdpos vbap vbpa vbep vbfa adrc"
+_CHANGES = f"""
         , changes AS (
           SELECT h.objectid AS vbeln, p.tabkey[14:19] AS posnr, p.tabkey[20:23] AS etenr, h.udate,
                  p.value_old AS vo, p.value_new AS vn
@@ -260,11 +227,9 @@ ORACLE = {
         FROM named n
         LEFT JOIN vbep s ON s.vbeln = n.vbeln AND s.posnr = n.posnr AND s.etenr = n.etenr
         JOIN vbfa f ON f.vbelv = n.vbeln AND f.posnv = n.posnr
-        WHERE f.vbtyp_n = 'V' AND f.vbtyp_v = 'C'""",
-    ),
-    "so_po_combination": _with(
-        "vbep vbap vbpa vbfa adrc ekes eket",
-        f"""
+        WHERE f.vbtyp_n = 'V' AND f.vbtyp_v = 'C'"""
+_COMBINATION_TABLES = "vbep vbap vbpa vbfa adrc ekes eket"
+_COMBINATION = f"""
         , o AS (SELECT * FROM ({_OPEN}) WHERE mandt = '900'),
         i AS (
           SELECT o.*, s.edatu, s.mbdat, s.wadat, v.* EXCLUDE (mandt, vbeln, posnr, berid)
@@ -293,8 +258,69 @@ ORACLE = {
         LEFT JOIN adrc b ON b.addrnumber = ship_to_addr AND b.client = p.mandt
         LEFT JOIN adrc c ON c.addrnumber = pic2_addr AND c.client = p.mandt
         LEFT JOIN ekes k ON k.ebeln = f.vbeln AND k.ebelp = f.posnn[2:6] AND k.ebtyp = 'AB'
-        LEFT JOIN eket t ON t.ebeln = f.vbeln AND t.ebelp = f.posnn[2:6] AND t.etenr = '0001'""",
+        LEFT JOIN eket t ON t.ebeln = f.vbeln AND t.ebelp = f.posnn[2:6] AND t.etenr = '0001'"""
+_ONE_CLIENT = {
+    n: f"SELECT * FROM ({sql}) WHERE mandt = '900'" if n in ("vbap", "vbpa", "vbep", "vbfa") else sql
+    for n, sql in {**_TABLES, **_UNIQUE}.items()
+}
+
+ORACLE = {
+    "open_schedule": _with(
+        "vbep",
+        f""" SELECT mandt, vbeln, posnr, soqty::DECIMAL(18,2) AS soqty, dlvqty::DECIMAL(18,2) AS dlvqty,
+                    openqty::DECIMAL(18,2) AS openqty, max_line FROM ({_OPEN})""",
+    ),
+    "last_schedule_line": _with(
+        "vbep",
+        f""" SELECT o.mandt, o.vbeln, o.posnr, o.max_line, v.edatu, v.mbdat, v.wadat
+             FROM ({_OPEN}) o LEFT JOIN vbep v
+               ON v.mandt = o.mandt AND v.vbeln = o.vbeln AND v.posnr = o.posnr AND v.etenr = o.max_line""",
+    ),
+    "partner_fallback": _with(
+        "vbep vbpa",
+        f""" SELECT i.mandt, i.vbeln, i.posnr, {_pick('ag', 'assigned_bp', 'sold_to_bp')},
+                    {_pick('ag', 'adrnr', 'sold_to_addr')}
+             FROM vbep i {_partner('AG', 'ag', ['mandt', 'vbeln'])}""",
+    ),
+    "partner_three_roles": _with(
+        "vbep vbpa",
+        f""" SELECT i.mandt, i.vbeln, i.posnr, {_picks('zr')}
+             FROM vbep i {_partner('AG', 'ag', ['mandt', 'vbeln'])}
+             {_partner('WE', 'we', ['mandt', 'vbeln'])} {_partner('ZR', 'zr', ['mandt', 'vbeln'])}""",
+    ),
+    "name_lookup": _with(
+        "vbpa adrc",
+        """ SELECT p.mandt, p.vbeln, p.posnr, p.adrnr AS first_addr,
+                   CASE WHEN p.parvw = 'AG' THEN p.adrnr END AS second_addr,
+                   a.name1 AS first_name, b.name1 AS second_name
+            FROM vbpa p
+            LEFT JOIN adrc a ON a.addrnumber = p.adrnr AND a.client = p.mandt
+            LEFT JOIN adrc b ON b.addrnumber = CASE WHEN p.parvw = 'AG' THEN p.adrnr END AND b.client = p.mandt""",
+    ),
+    "flow_hop": _with(
+        "vbep vbfa",
+        """ SELECT i.mandt, i.vbeln, i.posnr, f.vbeln AS po_vbeln, f.posnn AS po_posnn
+            FROM vbep i LEFT JOIN vbfa f ON f.mandt = i.mandt AND f.vbelv = i.vbeln AND f.posnv = i.posnr
+            WHERE f.vbtyp_v = 'C' AND f.vbtyp_n = 'V'""",
+    ),
+    "transformed_key_join": _with(
+        "vbfa eket",
+        """ SELECT f.vbeln, f.posnn, f.vbeln AS ebeln, substr(f.posnn, 2, 5) AS ebelp, e.eindt
+            FROM vbfa f LEFT JOIN eket e
+              ON e.ebeln = f.vbeln AND e.ebelp = substr(f.posnn, 2, 5) AND e.etenr = '0001'""",
+    ),
+    "recent_changes": _with(
+        "cdhdr cdpos",
+        """ SELECT DISTINCT h.objectid AS vbeln, p.tabkey[14:19] AS posnr, p.tabkey[20:23] AS etenr, h.udate,
+                   p.value_old, p.value_new
+            FROM cdhdr h LEFT JOIN cdpos p ON p.changenr = h.changenr AND p.objectid = h.objectid
+            WHERE h.objectclas = 'VERKBELEG' AND h.mandant = '900' AND p.tabname = 'VBEP' AND p.fname = 'EDATU'
+              AND h.udate >= DATE '2001-07-02'""",
     ),
+    "delivery_change_report": _with(_CHANGE_TABLES, _CHANGES),
+    "delivery_change_report_unique": _with(_CHANGE_TABLES, _CHANGES, _ONE_CLIENT),
+    "so_po_combination": _with(_COMBINATION_TABLES, _COMBINATION),
+    "so_po_combination_unique": _with(_COMBINATION_TABLES, _COMBINATION, {**_TABLES, **_UNIQUE}),
     "latest_per_key": """
         SELECT * FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",

@@ -115,15 +115,34 @@ def recent_changes(spark, sf_dir):
 
 
 def delivery_change_report(spark, sf_dir):
-    """The change report over the whole change history."""
+    """The change report over the whole change history, repeated keys allowed."""
     return reports.delivery_change_report(
-        shapes.erp_tables(spark, sf_dir), CLIENT, AS_OF, WHOLE_HISTORY_DAYS
+        shapes.erp_tables(spark, sf_dir), CLIENT, AS_OF, WHOLE_HISTORY_DAYS, unique_keys=False
     )
 
 
 def so_po_combination(spark, sf_dir):
-    """The sales-order / purchase-order list over all open items."""
-    out = reports.so_po_combination(shapes.erp_tables(spark, sf_dir), CLIENT)
+    """The sales-order / purchase-order list over all open items, repeated keys allowed."""
+    out = reports.so_po_combination(shapes.erp_tables(spark, sf_dir), CLIENT, unique_keys=False)
+    return _money(out, "SOQTY", "DLVQTY", "OpenQTY")
+
+
+def _one_client(tables):
+    """The change report matches documents without their client, so one client is kept."""
+    return {
+        n: t.where(F.col("mandt") == CLIENT) if "mandt" in t.columns else t for n, t in tables.items()
+    }
+
+
+def delivery_change_report_unique(spark, sf_dir):
+    """The change report over tables with unique keys."""
+    tables = _one_client(shapes.unique_tables(spark, sf_dir))
+    return reports.delivery_change_report(tables, CLIENT, AS_OF, WHOLE_HISTORY_DAYS)
+
+
+def so_po_combination_unique(spark, sf_dir):
+    """The combination list over tables with unique keys."""
+    out = reports.so_po_combination(shapes.unique_tables(spark, sf_dir), CLIENT)
     return _money(out, "SOQTY", "DLVQTY", "OpenQTY")
 
 
@@ -415,6 +434,8 @@ QUERIES = {
         recent_changes,
         delivery_change_report,
         so_po_combination,
+        delivery_change_report_unique,
+        so_po_combination_unique,
         latest_per_key,
         outcome_flags,
         error_log,

@@ -184,6 +184,24 @@ def erp_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {make.__name__: make(spark, sf_dir) for make in makers}
 
 
+def unique_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The same tables with one row per primary key, as an ERP system keeps them."""
+    tables = erp_tables(spark, sf_dir)
+    for name, keys in PRIMARY_KEYS.items():
+        rest = [c for c in tables[name].columns if c not in keys]
+        whole = F.min(F.struct(*rest)).alias("_row")
+        tables[name] = tables[name].groupBy(*keys).agg(whole).select(*keys, "_row.*")
+    return tables
+
+
+PRIMARY_KEYS = {
+    "vbap": ["mandt", "vbeln", "posnr"],
+    "vbpa": ["mandt", "vbeln", "posnr", "parvw"],
+    "vbep": ["mandt", "vbeln", "posnr", "etenr"],
+    "eket": ["ebeln", "ebelp", "etenr"],
+}
+
+
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as the outcome of loading one file; users' files fail repeatedly."""
     kind = F.col("event_type")
