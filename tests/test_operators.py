@@ -1,0 +1,398 @@
+"""Operators on small hand-made frames, most against brute force in Python."""
+
+import datetime as dt
+import random
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from millrace.functions import (
+    base_name,
+    dash_date,
+    event_id,
+    null_tokens,
+    parse_date,
+    parse_number,
+    parse_time_text,
+    parse_timestamp,
+    split_target,
+    text_after,
+)
+from millrace.operators import joins, lookup, merge, runlog, semistruct
+from millrace.plans import reports
+from millrace.sources import config
+
+NOW, OLD = dt.datetime(2024, 2, 1), dt.datetime(2024, 1, 1)
+
+
+def rows(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def frame(spark, data, schema):
+    return spark.createDataFrame(list(data), schema)
+
+
+def left_join(left, right, n):
+    """Left join on the first ``n`` fields, NULL matching nothing."""
+    out = Counter()
+    width = len(right[0]) - n if right else 1
+    for row in left:
+        key = row[:n]
+        found = [] if None in key else [r[n:] for r in right if r[:n] == key]
+        for match in found or [(None,) * width]:
+            out[(*row, *match)] += 1
+    return out
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 7))
+def test_fanout_left_join(spark, seed, rows_per_salt):
+    """A third of each side sits on one key, with copies and NULLs."""
+    rnd = random.Random(seed)
+    key = lambda: rnd.choice(["hot", "hot", rnd.choice("abcdef"), rnd.choice(["x", "y"]), None])
+    left = [(key(), i) for i in range(12)]
+    right = [(key(), rnd.choice(["p", "p", "q", None, str(rnd.random())])) for _ in range(40)]
+    got = joins.fanout_left_join(
+        frame(spark, left, "k string, i int"), frame(spark, right, "k string, v string"), ["k"], rows_per_salt
+    )
+    assert rows(got) == left_join(left, right, 1)
+
+
+def test_fanout_spreads_a_hot_key(spark):
+    """With salts no task joins more than a part of the hot key's matches."""
+    left = spark.range(1).select(F.lit("hot").alias("k"), "id")
+    right = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
+    joined = joins.fanout_left_join(left, right, ["k"], 100)
+    assert joined.count() == 4000
+    copies = spark.range(4000).select(F.lit("hot").alias("k"), F.lit("same").alias("v"))
+    assert joins.fanout_left_join(left, copies, ["k"], 100).count() == 4000
+    empty = right.where("v < 0")
+    assert joins.fanout_left_join(left, empty, ["k"], 100).collect()[0].v is None
+
+
+PARTNER = "vbeln string, posnr string, parvw string, assigned_bp string, adrnr string"
+ROLES = {"AG": {"assigned_bp": "bp", "adrnr": "addr"}}
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_partner_is_decided_per_document(spark, unique):
+    items = frame(
+        spark,
+        [("d1", "10"), ("d1", "20"), ("d2", "10"), ("d3", "10"), ("d4", "10"), ("d5", "000000"), (None, "10")],
+        "vbeln string, posnr string",
+    )
+    partners = frame(
+        spark,
+        [
+            ("d1", "10", "AG", "line", "L"),
+            ("d1", "000000", "AG", "head", "H"),
+            ("d2", "000000", "AG", "head2", "H2"),
+            ("d2", "10", "WE", "other role", "X"),
+            ("d3", "10", "AG", "line3", None),
+            ("d3", "000000", "AG", "head3", "H3"),
+            ("d5", "10", "AG", "line5", "L5"),
+            ("d5", "000000", "AG", "head5", "H5"),
+            ("d4", None, "AG", "no item", "N"),
+        ],
+        PARTNER,
+    )
+    got = lookup.with_partners(items, partners, ROLES, ["vbeln"], unique_partners=unique)
+    assert rows(got) == Counter(
+        {
+            ("d1", "10", "line", "L"): 1,
+            ("d1", "20", None, None): 1,  # the document has an item-level partner elsewhere
+            ("d2", "10", "head2", "H2"): 1,
+            ("d3", "10", "line3", None): 1,  # the header's address is not mixed in
+            ("d4", "10", None, None): 1,
+            ("d5", "000000", None, None): 1,
+            (None, "10", None, None): 1,
+        }
+    )
+
+
+def test_repeated_partners(spark):
+    items = frame(spark, [("d1", "10"), ("d2", "10")], "vbeln string, posnr string")
+    partners = frame(
+        spark,
+        [("d1", "10", "AG", "a", "1"), ("d1", "10", "AG", "b", "2"), ("d2", "000000", "AG", "c", "3"), ("d2", "000000", "AG", "c", "3")],
+        PARTNER,
+    )
+    got = lookup.with_partners(items, partners, ROLES, ["vbeln"], unique_partners=False)
+    assert rows(got) == Counter({("d1", "10", "a", "1"): 1, ("d1", "10", "b", "2"): 1, ("d2", "10", "c", "3"): 2})
+    with pytest.raises(PySparkException, match="repeated partners"):
+        lookup.with_partners(items, partners, ROLES, ["vbeln"]).collect()
+
+
+def test_open_schedule(spark):
+    lines = frame(
+        spark,
+        [
+            ("d", "10", "0001", 5, 5),
+            ("d", "10", "0002", 3, 1),
+            ("d", "20", "0001", 5, 5),  # nothing open
+            ("d", "30", "0001", None, None),  # NULL difference
+            ("d", "40", "0009", 5, None),
+            ("d", "50", None, 2, 1),
+        ],
+        "vbeln string, posnr string, etenr string, wmeng int, dlvqty_su int",
+    )
+    got = lookup.open_schedule(lines, ["vbeln", "posnr"])
+    assert rows(got) == Counter({("d", "10", 8, 6, 2, "0002"): 1, ("d", "50", 2, 1, 1, None): 1})
+    dated = lines.withColumn("edatu", F.col("wmeng"))
+    last = lookup.last_line(got, dated, ["vbeln", "posnr"], ["edatu"], unique_lines=False)
+    assert {(r.posnr, r.edatu) for r in last.collect()} == {("10", 3), ("50", None)}
+
+
+def test_names_of_missing_addresses(spark):
+    df = frame(spark, [("1", "a"), ("2", None), ("3", "zz")], "id string, addr string")
+    names = frame(spark, [("a", "Anna"), (None, "nobody")], "addrnumber string, name1 string")
+    got = lookup.with_names(df, names, {"addr": "name"}, spread_by=["id"])
+    assert rows(got) == Counter({("1", "a", "Anna"): 1, ("2", None, None): 1, ("3", "zz", None): 1})
+
+
+def test_null_salt_spreads_rows_without_key(spark):
+    df = spark.range(2000).select(F.lit(None).cast("string").alias("k"), "id")
+    salted = df.select(joins.null_salt(df, ["k"]).alias("s"))
+    assert salted.distinct().count() > 500
+    full = df.withColumn("k", F.lit("x"))
+    assert full.select(joins.null_salt(full, ["k"]).alias("s")).distinct().count() == 1
+
+
+def upsert_target(spark):
+    return frame(
+        spark,
+        [("k1", 1, "old", OLD, OLD), ("k2", 2, "old", OLD, OLD), (None, 3, "old", OLD, OLD)],
+        "k string, v int, kept string, created_at timestamp_ntz, updated_at timestamp_ntz",
+    )
+
+
+def test_upsert(spark):
+    source = frame(spark, [("k1", None), ("k9", 9), (None, 7), (None, 7)], "k string, v int")
+    got = merge.upsert(upsert_target(spark), source, ["k"], NOW)
+    assert rows(got) == Counter(
+        {
+            ("k1", None, "old", OLD, NOW): 1,  # NULL overwrites, creation time stays
+            ("k2", 2, "old", OLD, OLD): 1,
+            (None, 3, "old", OLD, OLD): 1,  # a NULL key matches nothing
+            ("k9", 9, None, NOW, NOW): 1,
+            (None, 7, None, NOW, NOW): 2,
+        }
+    )
+    again = merge.upsert(got.where("k is not null"), source.where("k is not null"), ["k"], NOW)
+    assert rows(again) == rows(got.where("k is not null"))
+
+
+def test_upsert_rejects_two_rows_for_one(spark):
+    twice = frame(spark, [("k1", 5), ("k1", 6)], "k string, v int")
+    with pytest.raises(PySparkException, match="several source rows"):
+        merge.upsert(upsert_target(spark), twice, ["k"], NOW).collect()
+    new = frame(spark, [("k8", 5), ("k8", 6)], "k string, v int")
+    assert merge.upsert(upsert_target(spark), new, ["k"], NOW).count() == 5
+
+
+def test_upsert_needs_no_extra_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        source = frame(spark, [("k1", 5)], "k string, v int")
+        plan = merge.upsert(upsert_target(spark), source, ["k"], NOW)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_insert_new(spark):
+    target = frame(spark, [("f", 1, "a"), ("g", 1, "a")], "f string, n int, v string")
+    source = frame(spark, [("f", 1, "changed"), ("f", 2, "b"), ("h", 1, "c"), (None, 1, "d")], "f string, n int, v string")
+    for scope in ([], ["f"]):
+        got = merge.insert_new(target, source, ["f", "n"], scope)
+        assert rows(got) == Counter({("f", 2, "b"): 1, ("h", 1, "c"): 1, (None, 1, "d"): 1})
+
+
+def test_latest_per_key_limits_before_the_shuffle(spark):
+    df = frame(spark, [("hot", i % 500, i) for i in range(1000)], "k string, t long, id long")
+    got = merge.latest_per_key(df, ["k"], "t", ["id"])
+    assert rows(got) == Counter({("hot", 499, 999): 1})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+
+
+DIGEST = "file string, errors_seen long, first_error string, first_error_line long, first_error_character long"
+
+
+def brute_digest(data, limit=None):
+    bad = [r for r in data if r[1] and r[1] > 0]
+    entries = sorted(
+        (f, f"{f.rsplit('/', 1)[-1]} (line={'NULL' if line is None else line}, char={'NULL' if at is None else at}) : {e[:180]}")
+        for f, _, e, line, at in bad
+        if e is not None
+    )
+    text = "\n".join(e for _, e in entries[:limit])
+    if len(bad) > 5:
+        text += f"\n(+ {len(bad) - 5} more files...)"
+    return (len(bad), sum(r[1] or 0 for r in data), text[:2500] if bad else None)
+
+
+@pytest.mark.parametrize("count", [0, 1, 5, 6, 130, 400])
+@pytest.mark.parametrize("limit", [None, 5])
+def test_digest(spark, count, limit):
+    rnd = random.Random(count)
+    data = [
+        (f"in/f{i:04d}.csv", rnd.choice([1, 3]), rnd.choice(["", "x" * 300, "short", None]), rnd.choice([None, 7]), rnd.choice([None, 2]))
+        for i in range(count)
+    ] + [("in/good.csv", 0, None, None, None), ("in/unknown.csv", None, None, None, None)]
+    got = runlog.error_digest(frame(spark, data, DIGEST), max_files=limit).collect()
+    assert [tuple(r) for r in got] == [brute_digest(data, limit)]
+
+
+def test_digest_of_nothing(spark):
+    assert tuple(runlog.error_digest(frame(spark, [], DIGEST)).first()) == (0, 0, None)
+
+
+def test_flags_and_queue_outcome(spark):
+    cases = {
+        ("LOADED", 0): (0, False, False),
+        ("LOADED", 2): (2, True, True),
+        ("LOADED", None): (0, False, False),
+        ("LOAD_FAILED", None): (1, True, True),
+        ("LOAD_FAILED", 0): (0, True, True),
+        (None, None): (0, False, True),
+        ("", None): (0, False, True),
+        ("loaded", 0): (0, True, False),
+    }
+    df = frame(spark, cases, "status string, n int")
+    s, n = F.col("status"), F.col("n")
+    got = df.select("status", "n", runlog.outcome_errors(s, n), runlog.outcome_flag(s, n), runlog.recovery_flag(s, n))
+    assert {(r[0], r[1]): (r[2], r[3], r[4]) for r in got.collect()} == cases
+    results = frame(
+        spark,
+        [("a", 1, True, "first"), ("a", 2, True, "last"), ("a", 3, False, None), ("b", 1, True, None), ("c", 1, False, "fine")],
+        "queue_id string, seq int, error_flag boolean, first_error string",
+    )
+    assert rows(runlog.queue_outcomes(results)) == Counter(
+        {("a", "ERROR", "last"): 1, ("b", "ERROR", "LOAD_FAILED"): 1, ("c", "DONE", "OK"): 1}
+    )
+
+
+def test_unpivot(spark):
+    values = ["0", "12.7", "-12.5", "abc", "", "NULL", None, " 3 ", "1" * 19, "1" * 39]
+    entries = {f"k{i}": F.lit(v).cast("string") for i, v in enumerate(values)} | {"known": F.lit("5")}
+    df = spark.range(1).withColumn("m", semistruct.build_map(entries))
+    got = semistruct.unpivot_numeric(df, F.col("m"), ["id"], ["known"])
+    assert rows(got) == Counter(
+        {
+            (0, "k0", 0, "0"): 1,
+            (0, "k1", 13, "12.7"): 1,
+            (0, "k2", -13, "-12.5"): 1,
+            (0, "k7", 3, " 3 "): 1,
+            (0, "k8", None, "1" * 19): 1,  # too long for the column, not for a number
+        }
+    )
+    as_object = df.select(semistruct.object_entries(semistruct.build_object(entries)).alias("m"), F.col("m").alias("plain"))
+    row = as_object.first()
+    assert row.m == row.plain and row.m["k6"] is None
+
+
+def test_objects(spark):
+    keys = ["x.[個]", 'a"b', "it's", "a\"b'c"]
+    df = spark.range(1).select(semistruct.build_object({k: F.lit(k) for k in keys} | {"n": F.lit(None)}).alias("o"))
+    got = df.select(*[semistruct.object_text(F.col("o"), k) for k in [*keys, "n", "no"]])
+    assert tuple(got.first()) == (*keys, None, None)
+    row = spark.range(1).select("id", F.lit(None).cast("string").alias("empty"))
+    assert row.select(semistruct.row_as_object(row).alias("r")).first().r.toJson() == '{"empty":null,"id":0}'
+
+
+def one(spark, *cols):
+    return tuple(spark.range(1).select(*cols).first())
+
+
+def test_text_and_parsing(spark):
+    lit = F.lit
+    assert one(spark, base_name(lit("a/b/c.csv")), base_name(lit("c.csv")), base_name(lit("a/"))) == ("c.csv", "c.csv", None)
+    assert one(spark, text_after(lit("@S/in/x/a"), lit("in/")), text_after(lit("@S/a"), lit("zz")), text_after(lit("@S/a"), lit(None).cast("string"))) == ("/x/a", "@S/a", "@S/a")
+    assert one(spark, dash_date(lit("20240131")), dash_date(lit(None))) == ("2024-01-31", None)
+    assert one(spark, event_id(lit(None).cast("string"), lit(1))) == (None,)
+    assert one(spark, *[parse_number(lit(v)) for v in ("12.7", "-12.5", "", "x", "1e3")]) == (13, -13, None, None, 1000)
+    stamp = dt.datetime(2024, 3, 10, 2, 30)
+    assert one(spark, parse_timestamp(lit("2024/03/10 02:30:00")), parse_timestamp(lit("2024-03-10 02:30:00")), parse_timestamp(lit("2024/02/30 00:00:00"))) == (stamp, None, None)
+    assert one(spark, parse_date(lit("31.12.2024"), "dd.MM.yyyy"), parse_date(lit("2024/1/2"))) == (dt.date(2024, 12, 31), None)
+    assert one(spark, parse_time_text(lit("23:59:59")), parse_time_text(lit("24:00:00")), parse_time_text(lit("1:00:00"))) == ("23:59:59", None, None)
+    assert one(spark, null_tokens(lit("NULL"), ["", "NULL"]), null_tokens(lit("x"), [""]), null_tokens(lit("x"), [])) == (None, "x", "x")
+    assert split_target("a.b.c") == ("a", "b", "c") and split_target("a") == ("a", "", "") and split_target(None) == ("", "", "")
+
+
+def test_wall_clock_is_free_of_the_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert one(spark, parse_timestamp(F.lit("2024/03/10 02:30:00"))) == (dt.datetime(2024, 3, 10, 2, 30),)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_paths(spark):
+    cases = {
+        ("S", None): "@S",
+        ("@S", ""): "@S",
+        ("S", "in"): "@S/in",
+        ("@S", "/in"): "@S/in",
+    }
+    df = frame(spark, cases, "stage string, sub string")
+    got = df.select("stage", "sub", config.dataset_path(F.col("stage"), F.col("sub")))
+    assert {(r[0], r[1]): r[2] for r in got.collect()} == cases
+    assert one(spark, config.recovery_path(F.lit("S"), F.lit("in/"), F.lit("//a.csv"))) == ("@S/in/a.csv",)
+
+
+def test_change_report_small(spark):
+    """Window edge, quirk of the purchase-order item, staged and lazy form alike."""
+    day = dt.date(2024, 1, 31)
+    tables = {
+        "cdhdr": frame(
+            spark,
+            [("900", "VERKBELEG", "c1", "d1", day - dt.timedelta(30)), ("900", "VERKBELEG", "c2", "d1", day - dt.timedelta(31)),
+             ("420", "VERKBELEG", "c3", "d1", day), ("900", "OTHER", "c4", "d1", day), ("900", "VERKBELEG", "c5", "d2", day)],
+            "mandant string, objectclas string, changenr string, objectid string, udate date",
+        ),
+        "cdpos": frame(
+            spark,
+            [(c, d, "VBEP", "EDATU", f"900{'0' * 8}{d}0000100001", None, "20240203") for c, d in (("c1", "d1"), ("c2", "d1"), ("c3", "d1"), ("c4", "d1"), ("c5", "d2"))],
+            "changenr string, objectid string, tabname string, fname string, tabkey string, value_old string, value_new string",
+        ),
+        "vbap": frame(spark, [("d1", "000010", "m", "text", "kd", "ref", "org")], "vbeln string, posnr string, matnr string, arktx string, kdmat string, bstkd_ana string, berid string"),
+        "vbpa": frame(spark, [("d1", "000000", "AG", "bp", "a1", "JP")], PARTNER + ", land1 string"),
+        "vbep": frame(spark, [("d1", "000010", "0001", day, day)], "vbeln string, posnr string, etenr string, req_dlvdate date, edatu date"),
+        "vbfa": frame(
+            spark,
+            [("d1", "000010", "po1", "000070", "C", "V"), ("d1", "000010", "po2", "000080", "C", "V"), ("d1", "000010", "dl", "000010", "C", "J")],
+            "vbelv string, posnv string, vbeln string, posnn string, vbtyp_v string, vbtyp_n string",
+        ),
+        "adrc": frame(spark, [("900", "a1", "Anna"), ("420", "a1", "other")], "client string, addrnumber string, name1 string"),
+    }
+    for staged in (False, True):
+        got = reports.delivery_change_report(tables, "900", day, stage_changes=staged).collect()
+        assert len(got) == 2 and [h for _, h in reports.CHANGE_HEADINGS] == got[0].__fields__
+        by_po = {r["Connected PO"]: r for r in got}
+        assert set(by_po) == {"po1", "po2"}
+        row = by_po["po1"]
+        assert row["Connected PO Item"] == "000010"  # the sales item
+        assert (row["Sold to CD"], row["Sold to name"], row["PIC2 Name"]) == ("bp", "Anna", None)
+        assert (row["Current MAD"], row["Previous MAD"]) == ("2024-02-03", None)
+        assert row["Current Delivery Date"] == day and row["CL"] == "m"
+
+
+def test_recovery_queue(spark):
+    errors = frame(
+        spark,
+        [("s", "a", "@S/in/x.csv", OLD), ("s", "a", "@S/in/x.csv", NOW), ("s", "b", "@S/y.csv", OLD), ("s", "a", None, NOW)],
+        "system string, dataset string, file_path string, run_at timestamp_ntz",
+    )
+    folders = frame(spark, [("s", "a", "/in"), ("s", "a", "/in")], "system string, dataset string, subpath string")
+    got = runlog.recovery_queue(errors, folders, NOW).collect()
+    assert {(r.dataset, r.pattern, r.status, r.force, r.enq_at) for r in got} == {
+        ("a", "//x.csv", "PENDING", True, NOW),
+        ("b", "@S/y.csv", "PENDING", True, NOW),
+    }
+    assert len(got) == 2 and len({r.queue_id for r in got}) == 2
