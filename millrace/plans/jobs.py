@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace import session
 from millrace.functions import base_name, event_id, parse_number, qcol, split_target
 from millrace.functions.parse import parse_timestamp
 from millrace.operators import merge, quality, runlog, semistruct
@@ -79,6 +80,13 @@ def _totals(outcomes: DataFrame) -> tuple[int, int]:
     return row.files, row.rows
 
 
+def _bad_rows(outcomes: DataFrame) -> LoadError:
+    first = outcomes.where(F.col("errors_seen") > 0).orderBy("file").first()
+    return LoadError(
+        LoadError.BAD_ROWS, f"{first.file} line {first.first_error_line}: {first.first_error}"
+    )
+
+
 def _history(store: TableStore, table: str, batch: str) -> DataFrame:
     """Load history without this batch's own rows, so a repeated batch sees the same files."""
     past = store.read("LOAD_HISTORY", with_batch=True)
@@ -103,22 +111,19 @@ def _load_paths(
     try:
         if collect_errors is not None:
             collect_errors(csv_files.validation_errors(rows))
-        outcomes = quality.file_outcomes(rows, table, run_at)
-        if on_error == "ABORT_STATEMENT":
-            files, errors = _totals(outcomes)
-            if files:
-                first = outcomes.where(F.col("errors_seen") > 0).orderBy("file").first()
-                raise LoadError(
-                    LoadError.BAD_ROWS, f"{first.file} line {first.first_error_line}: {first.first_error}"
-                )
+        # one row per file, kept as a table: read several times, and small enough for the
+        # planner to see that filtering rows by it needs no shuffle
+        outcomes = session.written(quality.file_outcomes(rows, table, run_at), f"{folder}/files")
+        files, errors = _totals(outcomes)
+        if files and on_error == "ABORT_STATEMENT":
+            raise _bad_rows(outcomes)
         good = csv_files.data_rows(rows)
+        if files:
+            good = quality.rows_of_good_files(good, outcomes)
         # outcomes go last: a load that stops half-way leaves its files pending
-        written = quality.rows_of_good_files(good, outcomes)
-        store.append(table, written, batch)
+        store.append(table, good, batch)
         store.append("LOAD_HISTORY", outcomes, batch)
-        kept = store.read("LOAD_HISTORY", [batch])
-        files, errors = _totals(kept)
-        return kept, files, errors
+        return store.read("LOAD_HISTORY", [batch]), files, errors
     finally:
         store.drop_folder(folder)
 
@@ -183,12 +188,9 @@ def _full_refresh(store, target, location, file_format, pattern, run_at) -> Load
     )
     rows, folder = csv_files.stage_rows(scanned, fmt)
     try:
-        outcomes = quality.file_outcomes(rows, table, run_at)
-        first = outcomes.where(F.col("errors_seen") > 0).orderBy("file").first()
-        if first:
-            raise LoadError(
-                LoadError.BAD_ROWS, f"{first.file} line {first.first_error_line}: {first.first_error}"
-            )
+        outcomes = session.written(quality.file_outcomes(rows, table, run_at), f"{folder}/files")
+        if _totals(outcomes)[0]:
+            raise _bad_rows(outcomes)
         store.replace(table, csv_files.data_rows(rows), _batch(run_at, table))
     finally:
         store.drop_folder(folder)
@@ -240,12 +242,13 @@ def add_raw_objects(store: TableStore, rows: DataFrame, run_at: datetime, batch:
     found = csv_files.read_csv_as_object(
         rows.where(F.col("_error").isNull()), schemas.WIDE_KEYS
     ).withColumn("loaded_at", F.lit(run_at).cast("timestamp_ntz"))
-    outcomes = quality.file_outcomes(rows, RAW, run_at)
+    listed = session.scratch_path(store.spark, "files")
+    outcomes = session.written(quality.file_outcomes(rows, RAW, run_at), listed)
     start = batch + STARTED
     past = store.read("LOAD_HISTORY", with_batch=True).where(
         (F.col("target_table") == RAW) & ~F.col(BATCH).isin(batch, start)
     )
-    earlier = past.join(rows.select("file").distinct(), "file", "left_semi").select(BATCH).distinct()
+    earlier = past.join(outcomes.select("file"), "file", "left_semi").select(BATCH).distinct()
     # batch ids of re-delivered files only
     earlier = sorted({r[BATCH].removesuffix(STARTED) for r in earlier.toLocalIterator()})
     store.append("LOAD_HISTORY", outcomes.withColumn("status", F.lit("STARTED")), start)
@@ -254,6 +257,7 @@ def add_raw_objects(store: TableStore, rows: DataFrame, run_at: datetime, batch:
         found = merge.insert_new(store.read(RAW, earlier), found, keys, scope=["source_file_path"])
     store.append(RAW, found, batch)
     store.append("LOAD_HISTORY", outcomes, batch)
+    store.drop_folder(listed)
 
 
 def events_of(raw: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on. Only joins whose skewed side Spark can split
 # are left to AQE; the others salt explicitly (operators/joins.py).
@@ -74,3 +74,13 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written below the shared folder and read back.
+
+    Cuts the lineage, and gives the planner the exact size of a small table: joins with it
+    are planned as broadcast joins from the start, or as shuffled joins when it is large.
+    """
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -267,29 +267,34 @@ def stage_rows(rows: DataFrame, fmt: CsvFormat) -> tuple[DataFrame, str]:
     ``line`` is the line in the file, ``row_number`` counts from 1 after the header.
     Header lines stay in, with a row number below 1, so that a file holding nothing else
     is still seen. Returns the rows and the folder to drop when done.
+
+    Numbering joins every row with the index of file splits. The index is a table of its
+    own, one short row per split, so the join needs no shuffle of the rows unless there
+    are very many splits; then it spreads evenly over them.
     """
     spark = rows.sparkSession
-    path = session.scratch_path(spark, "rows")
+    folder = session.scratch_path(spark, "rows")
     with session.conf_set(spark, spark__sql__legacy__javaCharsets="true"):
-        rows.write.parquet(path)
-    staged = spark.read.schema(rows.schema).parquet(path)
-    return number_rows(staged, fmt.skip_header), path
+        staged = session.written(rows, f"{folder}/rows")
+    splits = session.written(split_index(staged), f"{folder}/splits")
+    return number_rows(staged, splits, fmt.skip_header), folder
 
 
-def number_rows(staged: DataFrame, skip_header: int = 0) -> DataFrame:
-    """Line and row numbers from the order of lines within and between file splits."""
-    # one row per split: a file of any size is one row per split here, not one per line
+def split_index(staged: DataFrame) -> DataFrame:
+    """What to add to ``seq`` in each file split to get the line in the file."""
     splits = staged.groupBy("file", "block_start").agg(
         F.min("seq").alias("_first"), F.count(F.lit(1)).alias("_lines")
     )
+    # a file of any size is one row per split here, not one per line
     before = Window.partitionBy("file").orderBy("block_start").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    splits = splits.select(
-        "file",
-        "block_start",
-        (F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
-    )
+    shift = F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_first") + 1
+    return splits.select("file", "block_start", shift.alias("_shift"))
+
+
+def number_rows(staged: DataFrame, splits: DataFrame, skip_header: int = 0) -> DataFrame:
+    """Line and row numbers from the order of lines within and between file splits."""
     line = F.col("seq") + F.col("_shift")
     return (
         staged.join(splits, ["file", "block_start"])
