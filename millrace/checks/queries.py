@@ -39,7 +39,7 @@ def _money(df: DataFrame, *names: str) -> DataFrame:
 def open_schedule(spark, sf_dir):
     """Ordered, delivered and open quantity per sales item, open items only."""
     lines = shapes.vbep(spark, sf_dir)
-    return _money(lookup.open_schedule(lines, KEYS), "soqty", "dlvqty", "openqty")
+    return _money(lookup.open_schedule(lines, KEYS, line_width=4), "soqty", "dlvqty", "openqty")
 
 
 def last_schedule_line(spark, sf_dir):

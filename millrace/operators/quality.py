@@ -17,29 +17,30 @@ FILE_IDENTITY = ["file", "file_size", "file_modified_at"]
 def file_outcomes(rows: DataFrame, target: str, run_at: datetime) -> DataFrame:
     """One row per file of numbered rows: counts, first error and resulting status.
 
-    A file with any bad line loads nothing. Partial aggregation leaves one row per file and
-    task, however large the file.
+    A file with any bad line loads nothing. All rows go through a hash aggregation of
+    plain counts, which leaves one row per file and task however large the file; only bad
+    rows are looked at again for the text of the first error.
     """
     is_row = F.col("row_number") > 0
     bad = is_row & F.col("_error").isNotNull()
-    first = F.min_by(F.when(bad, F.struct("_error", "line")), F.when(bad, F.col("line")))
     totals = rows.groupBy(*FILE_IDENTITY).agg(
-        F.count_if(is_row).alias("rows_parsed"),
-        F.count_if(bad).alias("errors_seen"),
-        first.alias("_first"),
+        F.sum(is_row.cast("long")).alias("rows_parsed"),
+        F.sum(bad.cast("long")).alias("errors_seen"),
+        F.min(F.when(bad, F.col("line"))).alias("first_error_line"),
     )
+    firsts = rows.where(bad).groupBy("file").agg(F.min_by("_error", "line").alias("_first"))
     good = F.col("errors_seen") == 0
-    return totals.select(
+    return totals.join(firsts, "file", "left").select(
         F.lit(target).alias("target_table"),
         *FILE_IDENTITY,
         F.when(good, LOADED).otherwise(LOAD_FAILED).alias("status"),
         "rows_parsed",
         F.when(good, F.col("rows_parsed")).otherwise(0).cast("long").alias("rows_loaded"),
         "errors_seen",
-        F.col("_first._error.message").alias("first_error"),
-        F.col("_first.line").alias("first_error_line"),
-        F.col("_first._error.character").alias("first_error_character"),
-        F.col("_first._error.column_name").alias("first_error_column_name"),
+        F.col("_first.message").alias("first_error"),
+        "first_error_line",
+        F.col("_first.character").alias("first_error_character"),
+        F.col("_first.column_name").alias("first_error_column_name"),
         F.lit(run_at).cast("timestamp_ntz").alias("loaded_at"),
     )
 

@@ -142,6 +142,9 @@ def test_open_schedule(spark):
     )
     got = lookup.open_schedule(lines, ["vbeln", "posnr"])
     assert rows(got) == Counter({("d", "10", 8, 6, 2, "0002"): 1, ("d", "50", 2, 1, 1, None): 1})
+    assert rows(lookup.open_schedule(lines, ["vbeln", "posnr"], line_width=4)) == rows(got)
+    with pytest.raises(PySparkException, match="bytes wide"):
+        lookup.open_schedule(lines, ["vbeln", "posnr"], line_width=3).collect()
     dated = lines.withColumn("edatu", F.col("wmeng"))
     last = lookup.last_line(got, dated, ["vbeln", "posnr"], ["edatu"], unique_lines=False)
     assert {(r.posnr, r.edatu) for r in last.collect()} == {("10", 3), ("50", None)}
