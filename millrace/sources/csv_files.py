@@ -123,7 +123,7 @@ def _field_names(count: int) -> list[str]:
 
 
 def _options(fmt: CsvFormat) -> dict[str, str]:
-    options = {
+    return {
         "sep": fmt.delimiter,
         "quote": fmt.quote or "\u0000",
         "escape": fmt.quote or "\\",
@@ -134,26 +134,47 @@ def _options(fmt: CsvFormat) -> dict[str, str]:
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": "_bad",
     }
-    return options
 
 
-def _split_lines(lines: DataFrame, count: int, fmt: CsvFormat) -> DataFrame:
+def _quoted_fields(lines: DataFrame, count: int, fmt: CsvFormat) -> DataFrame:
     names = _field_names(count)
     ddl = ", ".join(f"{n} string" for n in names) + ", _bad string"
     parsed = lines.withColumn("_f", F.from_csv("_line", ddl, _options(fmt)))
-    blank = F.trim("_line") == ""
-    if fmt.skip_blank_lines:
-        parsed = parsed.where(~blank)
     # a blank line is one empty field
-    short = F.col("_f._bad").isNotNull() | (blank if count > 1 else F.lit(False))
-    return parsed.select(
+    short = F.col("_f._bad").isNotNull() | (F.trim("_line") == "" if count > 1 else F.lit(False))
+    return parsed.withColumn("_short", short).select(
+        *LINEAGE, "_line", "_short", *[F.col(f"_f.{n}").alias(n) for n in names]
+    )
+
+
+def _plain_fields(lines: DataFrame, count: int, fmt: CsvFormat) -> DataFrame:
+    """Fields of lines without quoting, where a backslash takes the next character as is."""
+    parts = lines.withColumn("_f", F.split("_line", r"(?<!\\)" + re.escape(fmt.delimiter)))
+
+    def field(i: int) -> Column:
+        text = F.get("_f", F.lit(i))
+        if fmt.trim:
+            text = F.trim(text)
+        spelled_null = text.isin(list(fmt.null_if)) if fmt.null_if else F.lit(False)
+        plain = F.when(
+            text.contains("\\") & ~spelled_null, F.regexp_replace(text, r"\\(.)", "$1")
+        ).otherwise(text)
+        return F.when(plain != "", plain)
+
+    return parts.select(
         *LINEAGE,
         "_line",
-        short.alias("_short"),
-        *[F.col(f"_f.{n}").alias(n) for n in names],
+        (F.size("_f") != count).alias("_short"),
+        *[field(i).alias(n) for i, n in enumerate(_field_names(count))],
     )
 
 
+def _split_lines(lines: DataFrame, count: int, fmt: CsvFormat) -> DataFrame:
+    if fmt.skip_blank_lines:
+        lines = lines.where(F.trim("_line") != "")
+    return (_quoted_fields if fmt.quote else _plain_fields)(lines, count, fmt)
+
+
 def _multi_line_fields(
     spark: SparkSession, paths, root: str, fmt: CsvFormat, count: int
 ) -> DataFrame:

@@ -102,6 +102,10 @@ def test_text_formats(spark, tmp_path):
     rows = read(spark, tmp_path / "stage", formats.STAGE_DEFAULT, columns).orderBy("line").collect()
     assert (rows[0].a, rows[0].b, rows[0].c) == (" x ", None, dt.date(2024, 2, 29))
     assert (rows[1].a, rows[1].b) == ('"q"', None) and rows[1]._error.column_name == "c"
+    write(tmp_path / "esc", "a.csv", "one\\,two,x,2024-01-01\none,two\n", "utf-8")
+    rows = read(spark, tmp_path / "esc", formats.STAGE_DEFAULT, columns).orderBy("line").collect()
+    assert (rows[0].a, rows[0].b, rows[0]._error) == ("one,two", "x", None)
+    assert "3 columns" in rows[1]._error.message
     write(tmp_path / "my", "a.csv", 'h,h,h\n"say ""hi""",,\n"",\\N,\n', "utf-8")
     rows = read(spark, tmp_path / "my", formats.named("MYFORMAT"), columns).orderBy("line").collect()
     assert [(r.a, r.b) for r in rows] == [('say "hi"', None), ("", None)]
