@@ -19,6 +19,16 @@ _WIDE = """
            e.v AS defect_value_raw
     FROM w WHERE e.v IS NOT NULL"""
 
+# good datasets log one load, the spoilt one logs each of the given steps
+_RUN = """
+    SELECT DISTINCT CASE WHEN event_type = 'error' THEN ('2024-02-01 ' || s.clock || ':00')::TIMESTAMP
+                         ELSE TIMESTAMP '2024-02-01 09:05:00' END AS run_at,
+           event_type AS dataset, CASE WHEN event_type = 'error' THEN s.status ELSE 'LOADED' END AS status,
+           event_type = 'error' AS error_flag,
+           CASE WHEN event_type = 'error' THEN count(*) ELSE 0 END AS errors_seen
+    FROM events CROSS JOIN (VALUES {statuses}) s(clock, status)
+    GROUP BY event_type, s.clock, s.status"""
+
 FILE_ORACLE = {
     "typed_load": _STOP,
     "full_refresh": _STOP,
@@ -43,10 +53,8 @@ FILE_ORACLE = {
             AND h.file_size = f.file_size AND h.stamp = f.stamp)""",
     "wide_refresh": _WIDE,
     "stream_refresh": _WIDE,
-    "dataset_run": """
-        SELECT DISTINCT event_type AS dataset, CASE WHEN event_type = 'error' THEN s.status ELSE 'LOADED' END AS status,
-               event_type = 'error' AS error_flag,
-               CASE WHEN event_type = 'error' THEN count(*) ELSE 0 END AS errors_seen
-        FROM events CROSS JOIN (VALUES ('LOAD_FAILED'), ('VALIDATION_ERROR')) s(status)
-        GROUP BY event_type, s.status""",
+    "dataset_run": _RUN.format(statuses="('09:05', 'LOAD_FAILED'), ('09:05', 'VALIDATION_ERROR')"),
+    "recovery_run": _RUN.format(
+        statuses="('09:05', 'LOAD_FAILED'), ('09:05', 'VALIDATION_ERROR'), ('10:00', 'LOAD_FAILED')"
+    ),
 }

@@ -319,6 +319,9 @@ ORACLE = {
     ),
     "delivery_change_report": _with(_CHANGE_TABLES, _CHANGES),
     "delivery_change_report_unique": _with(_CHANGE_TABLES, _CHANGES, _ONE_CLIENT),
+    "delivery_change_report_recent": _with(
+        _CHANGE_TABLES, _CHANGES.replace("DATE '2001-08-01' - 4000", "DATE '2001-07-02'"), _ONE_CLIENT
+    ),
     "so_po_combination": _with(_COMBINATION_TABLES, _COMBINATION),
     "so_po_combination_unique": _with(_COMBINATION_TABLES, _COMBINATION, {**_TABLES, **_UNIQUE}),
     "latest_per_key": """
@@ -368,6 +371,19 @@ ORACLE = {
     "error_digest": _digest("dataset", "TRUE"),
     "error_digest_short": _digest("user_id", "n <= 5"),
     "error_digest_all": _digest("", "TRUE"),
+    "warning_message": f"""
+        WITH d AS ({_digest("", "TRUE")}),
+        m AS (SELECT concat_ws(chr(10), '```', '[TASK_WARNING]', 'RESULT=SUCCESS_WITH_SKIPPED_FILES', 'TASK=UNKNOWN',
+                       'TARGET=DB.RAW.STOP_LOG', 'STAGE=NULL', 'FILE_FORMAT=NULL', 'PATTERN=NULL', 'ON_ERROR=SKIP_FILE',
+                       'COPY_QUERY_ID=NULL', 'COPY_STATUS=NULL', 'ERROR_FILE_COUNT=' || error_file_count,
+                       'ERROR_ROW_COUNT=' || error_row_count, 'ERROR_SAMPLE=', coalesce(error_sample, '(none)'),
+                       '```') AS message FROM d)
+        SELECT message, json_object('text', message)::VARCHAR AS body FROM m""",
+    "load_status": _with(
+        "run_log",
+        """ SELECT min(status) AS status, count(*) FILTER (WHERE errors_seen > 0) AS error_files,
+                   coalesce(sum(errors_seen), 0)::BIGINT AS error_rows FROM run_log""",
+    ),
     "event_upsert": """
         WITH t AS (SELECT * FROM customer WHERE c_mktsegment <> 'MACHINERY'),
         s AS (SELECT o_custkey, sum(o_totalprice::DECIMAL(18,2)) AS amount,

@@ -21,7 +21,7 @@ from millrace.functions import (
 )
 from millrace.operators import lookup, merge, runlog, semistruct
 from millrace.operators.joins import lookup_left_join
-from millrace.plans import reports
+from millrace.plans import jobs, reports
 from millrace.sources import config
 
 KEYS = ["mandt", "vbeln", "posnr"]
@@ -140,6 +140,12 @@ def delivery_change_report_unique(spark, sf_dir):
     return reports.delivery_change_report(tables, CLIENT, AS_OF, WHOLE_HISTORY_DAYS)
 
 
+def delivery_change_report_recent(spark, sf_dir):
+    """The change report of the last 30 days, filtering large tables by changed documents."""
+    tables = _one_client(shapes.unique_tables(spark, sf_dir))
+    return reports.delivery_change_report(tables, CLIENT, AS_OF, stage_changes=True)
+
+
 def so_po_combination_unique(spark, sf_dir):
     """The combination list over tables with unique keys."""
     out = reports.so_po_combination(shapes.unique_tables(spark, sf_dir), CLIENT)
@@ -227,6 +233,23 @@ def error_digest_all(spark, sf_dir):
     return runlog.error_digest(_outcomes(spark, sf_dir))
 
 
+def warning_message(spark, sf_dir):
+    """Warning text and JSON body about the bad files among all outcomes."""
+    return jobs.load_digest(_outcomes(spark, sf_dir), TARGET="DB.RAW.STOP_LOG", ON_ERROR="SKIP_FILE").select(
+        "message", "body"
+    )
+
+
+def load_status(spark, sf_dir):
+    """Least status, bad files and bad rows over all outcomes, as a load sums them up."""
+    errors = F.col("errors_seen")
+    return shapes.run_log(spark, sf_dir).agg(
+        F.min("status").alias("status"),
+        F.coalesce(F.sum((errors > 0).cast("long")), F.lit(0)).alias("error_files"),
+        F.coalesce(F.sum(errors), F.lit(0)).alias("error_rows"),
+    )
+
+
 def event_upsert(spark, sf_dir):
     """Customers outside one segment updated and extended by urgent-order totals."""
     old = datetime(2024, 1, 1)
@@ -435,6 +458,7 @@ QUERIES = {
         delivery_change_report,
         so_po_combination,
         delivery_change_report_unique,
+        delivery_change_report_recent,
         so_po_combination_unique,
         latest_per_key,
         outcome_flags,
@@ -444,6 +468,8 @@ QUERIES = {
         error_digest,
         error_digest_short,
         error_digest_all,
+        warning_message,
+        load_status,
         event_upsert,
         defect_upsert,
         insert_new,

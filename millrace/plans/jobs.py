@@ -15,8 +15,8 @@ from millrace.operators import merge, quality, runlog, semistruct
 from millrace.sources import config, csv_files, formats, schemas
 from millrace.sources.store import BATCH, TableStore
 
-# Where and how the wide production files arrive.
-WIDE_LOCATION = "@MY_AZURE_STAGE/dataspider_dev/IoT/FH/Recv/"
+# Where below the stage root, and how, the wide production files arrive.
+WIDE_LOCATION = "@MY_AZURE_STAGE/IoT/FH/Recv/"
 WIDE_PATTERN = r".*Prod_log/.*\.csv"
 WIDE_FORMAT = "FF_CSV_PROD_LOG_FH"
 # marks the history batch written before a raw batch
@@ -27,7 +27,7 @@ TYPED_LOADS = {
     name: {
         "target": name,
         "load_type": "APPEND",
-        "location": f"@MY_AZURE_STAGE/dataspider/IoT/Recv/{name}/",
+        "location": f"@MY_AZURE_STAGE/IoT/Recv/{name}/",
         "file_format": "FF_CSV_COMMON",
         "on_error": "SKIP_FILE",
     }

@@ -136,7 +136,7 @@ def test_typed_logs(store, stage, name):
     kinds = [k for _, k in schemas.columns(name)]
     line = ",".join(value(k) for k in kinds)
     spec = jobs.TYPED_LOADS[name]
-    write(stage, f"dataspider/IoT/Recv/{name}/a.csv", ",".join("h" * len(kinds)) + f"\n{line}\n{line}\n")
+    write(stage, f"IoT/Recv/{name}/a.csv", ",".join("h" * len(kinds)) + f"\n{line}\n{line}\n")
     result = jobs.load_table(store, **{**spec, "target": "TEST_" + name}, run_at=T1)
     assert result.status == "OK"
     rows = store.read("TEST_" + name)
@@ -161,14 +161,14 @@ def wide(store):
     return events, defects
 
 
-FOLDER = "dataspider_dev/IoT/FH/Recv/L1/Prod_log/"
+FOLDER = "IoT/FH/Recv/L1/Prod_log/"
 
 
 @pytest.mark.parametrize("incremental", [False, True])
 def test_refresh_events(store, stage, incremental):
     name = FOLDER + "a.csv"
     write(stage, name, "h\n" + wide_line(d01="0", d02="12.7", d03="abc", d04="NULL", d46="-3") + "short,N2\n")
-    write(stage, "dataspider_dev/IoT/FH/Recv/Other/a.csv", "h\n" + wide_line(d01="5"))
+    write(stage, "IoT/FH/Recv/Other/a.csv", "h\n" + wide_line(d01="5"))
     assert jobs.refresh_events(store, T1, incremental) == "OK"
     raw = {int(r.source_row_number): r for r in store.read("PROD_LOG_FH_RAW").collect()}
     assert raw[1].source_file_path == name
@@ -221,7 +221,7 @@ def test_normalize_keeps_defects_that_vanish(store, spark):
 
 def test_stream_takes_each_file_once(store, stage, tmp_path):
     checkpoint = str(tmp_path / "checkpoint")
-    place = "@MY_AZURE_STAGE/dataspider_dev/IoT/FH/Recv/"
+    place = "@MY_AZURE_STAGE/IoT/FH/Recv/"
     write(stage, FOLDER + "a.csv", "h\n" + wide_line(d01="1") + wide_line(d02="2"))
     assert refresh_from_stream(store, checkpoint, T1, place) == 1
     events, defects = wide(store)
