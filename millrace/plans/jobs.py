@@ -109,12 +109,12 @@ def _load_paths(
     scanned = csv_files.scan_rows(store.spark, paths, root, fmt, columns)
     rows, folder = csv_files.stage_rows(scanned, fmt)
     try:
-        if collect_errors is not None:
-            collect_errors(csv_files.validation_errors(rows))
         # one row per file, kept as a table: read several times, and small enough for the
         # planner to see that filtering rows by it needs no shuffle
         outcomes = session.written(quality.file_outcomes(rows, table, run_at), f"{folder}/files")
         files, errors = _totals(outcomes)
+        if collect_errors is not None:
+            collect_errors(csv_files.validation_errors(rows) if files else None)
         if files and on_error == "ABORT_STATEMENT":
             raise _bad_rows(outcomes)
         good = csv_files.data_rows(rows)
@@ -389,9 +389,12 @@ def run_datasets(store: TableStore, system: str, run_at: datetime) -> str:
 def _run_dataset(store: TableStore, row, run_at: datetime) -> None:
     batch = _batch(run_at, f"{row.system}_{row.dataset}")
     who = (row.system, row.dataset, row.target_table, run_at)
-    checked = []
+    logged = []
 
-    def log_errors(errors: DataFrame) -> None:
+    def log_errors(errors: DataFrame | None) -> None:
+        logged.append(True)
+        if errors is None:
+            return
         place = csv_files.resolve(row.base_path, store.stages)
         found = _log_rows(
             errors,
@@ -404,7 +407,6 @@ def _run_dataset(store: TableStore, row, run_at: datetime) -> None:
             error_flag=F.lit(True),
         )
         store.append(RUN_LOG, found, batch + "_check")
-        checked.append(True)
 
     try:
         place = csv_files.resolve(row.base_path, store.stages)
@@ -431,7 +433,7 @@ def _run_dataset(store: TableStore, row, run_at: datetime) -> None:
         )
     except Exception as error:  # noqa: BLE001 - one dataset must not stop the others
         log = _failure(store, *who, "LOAD_FAILED", error)
-        if not checked:
+        if not logged:
             log = _failure(store, *who, "VALIDATION_FAILED", error).unionByName(log)
     store.append(RUN_LOG, log, batch)
 

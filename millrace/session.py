@@ -19,6 +19,10 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Plans of wide tables have many columns, and noting the Python call site of each costs more
+# than building them. Read once per process, so it is set with the session.
+BUILD_CONF = {**RUNTIME_CONF, "spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that already exists."""
@@ -31,7 +35,7 @@ def build(app: str = "millrace", master: str | None = None, **conf) -> SparkSess
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**BUILD_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
