@@ -37,7 +37,7 @@ FILE_ORACLE = {
                count(*) AS rows_parsed, CASE WHEN event_type = 'error' THEN 0 ELSE count(*) END AS rows_loaded,
                CASE WHEN event_type = 'error' THEN count(*) ELSE 0 END AS errors_seen,
                CASE WHEN event_type = 'error' THEN '{_BAD_COLUMN}' END AS bad_column,
-               CASE WHEN event_type = 'error' THEN 2 END AS first_line
+               CASE WHEN event_type = 'error' THEN 2::BIGINT END AS first_line
         FROM events GROUP BY event_type""",
     "rows_of_good_files": f"{_STOP} WHERE event_type <> 'error'",
     "validation_errors": f"""

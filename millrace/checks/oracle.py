@@ -95,7 +95,7 @@ _TABLES = {
                'DB.RAW.' || p_type AS target_table,
                CASE WHEN p_size > 10 THEN 'MST_CSV_FORMAT' END AS file_format,
                CASE WHEN p_size > 20 THEN 'ABORT_STATEMENT' END AS on_error,
-               p_retailprice > 950 AS is_active
+               p_size > 5 AS is_active
         FROM part""",
 }
 

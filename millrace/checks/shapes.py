@@ -246,5 +246,5 @@ def dataset_config(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("DB.RAW."), F.col("p_type")).alias("target_table"),
         F.when(size > 10, "MST_CSV_FORMAT").alias("file_format"),
         F.when(size > 20, "ABORT_STATEMENT").alias("on_error"),
-        (F.col("p_retailprice") > 950).alias("is_active"),
+        (size > 5).alias("is_active"),
     )

@@ -80,6 +80,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop file system of a path, and the path as that file system takes it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
+
+
 def written(df: DataFrame, path: str) -> DataFrame:
     """``df`` written below the shared folder and read back.
 

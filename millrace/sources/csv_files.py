@@ -69,8 +69,13 @@ def list_files(
 ) -> DataFrame:
     """Name, size and time of the files below a location; contents are not read.
 
-    ``pattern`` is a regular expression for the whole name below the stage root.
+    ``pattern`` is a regular expression for the whole name below the stage root. A folder
+    that does not exist holds no files.
     """
+    if not session.path_exists(spark, location.path):
+        return spark.createDataFrame(
+            [], "path string, file string, file_size bigint, file_modified_at timestamp"
+        )
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

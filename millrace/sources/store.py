@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from millrace import session
 from millrace.sources import schemas
 
 BATCH = "load_batch"
@@ -23,27 +24,20 @@ class TableStore:
         self.stages = dict(stages or {})
 
     # --- folders ---------------------------------------------------------------------
-    def _fs(self, path: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
     def _children(self, path: str) -> list[str]:
-        fs, p = self._fs(path)
+        fs, p = session.file_system(self.spark, path)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
-    def _exists(self, path: str) -> bool:
-        fs, p = self._fs(path)
-        return fs.exists(p)
-
     def drop_folder(self, path: str) -> None:
-        fs, p = self._fs(path)
+        fs, p = session.file_system(self.spark, path)
         fs.delete(p, True)
 
     def _versions(self, name: str) -> list[int]:
         found = [int(c[2:]) for c in self._children(f"{self.root}/{name}") if c.startswith("v=")]
         return sorted(
-            n for n in found if n == 0 or self._exists(f"{self.root}/{name}/v={n}/_SUCCESS")
+            n
+            for n in found
+            if n == 0 or session.path_exists(self.spark, f"{self.root}/{name}/v={n}/_SUCCESS")
         )
 
     def path(self, name: str) -> str:
@@ -72,7 +66,7 @@ class TableStore:
         declared = self.schema(name)
         stored = T.StructType([*declared.fields, T.StructField(BATCH, T.StringType())])
         path = self.path(name)
-        if not self._exists(path):
+        if not session.path_exists(self.spark, path):
             df = self.spark.createDataFrame([], stored)
         else:
             df = self.spark.read.schema(stored).parquet(path)

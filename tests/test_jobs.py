@@ -118,6 +118,8 @@ def test_load_errors(store):
             load(store, **changes)
         assert (e.value.kind, e.value.code) == (kind, code)
     assert load(store).status == "OK"  # nothing there is fine
+    assert load(store, location="@MY_AZURE_STAGE/none/").status == "OK"
+    assert load(store, location="@MY_AZURE_STAGE/none/", load_type="FULL_REFRESH").status == "OK"
     text = jobs.failure_text(e.value, TARGET="A.B.NOPE")
     assert "TASK=UNKNOWN" in text and "PATTERN=NULL" in text and "SQLCODE=-20003" in text
 
