@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, topk, url_filter
+from millrace.llm import extract, mixing, near_dup, packing, quality, repeats, topk, url_filter, vectors, warc
 
 URL_RULES = [
     ("net", "/", "block"),
@@ -19,15 +20,62 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    cut = repeats.cut_repeats(docs, keep_first=False)
+    cut = cut.select("id", "th", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("sha"))
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    whole = docs.select("doc_id", *repeats.text_key(), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
+    none = F.lit(0).cast("long")
+    return whole.join(cut, ["id", "th"], "left").select(
+        "doc_id", "n_bytes", F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("n_spans", none).alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256")
+    )
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.match_urls(pages, url_filter.rule_table(spark, URL_RULES)).drop("url")
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+    return found.select(
+        "vec_id", F.col("_links").alias("n_links"), F.col("_component").alias("component_id"), (F.col("vec_id") == F.col("_component")).alias("kept")
+    )
+
+
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score_quality(_table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", F.col("_quality").alias("score"), (F.col("_quality") >= quality.KEEP).alias("kept"))
+
+
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
+    return found.select(
+        "doc_id", F.col("_n").alias("n_shingles"), F.col("_component").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("_component")).alias("kept")
+    )
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    written = warc.write_archives(_table(spark, sf_dir, "pages"), f"{folder}/monolithic")
+    index = warc.normalise(written, f"{folder}/members")
+    return warc.read_records(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extract.main_text(_table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+    return pages.select("page_id", "url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select(
@@ -36,7 +84,13 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op2_url_filters, op4_exact_top_k, op10_mix_sources)}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_suffix_array_dedup, op2_url_filters, op3_embedding_near_dedup, op4_exact_top_k, op5_quality_classifier,
+        op6_minhash_near_dedup, op7_best_fit_packing, op8_warc, op9_html_extraction, op10_mix_sources,
+    )
+}
 
 _URL_SQL = r"""
 WITH rest AS (
