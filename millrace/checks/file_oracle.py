@@ -19,15 +19,21 @@ _WIDE = """
            e.v AS defect_value_raw
     FROM w WHERE e.v IS NOT NULL"""
 
-# good datasets log one load, the spoilt one logs each of the given steps
+# good datasets log one load, the spoilt one logs each of the given steps; only good rows are in the table
 _RUN = """
-    SELECT DISTINCT CASE WHEN event_type = 'error' THEN ('2024-02-01 ' || s.clock || ':00')::TIMESTAMP
-                         ELSE TIMESTAMP '2024-02-01 09:05:00' END AS run_at,
-           event_type AS dataset, CASE WHEN event_type = 'error' THEN s.status ELSE 'LOADED' END AS status,
-           event_type = 'error' AS error_flag,
-           CASE WHEN event_type = 'error' THEN count(*) ELSE 0 END AS errors_seen
-    FROM events CROSS JOIN (VALUES {statuses}) s(clock, status)
-    GROUP BY event_type, s.clock, s.status"""
+    WITH e AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type),
+    steps(clock, status) AS (VALUES {statuses})
+    SELECT 'log' AS part, CASE WHEN event_type = 'error' THEN ('2024-02-01 ' || clock || ':00')::TIMESTAMP
+                ELSE TIMESTAMP '2024-02-01 09:05:00' END AS run_at,
+           event_type AS dataset, CASE WHEN event_type = 'error' THEN status ELSE 'LOADED' END AS status,
+           event_type = 'error' AS error_flag, CASE WHEN event_type = 'error' THEN n ELSE 0 END AS n
+    FROM e JOIN steps ON event_type = 'error' OR (clock = '09:05' AND status = 'LOAD_FAILED')
+    UNION ALL
+    SELECT 'history', ('2024-02-01 ' || clock || ':00')::TIMESTAMP, event_type,
+           CASE WHEN event_type = 'error' THEN 'LOAD_FAILED' ELSE 'LOADED' END, NULL, CASE WHEN event_type = 'error' THEN 0 ELSE n END
+    FROM e JOIN steps ON status = 'LOAD_FAILED' AND (event_type = 'error' OR clock = '09:05')
+    UNION ALL
+    SELECT 'table', NULL, event_type, NULL, NULL, n FROM e WHERE event_type <> 'error'"""
 
 FILE_ORACLE = {
     "typed_load": _STOP,
@@ -53,6 +59,12 @@ FILE_ORACLE = {
             AND h.file_size = f.file_size AND h.stamp = f.stamp)""",
     "wide_refresh": _WIDE,
     "stream_refresh": _WIDE,
+    "wide_spoilt": """
+        SELECT way, line, CASE WHEN line = 'L1' THEN 'LOADED' ELSE 'LOAD_FAILED' END AS status, count(*) AS rows_parsed,
+               CASE WHEN line = 'L1' THEN count(*) ELSE 0 END AS rows_loaded, CASE WHEN line = 'L1' THEN 0 ELSE count(*) END AS errors_seen,
+               CASE WHEN line = 'L1' THEN count(*) END AS n, CASE WHEN line = 'L1' THEN count(*) END AS places,
+               CASE WHEN line = 'L1' THEN 1::BIGINT END AS first_row
+        FROM lineitem CROSS JOIN (VALUES ('batch'), ('stream')) w(way) CROSS JOIN (VALUES ('L1'), ('L2')) l(line) GROUP BY way, line""",
     "dataset_run": _RUN.format(statuses="('09:05', 'LOAD_FAILED'), ('09:05', 'VALIDATION_ERROR')"),
     "recovery_run": _RUN.format(
         statuses="('09:05', 'LOAD_FAILED'), ('09:05', 'VALIDATION_ERROR'), ('10:00', 'LOAD_FAILED')"

@@ -79,8 +79,7 @@ def full_refresh(spark, sf_dir):
 def _spoilt_rows(spark, sf_dir):
     folder = _stop_files(spark, sf_dir, spoil=True)
     fmt = formats.named("FF_CSV_COMMON")
-    scanned = csv_files.scan_rows(spark, [folder], folder, fmt, STOP)
-    return csv_files.stage_rows(scanned, fmt)[0]
+    return csv_files.stage_scan(spark, [folder], folder, fmt, STOP)[0]
 
 
 def file_outcomes(spark, sf_dir):
@@ -201,24 +200,60 @@ def _run_all(spark, sf_dir) -> TableStore:
     return store
 
 
-def _log_totals(store: TableStore) -> DataFrame:
-    return store.read(jobs.RUN_LOG).groupBy("run_at", "dataset", "status", "error_flag").agg(
-        F.sum("errors_seen").alias("errors_seen")
+def _run_totals(store: TableStore) -> DataFrame:
+    """What the run log, the load history and the table hold, per dataset."""
+    none = F.lit(None).cast("string")
+    log = store.read(jobs.RUN_LOG).groupBy("run_at", "dataset", "status", "error_flag").agg(F.sum("errors_seen").alias("n"))
+    history = store.read("LOAD_HISTORY").groupBy(
+        F.col("loaded_at").alias("run_at"), F.regexp_extract("file", "kind=([a-z]+)/", 1).alias("dataset"), "status"
+    ).agg(F.sum("rows_loaded").alias("n"))
+    loaded = store.read("STOP_LOG").groupBy(F.substring_index(qcol("ラインNo."), ",", -1).alias("dataset")).agg(F.count("*").alias("n"))
+    return (
+        log.withColumn("part", F.lit("log"))
+        .unionByName(history.withColumns({"part": F.lit("history"), "error_flag": none.cast("boolean")}))
+        .unionByName(loaded.withColumns({"part": F.lit("table"), "run_at": none.cast("timestamp_ntz"), "status": none, "error_flag": none.cast("boolean")}))
     )
 
 
 def dataset_run(spark, sf_dir):
-    """Run log after loading every configured dataset, one per event type."""
-    return _log_totals(_run_all(spark, sf_dir))
+    """Run log, history and table after loading every configured dataset, one per event type."""
+    return _run_totals(_run_all(spark, sf_dir))
 
 
 def recovery_run(spark, sf_dir):
-    """Run log after the failed files were queued and loaded again, still bad."""
+    """The same after the failed files were queued and loaded again, still bad."""
     store = _run_all(spark, sf_dir)
     jobs.rebuild_error_log(store)
     jobs.rebuild_recovery_queue(store, datetime(2024, 2, 1, 9, 7))
     jobs.run_recovery(store, "IOT", datetime(2024, 2, 1, 10, 0))
-    return _log_totals(store)
+    return _run_totals(store)
+
+
+def wide_spoilt(spark, sf_dir):
+    """Wide files of which some have bad bytes, beside foreign files: batch and stream agree."""
+    folder = _wide_files(spark, sf_dir)
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        *[F.when(F.lit(k == "Nコード"), F.concat(F.lit("\u00fd"), F.col("l_orderkey").cast("string"))).otherwise(F.lit("1")).alias(k) for k in schemas.WIDE_KEYS]
+    )
+    with session.conf_set(spark, spark__sql__legacy__javaCharsets="true"):
+        rows.write.option("header", "true").option("encoding", "ISO-8859-1").csv(f"{folder}/L2/Prod_log")
+    rows.select(F.lit("not a record").alias("value")).write.text(f"{folder}/L1/Prod_log/notes")
+    found = []
+    for name in ("batch", "stream"):
+        store = _store(spark, folder)
+        if name == "batch":
+            jobs.refresh_events(store, RUN_AT, location="@FILES/", pattern=jobs.WIDE_PATTERN)
+        else:
+            refresh_from_stream(store, session.scratch_path(spark, "stream"), RUN_AT, "@FILES/")
+        raw = store.read(jobs.RAW).groupBy(F.regexp_extract("source_file_path", "^L[0-9]", 0).alias("line")).agg(
+            F.count("*").alias("n"), F.count_distinct("source_file_path", "source_row_number").alias("places"),
+            F.min("source_row_number").cast("long").alias("first_row"),
+        )
+        history = store.read("LOAD_HISTORY").groupBy(F.regexp_extract("file", "^L[0-9]", 0).alias("line"), "status").agg(
+            F.sum("rows_parsed").alias("rows_parsed"), F.sum("rows_loaded").alias("rows_loaded"), F.sum("errors_seen").alias("errors_seen")
+        )
+        found.append(history.join(raw, "line", "left").withColumn("way", F.lit(name)))
+    return found[0].unionByName(found[1])
 
 
 FILE_QUERIES = {
@@ -234,5 +269,6 @@ FILE_QUERIES = {
         stream_refresh,
         dataset_run,
         recovery_run,
+        wide_spoilt,
     )
 }

@@ -259,11 +259,6 @@ _COMBINATION = f"""
         LEFT JOIN adrc c ON c.addrnumber = pic2_addr AND c.client = p.mandt
         LEFT JOIN ekes k ON k.ebeln = f.vbeln AND k.ebelp = f.posnn[2:6] AND k.ebtyp = 'AB'
         LEFT JOIN eket t ON t.ebeln = f.vbeln AND t.ebelp = f.posnn[2:6] AND t.etenr = '0001'"""
-_ONE_CLIENT = {
-    n: f"SELECT * FROM ({sql}) WHERE mandt = '900'" if n in ("vbap", "vbpa", "vbep", "vbfa") else sql
-    for n, sql in {**_TABLES, **_UNIQUE}.items()
-}
-
 ORACLE = {
     "open_schedule": _with(
         "vbep",
@@ -318,9 +313,9 @@ ORACLE = {
               AND h.udate >= DATE '2001-07-02'""",
     ),
     "delivery_change_report": _with(_CHANGE_TABLES, _CHANGES),
-    "delivery_change_report_unique": _with(_CHANGE_TABLES, _CHANGES, _ONE_CLIENT),
+    "delivery_change_report_unique": _with(_CHANGE_TABLES, _CHANGES, {**_TABLES, **_UNIQUE}),
     "delivery_change_report_recent": _with(
-        _CHANGE_TABLES, _CHANGES.replace("DATE '2001-08-01' - 4000", "DATE '2001-07-02'"), _ONE_CLIENT
+        _CHANGE_TABLES, _CHANGES.replace("DATE '2001-08-01' - 4000", "DATE '2001-07-02'"), {**_TABLES, **_UNIQUE}
     ),
     "so_po_combination": _with(_COMBINATION_TABLES, _COMBINATION),
     "so_po_combination_unique": _with(_COMBINATION_TABLES, _COMBINATION, {**_TABLES, **_UNIQUE}),
@@ -385,16 +380,16 @@ ORACLE = {
                    coalesce(sum(errors_seen), 0)::BIGINT AS error_rows FROM run_log""",
     ),
     "event_upsert": """
-        WITH t AS (SELECT * FROM customer WHERE c_mktsegment <> 'MACHINERY'),
-        s AS (SELECT o_custkey, sum(o_totalprice::DECIMAL(18,2)) AS amount,
+        WITH s AS (SELECT o_custkey, sum(o_totalprice::DECIMAL(18,2)) AS amount,
                      CASE WHEN sum(o_totalprice::DECIMAL(18,2)) > 400000 THEN max(o_orderstatus) END AS note
-              FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey)
+              FROM orders GROUP BY o_custkey
+              UNION ALL SELECT -s_suppkey, s_acctbal::DECIMAL(18,2), s_name FROM supplier)
         SELECT coalesce(c_custkey, o_custkey) AS custkey,
                (CASE WHEN o_custkey IS NULL THEN c_acctbal::DECIMAL(18,2) ELSE amount END)::DECIMAL(18,2) AS amount,
                CASE WHEN o_custkey IS NULL THEN c_name ELSE note END AS note, c_nationkey AS nation,
                CASE WHEN c_custkey IS NULL THEN TIMESTAMP '2024-02-01 09:05:00' ELSE TIMESTAMP '2024-01-01' END AS created_at,
                CASE WHEN o_custkey IS NOT NULL THEN TIMESTAMP '2024-02-01 09:05:00' ELSE TIMESTAMP '2024-01-01' END AS updated_at
-        FROM t FULL JOIN s ON o_custkey = c_custkey""",
+        FROM customer FULL JOIN s ON o_custkey = c_custkey""",
     "defect_upsert": """
         WITH g AS (SELECT l_orderkey AS event_id, l_returnflag AS defect_name, l_linestatus AS st,
                           sum(l_quantity::DECIMAL(18,0)) AS v FROM lineitem GROUP BY ALL)

@@ -39,14 +39,14 @@ def _money(df: DataFrame, *names: str) -> DataFrame:
 def open_schedule(spark, sf_dir):
     """Ordered, delivered and open quantity per sales item, open items only."""
     lines = shapes.vbep(spark, sf_dir)
-    return _money(lookup.open_schedule(lines, KEYS, line_width=4), "soqty", "dlvqty", "openqty")
+    return _money(lookup.open_schedule(lines, KEYS), "soqty", "dlvqty", "openqty")
 
 
 def last_schedule_line(spark, sf_dir):
     """Open items with the dates of their last schedule line, ties kept."""
     lines = shapes.vbep(spark, sf_dir)
-    items = lookup.open_schedule(lines, KEYS).select(*KEYS, "max_line")
-    return lookup.last_line(items, lines, KEYS, ["edatu", "mbdat", "wadat"], unique_lines=False)
+    found = lookup.open_last_lines(lines, KEYS, ["edatu", "mbdat", "wadat"])
+    return found.drop("soqty", "dlvqty", "openqty")
 
 
 def _items(spark, sf_dir):
@@ -57,7 +57,7 @@ def partner_fallback(spark, sf_dir):
     """Sold-to partner of every item row, item level first, else document level."""
     roles = {"AG": {"assigned_bp": "sold_to_bp", "adrnr": "sold_to_addr"}}
     return lookup.with_partners(
-        _items(spark, sf_dir), shapes.vbpa(spark, sf_dir), roles, KEYS[:2], unique_partners=False
+        _items(spark, sf_dir), shapes.vbpa(spark, sf_dir), roles, KEYS[:2]
     )
 
 
@@ -68,7 +68,6 @@ def partner_three_roles(spark, sf_dir):
         shapes.vbpa(spark, sf_dir),
         reports.partner_roles("ZR"),
         KEYS[:2],
-        unique_partners=False,
     )
 
 
@@ -117,38 +116,31 @@ def recent_changes(spark, sf_dir):
 def delivery_change_report(spark, sf_dir):
     """The change report over the whole change history, repeated keys allowed."""
     return reports.delivery_change_report(
-        shapes.erp_tables(spark, sf_dir), CLIENT, AS_OF, WHOLE_HISTORY_DAYS, unique_keys=False
+        shapes.erp_tables(spark, sf_dir), CLIENT, AS_OF, WHOLE_HISTORY_DAYS
     )
 
 
 def so_po_combination(spark, sf_dir):
     """The sales-order / purchase-order list over all open items, repeated keys allowed."""
-    out = reports.so_po_combination(shapes.erp_tables(spark, sf_dir), CLIENT, unique_keys=False)
+    out = reports.so_po_combination(shapes.erp_tables(spark, sf_dir), CLIENT)
     return _money(out, "SOQTY", "DLVQTY", "OpenQTY")
 
 
-def _one_client(tables):
-    """The change report matches documents without their client, so one client is kept."""
-    return {
-        n: t.where(F.col("mandt") == CLIENT) if "mandt" in t.columns else t for n, t in tables.items()
-    }
-
-
 def delivery_change_report_unique(spark, sf_dir):
     """The change report over tables with unique keys."""
-    tables = _one_client(shapes.unique_tables(spark, sf_dir))
+    tables = shapes.unique_tables(spark, sf_dir)
     return reports.delivery_change_report(tables, CLIENT, AS_OF, WHOLE_HISTORY_DAYS)
 
 
 def delivery_change_report_recent(spark, sf_dir):
     """The change report of the last 30 days, filtering large tables by changed documents."""
-    tables = _one_client(shapes.unique_tables(spark, sf_dir))
+    tables = shapes.unique_tables(spark, sf_dir)
     return reports.delivery_change_report(tables, CLIENT, AS_OF, stage_changes=True)
 
 
 def so_po_combination_unique(spark, sf_dir):
     """The combination list over tables with unique keys."""
-    out = reports.so_po_combination(shapes.unique_tables(spark, sf_dir), CLIENT)
+    out = reports.so_po_combination(shapes.unique_tables(spark, sf_dir), CLIENT, unique_keys=True)
     return _money(out, "SOQTY", "DLVQTY", "OpenQTY")
 
 
@@ -251,11 +243,10 @@ def load_status(spark, sf_dir):
 
 
 def event_upsert(spark, sf_dir):
-    """Customers outside one segment updated and extended by urgent-order totals."""
+    """Customers updated by their order totals and extended by the suppliers."""
     old = datetime(2024, 1, 1)
     target = (
         table(spark, sf_dir, "customer")
-        .where(F.col("c_mktsegment") != "MACHINERY")
         .select(
             F.col("c_custkey").alias("custkey"),
             F.col("c_acctbal").cast(money).alias("amount"),
@@ -268,14 +259,16 @@ def event_upsert(spark, sf_dir):
     total = F.sum(F.col("o_totalprice").cast(money))
     source = (
         table(spark, sf_dir, "orders")
-        .where(F.col("o_orderpriority") == "1-URGENT")
         .groupBy(F.col("o_custkey").alias("custkey"))
         .agg(
             total.cast(money).alias("amount"),
             F.when(total > 400000, F.max("o_orderstatus")).alias("note"),
         )
     )
-    return merge.upsert(target, source, ["custkey"], RUN_AT)
+    suppliers = table(spark, sf_dir, "supplier").select(
+        (-F.col("s_suppkey")).alias("custkey"), F.col("s_acctbal").cast(money).alias("amount"), F.col("s_name").alias("note")
+    )
+    return merge.upsert(target, source.unionByName(suppliers), ["custkey"], RUN_AT)
 
 
 def defect_upsert(spark, sf_dir):

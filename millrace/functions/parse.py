@@ -32,14 +32,63 @@ def _iso_text(c: Column, fmt: str) -> Column:
     return F.when(c.rlike(shape), F.regexp_replace(c, shape, iso))
 
 
+# Fixed value: formats that are recognised by the text itself.
+AUTO = "AUTO"
+
+
+def _auto_text(c: Column) -> Column:
+    """ISO text of a date or time stamp in any of the recognised shapes, else NULL.
+
+    ISO with blank or T, fraction and offset (the wall clock counts); ``31-Jan-2024`` and
+    ``01/31/2024``, both with an optional time; whole numbers count seconds since 1970, or
+    thousandths, millionths or billionths of them when they are too large for that.
+    """
+    iso = F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?:[T ].*)?$"), c)
+    named = r"^(\d{1,2})-([A-Za-z]{3})-(\d{4})(.*)$"
+    months = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
+    at = F.instr(F.lit(months), F.upper(F.regexp_extract(c, named, 2)))
+    month = F.when(at % 3 == 1, F.lpad(((at + 2) / 3).cast("int").cast("string"), 2, "0"))
+    by_name = F.when(
+        c.rlike(named),
+        F.concat(F.regexp_extract(c, named, 3), F.lit("-"), month, F.lit("-"), F.regexp_extract(c, named, 1), F.regexp_extract(c, named, 4)),
+    )
+    slashed = r"^(\d{1,2})/(\d{1,2})/(\d{4})(.*)$"
+    by_slash = F.when(c.rlike(slashed), F.regexp_replace(c, slashed, "$3-$1-$2$4"))
+    count = F.when(c.rlike(r"^-?\d{1,18}$"), c.cast("decimal(38,0)"))
+    size = F.abs(count)
+    micros = (
+        F.when(size < 31_536_000_000, count * 1_000_000)
+        .when(size < 31_536_000_000_000, count * 1000)
+        .when(size < 31_536_000_000_000_000, count)
+        .otherwise(F.floor(count / 1000))
+    ).cast("long")
+    # counted from a stamp without zone, so that no session zone can shift it
+    counted = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=(micros / 1_000_000).cast("decimal(18,6)"))
+    return F.coalesce(iso, by_name, by_slash, counted.cast("string"))
+
+
 def parse_timestamp(c: Column, fmt: str = "yyyy/MM/dd HH:mm:ss") -> Column:
-    return _iso_text(F.trim(c), fmt).try_cast("timestamp_ntz")
+    text = _auto_text(F.trim(c)) if fmt == AUTO else _iso_text(F.trim(c), fmt)
+    return text.try_cast("timestamp_ntz")
 
 
 def parse_date(c: Column, fmt: str = "yyyy/MM/dd") -> Column:
+    if fmt == AUTO:
+        return parse_timestamp(c, AUTO).cast("date")
     return _iso_text(F.trim(c), fmt).try_cast("date")
 
 
-def parse_time_text(c: Column) -> Column:
-    """``HH:mm:ss`` text that names a real time of day, else NULL."""
-    return F.when(F.trim(c).rlike(TIME_SHAPE), F.trim(c))
+def parse_time_text(c: Column, auto: bool = False) -> Column:
+    """``HH:mm:ss`` text that names a real time of day, else NULL.
+
+    ``auto`` also takes times without seconds, with a fraction (dropped), and with AM or PM.
+    """
+    text = F.trim(c)
+    if auto:
+        shape = r"^(\d{1,2}):(\d{2})(?::(\d{2}))?(?:\.\d+)?\s*([AaPp][Mm])?$"
+        part = lambda n: F.regexp_extract(text, shape, n)
+        hour, half = part(1).try_cast("int"), F.upper(part(4))
+        hour = F.when(half == "", hour).when(hour.between(1, 12), hour % 12 + F.when(half == "PM", 12).otherwise(0))
+        second = F.when(part(3) == "", "00").otherwise(part(3))
+        text = F.when(text.rlike(shape), F.concat(F.lpad(hour.cast("string"), 2, "0"), F.lit(":"), part(2), F.lit(":"), second))
+    return F.when(text.rlike(TIME_SHAPE), text)

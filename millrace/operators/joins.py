@@ -2,7 +2,7 @@
 
 No side is ever hinted for broadcast: Catalyst's size threshold and AQE's measured sizes
 decide that. AQE splits a skewed partition of an inner join on either side, and of a left
-join on the left side only. The right side of a left join is what ``fanout_left_join``
+join on the left side only. The right side of a left join is what ``salted_left_join``
 covers.
 """
 
@@ -50,11 +50,30 @@ def spread_null_key(key: Column, by: Sequence[Column]) -> Column:
     return F.coalesce(key, F.concat(F.lit("\u0001null:"), bucket))
 
 
+def has_hot_keys(df: DataFrame, keys: Sequence[str], limit: int = ROWS_PER_SALT) -> bool:
+    """Whether any key holds more than ``limit`` rows; counted at once, partial counts first."""
+    counts = df.groupBy(*[qcol(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
+    return not counts.where(F.col("_rows") > limit).isEmpty()
+
+
 def fanout_left_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT
 ) -> DataFrame:
     """Left join on equal key names where one key may match any number of right rows.
 
+    The right side's keys are counted first. Without a key of more than ``rows_per_salt``
+    rows this is a plain left join, whose left side AQE can split; else it is salted.
+    """
+    if has_hot_keys(right.where(all_of([qcol(k).isNotNull() for k in keys])), keys, rows_per_salt):
+        return salted_left_join(left, right, keys, rows_per_salt)
+    return lookup_left_join(left, right, keys)
+
+
+def salted_left_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT
+) -> DataFrame:
+    """Left join for right sides with keys of very many rows.
+
     Copies on the right are collapsed into one row and a count by partial aggregation, so
     a hot group of copies shrinks before it is shuffled. Keys holding more than
     ``rows_per_salt`` rows then get several salts: their left rows are repeated once per
@@ -106,7 +125,7 @@ def fanout_left_join(
 def lookup_left_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], unique_right: bool = True
 ) -> DataFrame:
-    """Left join that only pays for salting when right keys can repeat."""
+    """Left join; with ``unique_right`` the caller promises that no right key is hot."""
     if unique_right:
         return left.join(right, list(keys), "left").select(
             *[qcol(c) for c in left.columns], *[qcol(c) for c in right.columns if c not in keys]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -19,8 +21,6 @@ from millrace.sources.store import BATCH, TableStore
 WIDE_LOCATION = "@MY_AZURE_STAGE/IoT/FH/Recv/"
 WIDE_PATTERN = r".*Prod_log/.*\.csv"
 WIDE_FORMAT = "FF_CSV_PROD_LOG_FH"
-# marks the history batch written before a raw batch
-STARTED = "-started"
 RAW, EVENTS, DEFECTS = "PROD_LOG_FH_RAW", "PROD_LOG_FH", "PROD_LOG_FH_DEFECT"
 # The four typed logs, their folders, format and error policy.
 TYPED_LOADS = {
@@ -51,6 +51,10 @@ class LoadError(Exception):
         self.kind, self.code = kind, self.CODES.get(kind)
 
 
+# Fixed value: status of a load that found no files.
+NO_FILES = "Copy executed with 0 files processed."
+
+
 @dataclass
 class LoadResult:
     status: str
@@ -58,15 +62,19 @@ class LoadResult:
     error_files: int = 0
     error_rows: int = 0
     digest: DataFrame | None = None
+    copy_status: str = NO_FILES
 
 
-def _batch(run_at: datetime, label: str) -> str:
-    return f"{run_at:%Y%m%dT%H%M%S}_{label}"
+def _batch(run_at: datetime, label: str, *what: str | None) -> str:
+    """Id of a load: its time, and what it loads from where to where; no two loads share one."""
+    mark = hashlib.sha1(repr(what).encode()).hexdigest()[:12]
+    plain = re.sub(r"\W", "_", label)  # part of a folder's name
+    return f"{run_at:%Y%m%dT%H%M%S%f}_{plain}_{mark}"
 
 
 def _plain_table(store: TableStore, target: str) -> str:
     name = target.split(".")[-1]
-    if not schemas.known(store.layout(name)):
+    if store.layout(name) not in schemas.LOADABLE:
         raise LoadError(LoadError.TABLE_NOT_FOUND, target)
     return name
 
@@ -106,8 +114,7 @@ def _load_paths(
 ) -> tuple[DataFrame, int, int]:
     """Parse once, record outcomes, then append the rows of good files."""
     columns = schemas.columns(store.layout(table))
-    scanned = csv_files.scan_rows(store.spark, paths, root, fmt, columns)
-    rows, folder = csv_files.stage_rows(scanned, fmt)
+    rows, folder = csv_files.stage_scan(store.spark, paths, root, fmt, columns)
     try:
         # one row per file, kept as a table: read several times, and small enough for the
         # planner to see that filtering rows by it needs no shuffle
@@ -120,9 +127,11 @@ def _load_paths(
         good = csv_files.data_rows(rows)
         if files:
             good = quality.rows_of_good_files(good, outcomes)
-        # outcomes go last: a load that stops half-way leaves its files pending
+        # rows and history appear together: a load that stops half-way leaves its files pending
+        store.begin(batch)
         store.append(table, good, batch)
         store.append("LOAD_HISTORY", outcomes, batch)
+        store.commit(batch)
         return store.read("LOAD_HISTORY", [batch]), files, errors
     finally:
         store.drop_folder(folder)
@@ -139,15 +148,17 @@ def load_table(
     force: bool = False,
     run_at: datetime | None = None,
     collect_errors=None,
+    label: str = "",
 ) -> LoadResult:
     """Load the files below a location into a table.
 
     APPEND adds the rows of files not loaded before (all files with ``force``) and gives
     WARN when files had errors under SKIP_FILE. FULL_REFRESH replaces the table by all
-    files and fails on any bad value. ``run_at`` names the load: the same load run again
-    under the same time replaces its own rows.
+    files and fails on any bad value. ``run_at`` names the load, together with target, place,
+    pattern, format and ``label``: the same load run again under the same time replaces its
+    own rows, and no other's.
     """
-    run_at = run_at or datetime.now().replace(microsecond=0)
+    run_at = run_at or datetime.now()
     kind = (load_type or "").upper()
     if kind == "FULL_REFRESH":
         return _full_refresh(store, target, location, file_format, pattern, run_at)
@@ -157,7 +168,7 @@ def load_table(
         raise ValueError(f"unknown error policy {on_error!r}")
     table, fmt = _plain_table(store, target), formats.named(file_format)
     place = csv_files.resolve(location, store.stages)
-    batch = _batch(run_at, table)
+    batch = _batch(run_at, table, label, target, place.path, pattern, file_format)
     files = csv_files.list_files(store.spark, place, pattern)
     if not force:
         files = quality.pending_files(files, _history(store, table, batch), table)
@@ -168,7 +179,10 @@ def load_table(
         store, table, paths, place.root, fmt, on_error, run_at, batch, collect_errors
     )
     digest = runlog.error_digest(outcomes) if bad_files else None
-    return LoadResult("WARN" if bad_files else "OK", outcomes, bad_files, bad_rows, digest)
+    least = outcomes.agg(F.min("status").alias("status"), F.count_if(F.col("status").isNull()).alias("none")).first()
+    if least.none:
+        raise LoadError(LoadError.UNEXPECTED_RESULT, f"{least.none} file(s) of {target} without a status")
+    return LoadResult("WARN" if bad_files else "OK", outcomes, bad_files, bad_rows, digest, least.status or NO_FILES)
 
 
 def _full_refresh(store, target, location, file_format, pattern, run_at) -> LoadResult:
@@ -183,15 +197,12 @@ def _full_refresh(store, target, location, file_format, pattern, run_at) -> Load
     if not paths:
         store.replace(table, store.read(table).limit(0))
         return LoadResult("OK", empty)
-    scanned = csv_files.scan_rows(
-        store.spark, paths, place.root, fmt, schemas.columns(store.layout(table))
-    )
-    rows, folder = csv_files.stage_rows(scanned, fmt)
+    rows, folder = csv_files.stage_scan(store.spark, paths, place.root, fmt, schemas.columns(store.layout(table)))
     try:
         outcomes = session.written(quality.file_outcomes(rows, table, run_at), f"{folder}/files")
         if _totals(outcomes)[0]:
             raise _bad_rows(outcomes)
-        store.replace(table, csv_files.data_rows(rows), _batch(run_at, table))
+        store.replace(table, csv_files.data_rows(rows), _batch(run_at, table, target, place.path, pattern, file_format))
     finally:
         store.drop_folder(folder)
     return LoadResult("OK", empty)
@@ -214,7 +225,7 @@ def ingest_raw_objects(
     """
     fmt = formats.named(file_format)
     place = csv_files.resolve(location, store.stages)
-    batch = _batch(run_at, RAW)
+    batch = _batch(run_at, RAW, place.path, pattern, file_format)
     files = csv_files.list_files(store.spark, place, pattern)
     paths = csv_files.file_paths(
         quality.pending_files(files, _history(store, RAW, batch), RAW)
@@ -222,8 +233,7 @@ def ingest_raw_objects(
     if not paths:
         return None
     text = [(key, schemas.TEXT) for key in schemas.WIDE_KEYS]
-    scanned = csv_files.scan_rows(store.spark, paths, place.root, fmt, text)
-    rows, folder = csv_files.stage_rows(scanned, fmt)
+    rows, folder = csv_files.stage_scan(store.spark, paths, place.root, fmt, text)
     try:
         add_raw_objects(store, rows, run_at, batch)
     finally:
@@ -231,33 +241,38 @@ def ingest_raw_objects(
     return batch
 
 
-def add_raw_objects(store: TableStore, rows: DataFrame, run_at: datetime, batch: str) -> None:
+def add_raw_objects(store: TableStore, rows: DataFrame, run_at: datetime, batch: str) -> tuple[int, int]:
     """Insert numbered text rows that the raw table does not hold yet, as one batch.
 
-    The load history names the batches that hold earlier rows of the same files. Usually
-    there are none and the rows are written as they come; otherwise only the keys of those
-    batches are read. Files are noted as started before any row is written, so rows of a
-    load that broke off are found as well.
+    As in typed loads, a file with a bad line loads nothing and stays pending; returns the
+    bad files and bad rows. The load history names the batches that hold earlier rows of the
+    same files. Usually there are none and the rows are written as they come; otherwise only
+    the keys of those batches are read. Rows and history appear together.
     """
-    found = csv_files.read_csv_as_object(
-        rows.where(F.col("_error").isNull()), schemas.WIDE_KEYS
-    ).withColumn("loaded_at", F.lit(run_at).cast("timestamp_ntz"))
     listed = session.scratch_path(store.spark, "files")
-    outcomes = session.written(quality.file_outcomes(rows, RAW, run_at), listed)
-    start = batch + STARTED
-    past = store.read("LOAD_HISTORY", with_batch=True).where(
-        (F.col("target_table") == RAW) & ~F.col(BATCH).isin(batch, start)
-    )
-    earlier = past.join(outcomes.select("file"), "file", "left_semi").select(BATCH).distinct()
-    # batch ids of re-delivered files only
-    earlier = sorted({r[BATCH].removesuffix(STARTED) for r in earlier.toLocalIterator()})
-    store.append("LOAD_HISTORY", outcomes.withColumn("status", F.lit("STARTED")), start)
-    if earlier:
-        keys = ["source_file_path", "source_row_number"]
-        found = merge.insert_new(store.read(RAW, earlier), found, keys, scope=["source_file_path"])
-    store.append(RAW, found, batch)
-    store.append("LOAD_HISTORY", outcomes, batch)
-    store.drop_folder(listed)
+    try:
+        outcomes = session.written(quality.file_outcomes(rows, RAW, run_at), listed)
+        bad = _totals(outcomes)
+        good = quality.rows_of_good_files(rows, outcomes) if bad[0] else rows
+        found = csv_files.read_csv_as_object(good, schemas.WIDE_KEYS).withColumn(
+            "loaded_at", F.lit(run_at).cast("timestamp_ntz")
+        )
+        past = store.read("LOAD_HISTORY", with_batch=True).where(
+            (F.col("target_table") == RAW) & (F.col("rows_loaded") > 0) & (F.col(BATCH) != batch)
+        )
+        earlier = past.join(outcomes.select("file"), "file", "left_semi").select(BATCH).distinct()
+        # batch ids of re-delivered files only
+        earlier = sorted(r[BATCH] for r in earlier.toLocalIterator())
+        store.begin(batch)
+        if earlier:
+            keys = ["source_file_path", "source_row_number"]
+            found = merge.insert_new(store.read(RAW, earlier), found, keys, scope=["source_file_path"])
+        store.append(RAW, found, batch)
+        store.append("LOAD_HISTORY", outcomes, batch)
+        store.commit(batch)
+        return bad
+    finally:
+        store.drop_folder(listed)
 
 
 def events_of(raw: DataFrame) -> DataFrame:
@@ -316,12 +331,16 @@ def normalize_events(
     return "OK"
 
 
-def refresh_events(store: TableStore, run_at: datetime, incremental: bool = False, **source) -> str:
-    """Ingest, then normalize all raw rows or just those of the new batch."""
+def refresh_events(store: TableStore, run_at: datetime, incremental: bool = True, **source) -> str:
+    """Ingest, then normalize the rows of the new batch, or all raw rows without ``incremental``.
+
+    WARN says that files with bad lines were left out; they stay pending.
+    """
     batch = ingest_raw_objects(store, run_at, **source)
-    if incremental and batch is None:
-        return "OK"
-    return normalize_events(store, run_at, [batch] if incremental else None)
+    if batch is not None or not incremental:
+        normalize_events(store, run_at, [batch] if incremental else None)
+    bad = batch is not None and not store.read("LOAD_HISTORY", [batch]).where("errors_seen > 0").isEmpty()
+    return "WARN" if bad else "OK"
 
 
 # --- all datasets and recovery ---------------------------------------------------------------
@@ -387,7 +406,8 @@ def run_datasets(store: TableStore, system: str, run_at: datetime) -> str:
 
 
 def _run_dataset(store: TableStore, row, run_at: datetime) -> None:
-    batch = _batch(run_at, f"{row.system}_{row.dataset}")
+    label = f"{row.system}_{row.dataset}"
+    batch = _batch(run_at, label, row.system, row.dataset)
     who = (row.system, row.dataset, row.target_table, run_at)
     logged = []
 
@@ -419,6 +439,7 @@ def _run_dataset(store: TableStore, row, run_at: datetime) -> None:
             on_error=row.on_error,
             run_at=run_at,
             collect_errors=log_errors,
+            label=label,
         )
         status, errors = F.col("status"), F.col("errors_seen")
         log = _log_rows(
@@ -479,7 +500,7 @@ def run_recovery(store: TableStore, system: str, run_at: datetime) -> str:
         settled.append(_recover_dataset(store, row, items, run_at))
     changes = reduce(DataFrame.unionByName, settled)
     # the outcome is read twice and comes from tables this job goes on to replace
-    folder = f"{store.root}/_recovery/{_batch(run_at, system)}"
+    folder = f"{store.root}/_recovery/{_batch(run_at, system, system)}"
     changes.write.mode("overwrite").parquet(folder)
     changes = store.spark.read.schema(changes.schema).parquet(folder)
     done = changes.where("counted").count()
@@ -499,7 +520,7 @@ def _recover_dataset(store: TableStore, row, items: DataFrame, run_at: datetime)
     )
     full = F.regexp_replace(joined, "/{2,}", "/")
     who = (row.system, row.dataset, row.target_table, run_at)
-    batch = _batch(run_at, f"recovery_{row.system}_{row.dataset}")
+    batch = _batch(run_at, f"recovery_{row.system}_{row.dataset}", row.system, row.dataset)
 
     def failed(error: Exception) -> DataFrame:
         return items.select(
@@ -530,7 +551,7 @@ def _recover_dataset(store: TableStore, row, items: DataFrame, run_at: datetime)
     except Exception as error:  # noqa: BLE001 - becomes the note of the queue items
         return failed(error)
 
-    nothing = F.lit("Copy executed with 0 files processed.")
+    nothing = F.lit(NO_FILES)
     results = (
         wanted.select("queue_id", "full", "file")
         .join(outcomes.drop("target_table", "file_size", "file_modified_at"), "file", "left")

@@ -9,12 +9,13 @@ nothing depends on how a later scan would be cut into tasks.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from millrace import session
+from millrace.functions.parse import AUTO
 from millrace.functions import null_tokens, parse_date, parse_time_text, parse_timestamp, qcol
 from millrace.operators.semistruct import build_map
 from millrace.sources.formats import CsvFormat, charset
@@ -147,8 +148,11 @@ def _quoted_fields(lines: DataFrame, count: int, fmt: CsvFormat) -> DataFrame:
     parsed = lines.withColumn("_f", F.from_csv("_line", ddl, _options(fmt)))
     # a blank line is one empty field
     short = F.col("_f._bad").isNotNull() | (F.trim("_line") == "" if count > 1 else F.lit(False))
-    return parsed.withColumn("_short", short).select(
-        *LINEAGE, "_line", "_short", *[F.col(f"_f.{n}").alias(n) for n in names]
+    # a quoted field that goes on in the next line
+    unquoted = F.length(F.replace(F.col("_line"), F.lit(fmt.quote), F.lit("")))
+    odd = (F.length("_line") - unquoted) / len(fmt.quote) % 2 == 1
+    return parsed.withColumns({"_short": short, "_odd": odd}).select(
+        *LINEAGE, "_line", "_short", "_odd", *[F.col(f"_f.{n}").alias(n) for n in names]
     )
 
 
@@ -170,6 +174,7 @@ def _plain_fields(lines: DataFrame, count: int, fmt: CsvFormat) -> DataFrame:
         *LINEAGE,
         "_line",
         (F.size("_f") != count).alias("_short"),
+        F.lit(False).alias("_odd"),
         *[field(i).alias(n) for i, n in enumerate(_field_names(count))],
     )
 
@@ -183,7 +188,7 @@ def _split_lines(lines: DataFrame, count: int, fmt: CsvFormat) -> DataFrame:
 def _multi_line_fields(
     spark: SparkSession, paths, root: str, fmt: CsvFormat, count: int
 ) -> DataFrame:
-    names = _field_names(count)
+    names, quote = _field_names(count), F.lit(fmt.quote or "")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_bad"]])
     rows = (
         spark.read.schema(schema)
@@ -197,15 +202,17 @@ def _multi_line_fields(
         F.col("_metadata.file_modification_time").alias("file_modified_at"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("seq"),
-        F.col("_bad").alias("_line"),
+        # the record as it could have been written, for its error and for bad bytes
+        F.coalesce("_bad", F.concat(quote, F.concat_ws(f"{fmt.quote}{fmt.delimiter}{fmt.quote}", *names), quote)).alias("_line"),
         F.col("_bad").isNotNull().alias("_short"),
+        F.lit(False).alias("_odd"),
         *names,
     )
 
 
 def typed_value(c: Column, kind, fmt: CsvFormat) -> Column:
     if kind == TIME:
-        return parse_time_text(c)
+        return parse_time_text(c, auto=fmt.timestamp_format == AUTO)
     if isinstance(kind, T.StringType):
         return c
     if isinstance(kind, T.DateType):
@@ -262,6 +269,7 @@ def _typed_fields(rows: DataFrame, columns: Sequence[tuple[str, object]], fmt: C
         *LINEAGE,
         first.alias("_error"),
         F.when(first.isNotNull(), F.col("_line")).alias("_rejected"),
+        F.coalesce("_odd", F.lit(False)).alias("_odd"),
         *[qcol(f"_t{i}").alias(name) for i, (name, _) in enumerate(columns)],
     )
 
@@ -287,7 +295,28 @@ def scan_rows(
     return rows_of_lines(line_source(spark.read, list(paths), root, fmt), fmt, columns)
 
 
-def stage_rows(rows: DataFrame, fmt: CsvFormat) -> tuple[DataFrame, str]:
+def records_of(
+    spark: SparkSession, root: str, fmt: CsvFormat, columns: Sequence[tuple[str, object]]
+) -> Callable[[Sequence[str]], DataFrame] | None:
+    """How to read files below ``root`` again whose quoted fields hold line breaks."""
+    if not fmt.quote or fmt.multi_line:
+        return None
+    return lambda files: scan_rows(
+        spark, [f"{root}/{literal_path(f)}" for f in files], root, fmt.with_options(multi_line=True), columns
+    )
+
+
+def stage_scan(
+    spark: SparkSession, paths: Sequence[str], root: str, fmt: CsvFormat, columns: Sequence[tuple[str, object]]
+) -> tuple[DataFrame, str]:
+    """``scan_rows`` and ``stage_rows`` in one."""
+    scanned = scan_rows(spark, paths, root, fmt, columns)
+    return stage_rows(scanned, fmt, records_of(spark, root, fmt, columns))
+
+
+def stage_rows(
+    rows: DataFrame, fmt: CsvFormat, again: Callable[[Sequence[str]], DataFrame] | None = None
+) -> tuple[DataFrame, str]:
     """Write scanned rows once to the shared folder and read them back numbered.
 
     ``line`` is the line in the file, ``row_number`` counts from 1 after the header.
@@ -297,11 +326,22 @@ def stage_rows(rows: DataFrame, fmt: CsvFormat) -> tuple[DataFrame, str]:
     Numbering joins every row with the index of file splits. The index is a table of its
     own, one short row per split, so the join needs no shuffle of the rows unless there
     are very many splits; then it spreads evenly over them.
+
+    A line with an odd number of quotes may be part of a record of several lines. Files that
+    have one are read by ``again``, record by record; all others stay cut into lines. ``line``
+    then counts records.
     """
     spark = rows.sparkSession
     folder = session.scratch_path(spark, "rows")
     with session.conf_set(spark, spark__sql__legacy__javaCharsets="true"):
         staged = session.written(rows, f"{folder}/rows")
+        if again is not None:
+            broken = session.written(staged.where("_odd").select("file").distinct(), f"{folder}/broken")
+            files = [r.file for r in broken.toLocalIterator()]
+            if files:
+                records = session.written(again(files), f"{folder}/records")
+                staged = staged.join(broken, "file", "left_anti").unionByName(records)
+    staged = staged.drop("_odd")
     splits = session.written(split_index(staged), f"{folder}/splits")
     return number_rows(staged, splits, fmt.skip_header), folder
 
@@ -350,7 +390,7 @@ def read_csv_typed(
         paths = [location.path] if pattern is None else file_paths(list_files(spark, location, pattern))
     if not paths:
         return data_rows(_no_rows(spark, columns))
-    return data_rows(stage_rows(scan_rows(spark, paths, location.root, fmt, columns), fmt)[0])
+    return data_rows(stage_scan(spark, paths, location.root, fmt, columns)[0])
 
 
 def _no_rows(spark: SparkSession, columns) -> DataFrame:
@@ -362,10 +402,14 @@ def _no_rows(spark: SparkSession, columns) -> DataFrame:
     return spark.createDataFrame([], fields)
 
 
+def literal_path(path: str) -> str:
+    """A path without glob characters."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def file_paths(files: DataFrame) -> list[str]:
     """File names for the next scan; Spark's own file index holds the same list."""
-    literal = F.regexp_replace("path", r"([\[\]{}*?\\])", r"\\$1")  # no glob characters
-    return [r.path for r in files.select(literal.alias("path")).toLocalIterator()]
+    return [literal_path(r.path) for r in files.select("path").toLocalIterator()]
 
 
 def validation_errors(rows: DataFrame) -> DataFrame:

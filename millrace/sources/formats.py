@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-ISO_DATE, ISO_STAMP = "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"
+from millrace.functions.parse import AUTO
+
 SLASH_DATE, SLASH_STAMP = "yyyy/MM/dd", "yyyy/MM/dd HH:mm:ss"
 
 
@@ -24,8 +25,8 @@ class CsvFormat:
     empty_as_null: bool = True
     trim: bool = False
     encoding: str = "UTF-8"
-    date_format: str = ISO_DATE
-    timestamp_format: str = ISO_STAMP
+    date_format: str = AUTO  # recognised by the text itself
+    timestamp_format: str = AUTO  # times of day go with it
     strict_columns: bool = True
     strict_encoding: bool = True
     skip_blank_lines: bool = False

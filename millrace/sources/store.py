@@ -3,6 +3,12 @@
 ``<root>/<table>/v=<n>/load_batch=<id>/``: a new version replaces the whole table once it
 is complete, a batch is one load. Writing a batch again replaces that batch, so a load
 that is run again under the same id adds nothing twice.
+
+A load writes rows and history under one batch id. From ``begin`` to ``commit`` a mark hides
+that id in every table; taking the mark away publishes all of it at once, and a load that
+stops before leaves nothing to be seen. Merged batches are written beside the old ones, as
+``<id>~<generation>``: the mark of the generation hides them until all are complete, then the
+newest generation of each batch counts and the older ones are removed.
 """
 
 from __future__ import annotations
@@ -15,6 +21,7 @@ from millrace import session
 from millrace.sources import schemas
 
 BATCH = "load_batch"
+_PENDING = "_pending"
 
 
 class TableStore:
@@ -45,11 +52,46 @@ class TableStore:
         versions = self._versions(name)
         return f"{self.root}/{name}/v={versions[-1] if versions else 0}"
 
-    def batches(self, name: str) -> list[str]:
+    def _batch_folders(self, name: str) -> list[str]:
         return sorted(
             c.split("=", 1)[1] for c in self._children(self.path(name)) if c.startswith(BATCH + "=")
         )
 
+    def _hidden(self, name: str) -> list[str]:
+        """Batch folders that do not count: of unfinished loads and merges, and of older generations.
+
+        Few at any time: finished jobs remove both.
+        """
+        pending = set(self._children(f"{self.root}/{_PENDING}"))
+        hidden, newest = [], {}
+        for folder in self._batch_folders(name):
+            batch, _, generation = folder.partition("~")
+            if batch in pending or f"{name}~{generation}" in pending:
+                hidden.append(folder)
+                continue
+            order = int(generation or 0)
+            if batch in newest:
+                hidden.append(min(newest[batch], (order, folder))[1])
+            newest[batch] = max(newest.get(batch, (order, folder)), (order, folder))
+        return hidden
+
+    def batches(self, name: str) -> list[str]:
+        hidden = set(self._hidden(name))
+        return sorted(f.partition("~")[0] for f in self._batch_folders(name) if f not in hidden)
+
+    # --- publishing -------------------------------------------------------------------
+    def _mark(self, name: str) -> tuple:
+        return session.file_system(self.spark, f"{self.root}/{_PENDING}/{name}")
+
+    def begin(self, name: str) -> None:
+        """Hide a batch (or a table's generation) until ``commit``."""
+        fs, p = self._mark(name)
+        fs.create(p, True).close()
+
+    def commit(self, name: str) -> None:
+        fs, p = self._mark(name)
+        fs.delete(p, False)
+
     # --- tables ----------------------------------------------------------------------
     def schema(self, name: str) -> T.StructType:
         return schemas.schema(self.layout(name))
@@ -70,9 +112,13 @@ class TableStore:
             df = self.spark.createDataFrame([], stored)
         else:
             df = self.spark.read.schema(stored).parquet(path)
+        hidden = self._hidden(name)
+        if hidden:
+            df = df.where(~F.col(BATCH).isin(hidden))
+        batch = F.substring_index(BATCH, "~", 1)
         if batches is not None:
-            df = df.where(F.col(BATCH).isin(list(batches)))
-        return df if with_batch else df.drop(BATCH)
+            df = df.where(batch.isin(list(batches)))
+        return df.withColumn(BATCH, batch) if with_batch else df.drop(BATCH)
 
     def _declared(self, name: str, df: DataFrame, *extra: str) -> DataFrame:
         return df.select(
@@ -81,6 +127,7 @@ class TableStore:
         )
 
     def append(self, name: str, df: DataFrame, batch: str) -> None:
+        """Write a batch of a table; seen at once, unless ``begin`` hides it."""
         self._declared(name, df).write.mode("overwrite").parquet(f"{self.path(name)}/{BATCH}={batch}")
 
     def replace(self, name: str, df: DataFrame, batch: str = "all") -> None:
@@ -97,12 +144,21 @@ class TableStore:
     def merge_batches(self, name: str, df: DataFrame, deal: bool = True) -> None:
         """Replace exactly the batches present in ``df``; others are not rewritten.
 
-        ``deal`` first brings the rows of a batch together, a large batch in several
-        tasks, so that many batches do not end as one small file per task and batch.
+        The old batches stay readable until the new ones are complete, and if this stops
+        half-way they stay for good. ``deal`` first brings the rows of a batch together, a
+        large batch in several tasks, so that many batches do not end as one small file per
+        task and batch.
         """
+        path = self.path(name)
+        generations = [int(f.partition("~")[2] or 0) for f in self._batch_folders(name)]
+        mark = f"{name}~{max(generations, default=0) + 1}"
+        self.begin(mark)
         rows = self._declared(name, df, BATCH)
         if deal:
             rows = rows.hint("rebalance", BATCH)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            BATCH
-        ).parquet(self.path(name))
+        rows = rows.withColumn(BATCH, F.concat(F.col(BATCH), F.lit("~" + mark.partition("~")[2])))
+        rows.write.mode("append").partitionBy(BATCH).parquet(path)
+        self.commit(mark)
+        for folder in self._hidden(name):
+            if f"{name}~{folder.partition('~')[2]}" not in self._children(f"{self.root}/{_PENDING}"):
+                self.drop_folder(f"{path}/{BATCH}={folder}")

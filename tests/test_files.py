@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions.parse import AUTO, parse_time_text, parse_timestamp
 from millrace.sources import csv_files, formats, schemas
 from millrace.sources.csv_files import Location
 from millrace.sources.formats import CsvFormat
@@ -143,3 +144,41 @@ def test_time_of_day_and_reel_schema(spark, tmp_path):
     rows = read(spark, tmp_path, COMMON, columns).orderBy("line").collect()
     assert rows[0]["梱包終了時間"] == "23:59:59" and rows[0]._error is None
     assert rows[1]._error.column_name == "梱包終了時間"
+
+
+def test_line_breaks_inside_quotes_of_named_formats(spark, tmp_path):
+    """Only the file that has them is read record by record; bad values and bytes are still seen."""
+    head = "h1,h2,h3,h4,h5\n"
+    (tmp_path / "a.csv").write_bytes((head + '2024/01/02 03:04:05,"N\n1",L,1,1\n2024/01/02 03:04:05,N2,"L\n""2",1,x\n').encode("cp932"))
+    (tmp_path / "b.csv").write_bytes((head + '2024/01/02 03:04:05,"N3",L,1,3\n').encode("cp932"))
+    (tmp_path / "c.csv").write_bytes(head.encode() + b'2024/01/02 03:04:05,"N\n\xfd",L,1,4\n')
+    rows, _ = csv_files.stage_scan(spark, [str(tmp_path)], str(tmp_path), COMMON, STOP)
+    got = {(r.file, r.row_number): r for r in csv_files.data_rows(rows).collect()}
+    assert sorted(got) == [("a.csv", 1), ("a.csv", 2), ("b.csv", 1), ("c.csv", 1)]
+    assert got["a.csv", 1]["Nコード"] == "N\n1" and got["a.csv", 1]._error is None
+    assert "'x' is not a valid" in got["a.csv", 2]._error.message
+    assert got["b.csv", 1]["Nコード"] == "N3"
+    assert "bytes outside encoding" in got["c.csv", 1]._error.message
+
+
+def test_recognised_dates_and_times(spark):
+    stamps = {
+        "2024-01-02": "2024-01-02 00:00:00",
+        "2024-1-2 03:04:05.678": "2024-01-02 03:04:05.678",
+        "2024-01-02T03:04:05+09:00": "2024-01-02 03:04:05",
+        " 31-jan-2024 ": "2024-01-31 00:00:00",
+        "31-Jan-2024 10:20:30": "2024-01-31 10:20:30",
+        "01/31/2024": "2024-01-31 00:00:00",
+        "01/31/2024 10:20:30": "2024-01-31 10:20:30",
+        "1700000000": "2023-11-14 22:13:20",
+        "1700000000123": "2023-11-14 22:13:20.123",
+        "2024/01/02": None,
+        "31-Xyz-2024": None,
+        "2024-13-01": None,
+        "text": None,
+    }
+    times = {"3:04": "03:04:00", "03:04:05.9": "03:04:05", "12:30 am": "00:30:00", "1:02:03 PM": "13:02:03", "13:00 PM": None, "24:00": None}
+    df = spark.createDataFrame([(k,) for k in stamps], "t string").select("t", parse_timestamp(F.col("t"), AUTO).cast("string"))
+    assert {r[0]: r[1] for r in df.collect()} == stamps
+    df = spark.createDataFrame([(k,) for k in times], "t string").select("t", parse_time_text(F.col("t"), auto=True))
+    assert {r[0]: r[1] for r in df.collect()} == times

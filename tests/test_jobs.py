@@ -81,6 +81,50 @@ def test_append_skips_bad_files_and_loads_once(store, stage):
     assert factors(store) == [1, 1, 2, 2, 3, 3, 7, 7]
 
 
+def test_loads_of_one_time_do_not_replace_each_other(store, stage):
+    write(stage, "in/a.csv", stop_rows(1))
+    write(stage, "out/b.csv", stop_rows(2))
+    for _ in range(2):  # the same loads again add nothing
+        for folder in ("in", "out"):
+            load(store, location=f"@MY_AZURE_STAGE/{folder}/")
+        assert factors(store) == [1, 2] and store.read("LOAD_HISTORY").count() == 2
+
+
+def test_a_load_that_stops_half_way_is_not_seen(store, stage, monkeypatch):
+    write(stage, "in/a.csv", stop_rows(1, 2))
+    append = store.append
+
+    def stops(name, df, batch):
+        if name == "LOAD_HISTORY":
+            raise RuntimeError("stopped")
+        append(name, df, batch)
+
+    monkeypatch.setattr(store, "append", stops)
+    with pytest.raises(RuntimeError):
+        load(store)
+    monkeypatch.setattr(store, "append", append)
+    assert factors(store) == [] and store.read("LOAD_HISTORY").count() == 0
+    load(store, run_at=T2)
+    assert factors(store) == [1, 2]
+    load(store)  # the stopped load, run again after all, finds nothing left to do
+    assert factors(store) == [1, 2]
+
+
+def test_two_datasets_share_a_table(store, stage, spark):
+    configure(
+        store,
+        spark,
+        ("IOT", "one", "MY_AZURE_STAGE", "one", "DB.RAW.STOP_LOG", None, None, True),
+        ("IOT", "two", "MY_AZURE_STAGE", "two", "DB.RAW.STOP_LOG", None, None, True),
+    )
+    write(stage, "one/a.csv", stop_rows(1, 2))
+    write(stage, "two/a.csv", stop_rows(3))
+    for run_at in (T1, T1, T2):
+        jobs.run_datasets(store, "IOT", run_at)
+        assert factors(store) == [1, 2, 3]
+        assert store.read("LOAD_HISTORY").agg(F.sum("rows_loaded")).first()[0] == 3
+
+
 def test_abort_writes_nothing(store, stage):
     write(stage, "in/a.csv", stop_rows(1))
     write(stage, "in/b.csv", HEAD + "x,N,L,1,4\n")
@@ -203,6 +247,35 @@ def test_refresh_events(store, stage, incremental):
     assert len(defects_again) == 4
 
 
+def test_wide_files_with_bad_lines_load_nothing(store, stage):
+    name = FOLDER + "a.csv"
+    good = ("h\n" + wide_line(d01="1")).encode("cp932")
+    write(stage, FOLDER + "b.csv", "h\n" + wide_line(d02="2"))
+    (stage / name).write_bytes(good + b"bad \xfd byte\n" + wide_line(d03="3").encode("cp932"))
+    assert jobs.refresh_events(store, T1) == "WARN"
+    assert {r.source_file_path for r in store.read(jobs.RAW).collect()} == {FOLDER + "b.csv"}
+    history = {r.file: (r.status, r.rows_loaded, r.errors_seen) for r in store.read("LOAD_HISTORY").collect()}
+    assert history == {name: ("LOAD_FAILED", 0, 1), FOLDER + "b.csv": ("LOADED", 1, 0)}
+    (stage / name).write_bytes(good)  # still pending, so the repaired file is read
+    assert jobs.refresh_events(store, T2) == "OK"
+    assert store.read(jobs.RAW).count() == 2 and store.read(jobs.EVENTS).count() == 2
+
+
+def test_a_merge_that_stops_half_way_leaves_the_old_table(store, stage, monkeypatch):
+    write(stage, FOLDER + "a.csv", "h\n" + wide_line(d01="1"))
+    jobs.refresh_events(store, T1)
+    monkeypatch.setattr(TableStore, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError):
+        jobs.normalize_events(store, T2)
+    monkeypatch.undo()
+    events, defects = wide(store)
+    assert [e.updated_at for e in events.values()] == [T1] and len(defects) == 1
+    jobs.normalize_events(store, T3)
+    events, defects = wide(store)
+    assert [(e.created_at, e.updated_at) for e in events.values()] == [(T1, T3)] and len(defects) == 1
+    assert store.read(jobs.EVENTS).count() == 1
+
+
 def test_normalize_keeps_defects_that_vanish(store, spark):
     """An upsert never deletes: rows the source no longer yields stay."""
     batch = "b1"
@@ -229,6 +302,10 @@ def test_stream_takes_each_file_once(store, stage, tmp_path):
     events, defects = wide(store)
     assert sorted(events) == [1, 2] and len(defects) == 2
     assert refresh_from_stream(store, checkpoint, T2, place) == 0
+    write(stage, FOLDER + "readme.txt", "not a record\n")
+    refresh_from_stream(store, checkpoint, T2, place)
+    assert store.read(jobs.EVENTS).count() == 2
+    assert refresh_from_stream(store, str(tmp_path / "other"), T2, "@MY_AZURE_STAGE/missing/") == 0
     write(stage, FOLDER + "b.csv", "h\n" + wide_line(d03="3"))
     write(stage, FOLDER + "c.csv", "h\n" + wide_line(d03="4"))
     assert refresh_from_stream(store, checkpoint, T3, place, max_files=1) == 2

@@ -21,6 +21,7 @@ from millrace.functions import (
     split_target,
     text_after,
 )
+from millrace import session
 from millrace.operators import joins, lookup, merge, runlog, semistruct
 from millrace.plans import reports
 from millrace.sources import config
@@ -78,8 +79,13 @@ PARTNER = "vbeln string, posnr string, parvw string, assigned_bp string, adrnr s
 ROLES = {"AG": {"assigned_bp": "bp", "adrnr": "addr"}}
 
 
-@pytest.mark.parametrize("unique", [True, False])
-def test_partner_is_decided_per_document(spark, unique):
+@pytest.fixture(params=[False, True], ids=["plain", "hot"])
+def key_counts(request, monkeypatch):
+    """Both ways of the lookups: as if no key were hot, and as if some were."""
+    monkeypatch.setattr(lookup, "has_hot_keys", lambda *_: request.param)
+
+
+def test_partner_is_decided_per_document(spark, key_counts):
     items = frame(
         spark,
         [("d1", "10"), ("d1", "20"), ("d2", "10"), ("d3", "10"), ("d4", "10"), ("d5", "000000"), (None, "10")],
@@ -100,7 +106,7 @@ def test_partner_is_decided_per_document(spark, unique):
         ],
         PARTNER,
     )
-    got = lookup.with_partners(items, partners, ROLES, ["vbeln"], unique_partners=unique)
+    got = lookup.with_partners(items, partners, ROLES, ["vbeln"])
     assert rows(got) == Counter(
         {
             ("d1", "10", "line", "L"): 1,
@@ -114,17 +120,15 @@ def test_partner_is_decided_per_document(spark, unique):
     )
 
 
-def test_repeated_partners(spark):
+def test_repeated_partners(spark, key_counts):
     items = frame(spark, [("d1", "10"), ("d2", "10")], "vbeln string, posnr string")
     partners = frame(
         spark,
         [("d1", "10", "AG", "a", "1"), ("d1", "10", "AG", "b", "2"), ("d2", "000000", "AG", "c", "3"), ("d2", "000000", "AG", "c", "3")],
         PARTNER,
     )
-    got = lookup.with_partners(items, partners, ROLES, ["vbeln"], unique_partners=False)
+    got = lookup.with_partners(items, partners, ROLES, ["vbeln"])
     assert rows(got) == Counter({("d1", "10", "a", "1"): 1, ("d1", "10", "b", "2"): 1, ("d2", "10", "c", "3"): 2})
-    with pytest.raises(PySparkException, match="repeated partners"):
-        lookup.with_partners(items, partners, ROLES, ["vbeln"]).collect()
 
 
 def test_open_schedule(spark):
@@ -142,14 +146,49 @@ def test_open_schedule(spark):
     )
     got = lookup.open_schedule(lines, ["vbeln", "posnr"])
     assert rows(got) == Counter({("d", "10", 8, 6, 2, "0002"): 1, ("d", "50", 2, 1, 1, None): 1})
-    assert rows(lookup.open_schedule(lines, ["vbeln", "posnr"], line_width=4)) == rows(got)
-    with pytest.raises(PySparkException, match="bytes wide"):
-        lookup.open_schedule(lines, ["vbeln", "posnr"], line_width=3).collect()
     dated = lines.withColumn("edatu", F.col("wmeng"))
-    last = lookup.last_line(got, dated, ["vbeln", "posnr"], ["edatu"], unique_lines=False)
+    last = lookup.last_line(got, dated, ["vbeln", "posnr"], ["edatu"])
     assert {(r.posnr, r.edatu) for r in last.collect()} == {("10", 3), ("50", None)}
 
 
+def test_open_last_lines(spark, key_counts):
+    """Line numbers are text of any width; every line with the last one is kept."""
+    lines = frame(
+        spark,
+        [
+            ("d", "10", "9", 5, 1, "a"),
+            ("d", "10", "10", 5, 1, "b"),
+            ("d", "10", "9", 1, 1, "c"),
+            ("d", "20", "0001", 5, 5, "x"),
+            ("d", "30", None, 5, 1, "y"),
+            ("d", "30", None, 5, 1, "z"),
+            ("d", "40", "é1", None, 1, "u"),
+            ("d", "50", "00001", 2, 1, None),
+            (None, "60", "1", 2, 1, "k"),
+        ],
+        "vbeln string, posnr string, etenr string, wmeng int, dlvqty_su int, edatu string",
+    )
+    got = lookup.open_last_lines(lines, ["vbeln", "posnr"], ["edatu"])
+    assert rows(got) == Counter(
+        {
+            ("d", "10", 11, 3, 8, "9", "a"): 1,
+            ("d", "10", 11, 3, 8, "9", "c"): 1,
+            ("d", "30", 10, 2, 8, None, None): 1,
+            ("d", "50", 2, 1, 1, "00001", None): 1,
+            (None, "60", 2, 1, 1, "1", None): 1,
+        }
+    )
+
+
+def test_partners_of_three_roles_take_few_shuffles(spark):
+    partners = frame(spark, [("d1", "10", "AG", "a", "1"), ("d1", "000000", "WE", "b", "2")], PARTNER)
+    items = frame(spark, [("d1", "10")], "vbeln string, posnr string")
+    roles = {r: {"assigned_bp": f"bp{r}", "adrnr": f"addr{r}"} for r in ("AG", "WE", "ZR")}
+    with session.conf_set(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        plan = lookup.with_partners(items, partners, roles, ["vbeln"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") < 15
+
+
 def test_names_of_missing_addresses(spark):
     df = frame(spark, [("1", "a"), ("2", None), ("3", "zz")], "id string, addr string")
     names = frame(spark, [("a", "Anna"), (None, "nobody")], "addrnumber string, name1 string")
