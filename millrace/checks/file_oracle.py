@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from millrace.checks.file_queries import TYPED_VALUES, kind_of
+from millrace.sources import schemas
+
 _STOP = """
     SELECT date_trunc('second', ts) AS stamp, 'ﾊﾝｶｸ' || user_id AS code, 'line,' || event_type AS line,
            length(event_type)::DECIMAL(1,0) AS state, (props->>'$.k')::DECIMAL(3,0) AS factor
@@ -35,6 +38,16 @@ _RUN = """
     UNION ALL
     SELECT 'table', NULL, event_type, NULL, NULL, n FROM e WHERE event_type <> 'error'"""
 
+
+
+def _typed_log(name: str) -> str:
+    def value(kind) -> str:
+        sql = TYPED_VALUES[kind_of(kind)][1]
+        return f"{sql}::{kind.simpleString()}" if kind_of(kind) == "decimal" else sql
+
+    return "SELECT " + ", ".join(f'{value(k)} AS "{n}"' for n, k in schemas.columns(name)) + " FROM lineitem"
+
+
 FILE_ORACLE = {
     "typed_load": _STOP,
     "full_refresh": _STOP,
@@ -59,6 +72,23 @@ FILE_ORACLE = {
             AND h.file_size = f.file_size AND h.stamp = f.stamp)""",
     "wide_refresh": _WIDE,
     "stream_refresh": _WIDE,
+    "odd_lines": """
+        WITH e AS (SELECT event_type AS line, count(*) AS n, count(DISTINCT user_id) AS codes, min('N' || user_id) AS code,
+                          sum(length(event_type))::BIGINT AS states, sum((props->>'$.k')::BIGINT)::BIGINT AS factors
+                   FROM events GROUP BY event_type)
+        SELECT line, CASE WHEN bad THEN 'LOAD_FAILED' ELSE 'LOADED' END AS status, CASE WHEN bad THEN 0 ELSE n END AS rows_loaded,
+               CASE WHEN bad THEN n ELSE 0 END AS errors_seen, CASE WHEN bad THEN 'line does not have 5 columns' END AS first_error,
+               CASE WHEN NOT bad THEN n END AS n, CASE WHEN NOT bad THEN codes END AS codes, CASE WHEN NOT bad THEN code END AS code,
+               CASE WHEN NOT bad THEN states END AS states, CASE WHEN NOT bad THEN factors END AS factors
+        FROM (SELECT *, line IN ('click', 'view') AS bad FROM e)""",
+    **{f"typed_{name.lower()}": _typed_log(name) for name in ("MC_LOG", "PROD_LOG", "REEL_LOG")},
+    "job_results": """
+        SELECT 'no files' AS job, 'OK' AS answer, 'Copy executed with 0 files processed.' AS copy_status, NULL::INTEGER AS code
+        UNION ALL VALUES ('load type', 'INVALID_LOAD_TYPE', NULL, -20001), ('target', 'INVALID_TARGET', NULL, -20002),
+            ('table', 'TABLE_NOT_FOUND', NULL, -20003), ('good files', 'OK', 'LOADED', NULL), ('bad files', 'WARN', 'LOAD_FAILED', NULL),
+            ('bad rows', 'BAD_ROWS', NULL, NULL), ('no system', 'RECOVERY DONE: 0', NULL, NULL)
+        UNION ALL SELECT 'datasets', 'DONE: ' || count(DISTINCT event_type) || ' dataset(s)', NULL, NULL FROM events
+        UNION ALL SELECT 'recovery', 'RECOVERY DONE: ' || count(DISTINCT event_type), NULL, NULL FROM events WHERE event_type = 'error'""",
     "wide_spoilt": """
         SELECT way, line, CASE WHEN line = 'L1' THEN 'LOADED' ELSE 'LOAD_FAILED' END AS status, count(*) AS rows_parsed,
                CASE WHEN line = 'L1' THEN count(*) ELSE 0 END AS rows_loaded, CASE WHEN line = 'L1' THEN 0 ELSE count(*) END AS errors_seen,

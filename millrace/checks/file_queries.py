@@ -256,6 +256,102 @@ def wide_spoilt(spark, sf_dir):
     return found[0].unionByName(found[1])
 
 
+def odd_lines(spark, sf_dir):
+    """Compressed files with blanks around fields, and lines of some kinds a field short or long.
+
+    Files of good lines load with trimmed values, the others are in error.
+    """
+    events = table(spark, sf_dir, "events")
+    padded = [
+        F.date_format("ts", "yyyy/MM/dd HH:mm:ss"),
+        F.concat(F.lit("  N"), F.col("user_id").cast("string"), F.lit("  ")),
+        F.concat(F.lit(" "), F.col("event_type")),
+        F.concat(F.lit(" "), F.length("event_type").cast("string"), F.lit(" ")),
+        F.regexp_extract("props", r"\d+", 0),
+    ]
+    lines = F.concat_ws(",", *padded)
+    lines = F.when(F.col("event_type") == "click", F.concat(lines, F.lit(",more"))).when(
+        F.col("event_type") == "view", F.concat_ws(",", *padded[:4])
+    ).otherwise(lines)
+    folder = session.scratch_path(spark, "files")
+    header = F.lit("h1,h2,h3,h4,h5")
+    # each file starts with its header line
+    rows = events.select(F.col("event_type").alias("kind"), lines.alias("value"), F.lit(1).alias("n"))
+    heads = events.select(F.col("event_type").alias("kind")).distinct().select("kind", header.alias("value"), F.lit(0).alias("n"))
+    ordered = rows.unionByName(heads).repartition("kind").sortWithinPartitions("kind", "n")
+    ordered.drop("n").write.partitionBy("kind").option("compression", "gzip").text(folder)
+    store = _store(spark, folder)
+    jobs.load_table(store, "DB.RAW.STOP_LOG", "APPEND", "@FILES/", "FF_CSV_COMMON", r".*\.gz", "SKIP_FILE", run_at=RUN_AT)
+    history = store.read("LOAD_HISTORY").select(
+        F.regexp_extract("file", "kind=([a-z]+)/", 1).alias("line"), "status", "rows_loaded", "errors_seen", "first_error"
+    )
+    found = _plain_names(store.read("STOP_LOG")).groupBy("line").agg(
+        F.count("*").alias("n"), F.count_distinct("code").alias("codes"), F.min("code").alias("code"), F.sum("state").cast("long").alias("states"),
+        F.sum("factor").cast("long").alias("factors"),
+    )
+    return history.join(found, "line", "left")
+
+
+# what a field of a kind holds in the files, beside the SQL of the value it must have
+TYPED_VALUES = {
+    "string": (lambda: F.concat(F.lit("v"), F.col("l_orderkey").cast("string")), "'v' || l_orderkey"),
+    "date": (lambda: F.date_format("l_shipdate", "yyyy/MM/dd"), "l_shipdate::DATE"),
+    "timestamp_ntz": (lambda: F.date_format("l_shipdate", "yyyy/MM/dd HH:mm:ss"), "l_shipdate::TIMESTAMP"),
+    "time": (lambda: F.concat(F.lit("0"), F.col("l_linenumber").cast("string"), F.lit(":02:03")), "'0' || l_linenumber || ':02:03'"),
+    "decimal": (lambda: F.col("l_linenumber").cast("string"), "l_linenumber"),
+}
+
+
+def kind_of(kind) -> str:
+    return "time" if kind == schemas.TIME else kind.simpleString().partition("(")[0]
+
+
+def _typed_log(name: str):
+    def run(spark, sf_dir):
+        columns = schemas.columns(name)
+        rows = table(spark, sf_dir, "lineitem").select(*[TYPED_VALUES[kind_of(k)][0]().alias(n) for n, k in columns])
+        folder = session.scratch_path(spark, "files")
+        _write(rows, f"{folder}/IoT/Recv/{name}")
+        store = _store(spark, folder)
+        jobs.load_table(store, **jobs.TYPED_LOADS[name], run_at=RUN_AT)
+        return store.read(name)
+
+    run.__name__, run.__doc__ = f"typed_{name.lower()}", f"Line items written as files of {name} and loaded by its own job."
+    return run
+
+
+TYPED_LOGS = [_typed_log(n) for n in ("MC_LOG", "PROD_LOG", "REEL_LOG")]
+
+
+def job_results(spark, sf_dir):
+    """What the jobs answer: states, error numbers, counts."""
+    store = _run_all(spark, sf_dir)
+    answers = []
+
+    def load(job: str, **changes) -> None:
+        args = {"target": "DB.RAW.STOP_LOG", "load_type": "APPEND", "location": "@FILES/none/", "file_format": "FF_CSV_COMMON", "run_at": RUN_AT}
+        try:
+            result = jobs.load_table(store, **{**args, **changes})
+            answers.append((job, result.status, result.copy_status, None))
+        except jobs.LoadError as error:
+            answers.append((job, error.kind, None, error.code))
+
+    load("no files")
+    load("load type", load_type="UPSERT")
+    load("target", load_type="FULL_REFRESH", target="STOP_LOG")
+    load("table", target="DB.RAW.OPS_RUN_LOG")
+    load("good files", location="@FILES/kind=click/", load_type="append", on_error="SKIP_FILE", force=True)
+    load("bad files", location="@FILES/kind=error/", on_error="SKIP_FILE")
+    load("bad rows", location="@FILES/kind=error/", on_error="ABORT_STATEMENT")
+    answers.append(("datasets", jobs.run_datasets(store, "IOT", datetime(2024, 2, 2)), None, None))
+    jobs.rebuild_error_log(store)
+    jobs.rebuild_recovery_queue(store, datetime(2024, 2, 2))
+    answers.append(("recovery", jobs.run_recovery(store, "IOT", datetime(2024, 2, 3)), None, None))
+    jobs.rebuild_recovery_queue(store, datetime(2024, 2, 4))
+    answers.append(("no system", jobs.run_recovery(store, "OTHER", datetime(2024, 2, 4)), None, None))
+    return spark.createDataFrame(answers, "job string, answer string, copy_status string, code int")
+
+
 FILE_QUERIES = {
     f.__name__: f
     for f in (
@@ -270,5 +366,8 @@ FILE_QUERIES = {
         dataset_run,
         recovery_run,
         wide_spoilt,
+        odd_lines,
+        *TYPED_LOGS,
+        job_results,
     )
 }

@@ -383,7 +383,7 @@ ORACLE = {
         WITH s AS (SELECT o_custkey, sum(o_totalprice::DECIMAL(18,2)) AS amount,
                      CASE WHEN sum(o_totalprice::DECIMAL(18,2)) > 400000 THEN max(o_orderstatus) END AS note
               FROM orders GROUP BY o_custkey
-              UNION ALL SELECT -s_suppkey, s_acctbal::DECIMAL(18,2), s_name FROM supplier)
+              UNION ALL SELECT -s_suppkey - 1, s_acctbal::DECIMAL(18,2), s_name FROM supplier)
         SELECT coalesce(c_custkey, o_custkey) AS custkey,
                (CASE WHEN o_custkey IS NULL THEN c_acctbal::DECIMAL(18,2) ELSE amount END)::DECIMAL(18,2) AS amount,
                CASE WHEN o_custkey IS NULL THEN c_name ELSE note END AS note, c_nationkey AS nation,

@@ -266,7 +266,7 @@ def event_upsert(spark, sf_dir):
         )
     )
     suppliers = table(spark, sf_dir, "supplier").select(
-        (-F.col("s_suppkey")).alias("custkey"), F.col("s_acctbal").cast(money).alias("amount"), F.col("s_name").alias("note")
+        (-F.col("s_suppkey") - 1).alias("custkey"), F.col("s_acctbal").cast(money).alias("amount"), F.col("s_name").alias("note")
     )
     return merge.upsert(target, source.unionByName(suppliers), ["custkey"], RUN_AT)
 
