@@ -438,3 +438,14 @@ def test_recovery_queue(spark):
         ("b", "@S/y.csv", "PENDING", True, NOW),
     }
     assert len(got) == 2 and len({r.queue_id for r in got}) == 2
+
+
+def test_digest_limit_hides_nothing_visible(spark, monkeypatch):
+    """Leaving out entries that cannot show gives the same text as listing all of them."""
+    outcomes = spark.range(3000).select(
+        F.lit("d").alias("dataset"), F.concat(F.lit("f"), F.col("id").cast("string")).alias("file"), F.lit(1).alias("errors_seen"),
+        F.lit("").alias("first_error"), F.lit(1).alias("first_error_line"), F.lit(1).alias("first_error_character"),
+    )
+    limited = runlog.error_digest(outcomes, ["dataset"]).collect()
+    monkeypatch.setattr(runlog, "MAX_VISIBLE", 10**6)
+    assert limited == runlog.error_digest(outcomes, ["dataset"]).collect()
