@@ -6,22 +6,44 @@ returns a DataFrame; ``run`` writes each result as Parquet and reads it again fo
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import mixing, near_dup, packing, quality, repeats
-from millrace.llm.common import saved
+from millrace.llm.common import dropped, remove, saved, scratch_scope
+
+_past: list[str] = []
+
+
+def _stage(function):
+    """A stage whose tables in the shared folder go when the next one starts: its result is written by then."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _past:
+            remove(spark, _past.pop())
+        with scratch_scope() as made:
+            out = function(spark, docs, sf_dir)
+        _past.extend(made)
+        return out
+
+    return run_stage
+
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+@_stage
 def reject_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier rejects."""
     scored = quality.score_quality(docs, carry=COLUMNS)
     return scored.where(F.col("_quality") >= quality.KEEP).select(*COLUMNS)
 
 
+@_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group: the one with the smallest id; documents without words stay."""
     found = near_dup.near_duplicates(docs)
@@ -37,6 +59,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return stay.select(*COLUMNS).unionByName(nameless.select(*COLUMNS)).unionByName(plain)
 
 
+@_stage
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove later copies of repeated byte strings; the first copy and whole characters stay."""
     cut = repeats.cut_repeats(docs, keep_first=True, characters=True)
@@ -47,12 +70,14 @@ def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return whole.select("doc_id", text.alias("text"), "lang", "source", n_chars.alias("n_chars"))
 
 
+@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: 0, 1 or 2 times."""
     mixed = mixing.mix(docs, carry=COLUMNS).where("_copies > 0")
     return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*COLUMNS)
 
 
+@_stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of at most 2048 ids, as placements of document pieces."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -72,6 +97,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+    for k, (name, stage) in enumerate(STAGES):
+        past, docs = docs, saved(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        if k:
+            dropped(past)
     return docs

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +14,48 @@ from millrace import session
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_scopes: list[list[str]] = []
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: survives lost executors."""
-    return session.written(df, session.scratch_path(df.sparkSession, label))
+    path = session.scratch_path(df.sparkSession, label)
+    out = session.written(df, path)
+    out.scratch = path
+    for scope in _scopes[-1:]:
+        scope.append(path)
+    return out
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Delete tables made by ``saved`` that nothing reads any more."""
+    for df in frames:
+        remove(df.sparkSession, df.scratch)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = session.file_system(spark, path)
+    fs.delete(p, True)
+
+
+@contextmanager
+def scratch_scope():
+    """The paths of all tables saved inside, for deleting them once the result is written."""
+    _scopes.append([])
+    try:
+        yield _scopes[-1]
+    finally:
+        _scopes.pop()
+
+
+def pruned_joins(spark: SparkSession):
+    """Let Spark drop rows by a Bloom filter of the other side before it shuffles them.
+
+    The filter has at most 8 MB (Spark's own bound); beyond that it drops fewer rows. The
+    small side must be a written table with a filter on it. It changes no result.
+    """
+    prefix = "spark__sql__optimizer__runtime__bloomFilter__"
+    return session.conf_set(spark, **{f"{prefix}applicationSideScanSizeThreshold": "0", f"{prefix}creationSideThreshold": "1g"})
 
 
 def partitions(spark: SparkSession) -> int:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import saved
+from millrace.llm.common import dropped, saved
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
@@ -28,12 +28,16 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         maps.append(moved)
         first = moved.select(F.col("node").alias("a"), F.col("to").alias("na"))
         second = moved.select(F.col("node").alias("b"), F.col("to").alias("nb"))
+        past = edges
         edges = edges.join(first, "a").join(second, "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
         edges = saved(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), label)
+        dropped(past)
     if not maps:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     found = maps[0].withColumnRenamed("to", "root")
     for moved in maps[1:]:
         step = moved.select(F.col("node").alias("root"), "to")
         found = found.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-    return saved(found, label)
+    found = saved(found, label)
+    dropped(*maps)
+    return found

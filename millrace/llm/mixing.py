@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, saved, scalar
+from millrace.llm.common import WORD, dropped, saved, scalar
 
 MOST = 2.0  # copies a document can have at most
 SHARE = 1.5  # words of the mix, as a multiple of all words given
@@ -74,7 +74,8 @@ def _balanced(sizes: DataFrame, sources: DataFrame, most: float) -> DataFrame:
         newton = F.col("tilt") - over / F.col("slope")
         inside = (F.col("slope") > 0) & (newton > F.col("low")) & (newton < F.col("high"))
         step = step.withColumn("tilt", F.when(F.col("off") < TOLERANCE, F.col("tilt")).when(inside, newton).otherwise((F.col("low") + F.col("high")) / 2))
-        state = saved(step.drop("got", "slope"), "mix-dual")
+        past, state = state, saved(step.drop("got", "slope"), "mix-dual")
+        dropped(past)
         if (scalar(state.agg(F.max("off"))) or 0.0) < TOLERANCE:
             break
     return state.select("source", "words", "target", "full", "mean", "tilt")

@@ -26,7 +26,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import saved, scalar
+from millrace.llm.common import dropped, pruned_joins, saved, scalar
 from millrace.llm.words import mix, powers, texts_of
 
 SPAN = 200
@@ -294,7 +294,10 @@ def cut_repeats(docs: DataFrame, span: int = SPAN, keep_first: bool = True, char
     found = saved(rows.mapInArrow(_find_runs(span, GRAM), "id long, th long, gram long, content long, place long, again boolean"), "rep-runs")
     again = found.groupBy("gram").agg(F.sum(F.when(F.col("again"), 2).otherwise(1)).alias("n"), F.max("again").alias("tie")).where("n > 1")
     again = saved(again.select("gram", "tie"), "rep-grams")
-    found = saved(found.drop("again").join(again, "gram"), "rep-again")
+    all_runs = found
+    with pruned_joins(docs.sparkSession):
+        found = saved(all_runs.drop("again").join(again.where("gram IS NOT NULL"), "gram"), "rep-again")
+    dropped(all_runs, again)
 
     own = F.struct("id", "th", "place")
     classes = found.groupBy("gram", "content").agg(F.count("*").alias("n"), F.min(own).alias("first"), F.max("tie").alias("tie"))
@@ -309,7 +312,11 @@ def cut_repeats(docs: DataFrame, span: int = SPAN, keep_first: bool = True, char
         F.collect_list(F.when(sure, F.col("place"))).alias("known"),
         F.collect_set(F.when(mine & F.col("runs").isNotNull(), F.struct("gram", "place", "runs"))).alias("open"),
     )
-    texts = saved(rows.join(per_text, ["id", "th"]).dropDuplicates(["id", "th"]), "rep-texts")
+    per_text = saved(per_text, "rep-per-text")
+    dropped(found)
+    with pruned_joins(docs.sparkSession):
+        texts = saved(rows.join(per_text.where("th IS NOT NULL"), ["id", "th"]).dropDuplicates(["id", "th"]), "rep-texts")
+    dropped(per_text)
 
     opened = texts.where(F.size("open") > 0).select("id", "th", "text", "open").mapInArrow(_run_bytes(span), "id long, th long, gram long, start long, runs long, bytes binary")
     opened = saved(opened, "rep-open")
@@ -322,6 +329,7 @@ def cut_repeats(docs: DataFrame, span: int = SPAN, keep_first: bool = True, char
     same_string = strings.groupBy("gram", "hash").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
     strings = strings.join(same_string, ["gram", "hash"]).where(F.lit(not keep_first) | (place != F.col("first")))
     spans = saved(spans.unionByName(strings.select("id", "th", F.col("start").alias("low"), (F.col("start") + span).alias("high"))), "rep-spans")
+    dropped(opened)
 
     more = spans.groupBy("id", "th").agg(F.collect_list(F.struct("low", "high")).alias("more"))
     whole = texts.drop("open").join(more, ["id", "th"], "left")

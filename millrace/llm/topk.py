@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import finite_vector, saved, scalar
+from millrace.llm.common import dropped, finite_vector, saved, scalar
 
 BINS = 1024
 QUERY_BLOCK = 2048
@@ -114,6 +114,7 @@ def exact_top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 6
     )
     spread = lambda q: q.withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1)))).groupBy(*keys)
     state = queries.select("query_id", F.lit(-bound).cast("long").alias("low"), F.lit(bound).cast("long").alias("high"), F.lit(shift).cast("long").alias("shift"), F.lit(0).cast("long").alias("above"))
+    kept = None
     while True:
         bins = spread(queries.join(state, "query_id")).cogroup(right.groupBy(*keys)).applyInArrow(_histogram(k), "query_id long, bin long, n long")
         bins = bins.groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
@@ -130,7 +131,10 @@ def exact_top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 6
             F.greatest(F.lit(0), F.col("shift") - (BINS.bit_length() - 1)).cast("long").alias("shift"),
             F.when(short, F.col("above")).otherwise(F.col("above") + F.col("more")).alias("above"),
         )
-        state = saved(state, "topk-state")
+        past, state = kept, saved(state, "topk-state")
+        kept = state
+        if past is not None:
+            dropped(past)
         if not scalar(state.agg(F.max(F.col("high") - F.col("low")))):
             break
     hits = spread(queries.join(state, "query_id")).cogroup(right.groupBy(*keys)).applyInArrow(_select(k), "query_id long, vec_id long, score long")

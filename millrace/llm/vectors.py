@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import finite_vector, saved, scalar
+from millrace.llm.common import dropped, finite_vector, saved, scalar
 from millrace.llm.components import components
 
 EXPECTED = 96
@@ -215,6 +215,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
     tasks = scalar(placed.agg(F.count("*"))) // BUCKET + 1
     placed = placed.withColumn("bucket", F.pmod(F.xxhash64("f", "dim", "i", "j"), F.lit(tasks)))
     found = saved(placed.groupBy("bucket").applyInArrow(_compare(cosine), "id long, links long, to long"), "vec-found")
+    dropped(decoded, held)
 
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("id").alias("a"), F.col("to").alias("b")), "vec-components")
