@@ -5,11 +5,12 @@ bucket keeps the leading zeros of its smallest hash and the mantissa bits after
 registers make a band; documents that agree in a band become candidates. Documents with
 equal sets are one class from the start, whatever their number.
 
-Bands link each class to the smallest class of the bucket, so a bucket of n classes gives
+Bands link each class to the first class of the bucket, the one with the most copies, so a bucket of n classes gives
 n - 1 edges. Components of these edges are groups in which all links must lie. Small groups
-are settled in one task. In large ones the edges are checked first; classes that these
-checks join need no further comparison with each other, and only the rest of the group is
-compared, block by block, with all of it.
+are settled in one task. In large ones each class is first checked with the first it
+shares a band with; classes that these checks join need no further comparison with each
+other. A class is then compared, block by block, with those classes of other components that
+it shares a band with.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import same, saved
+from millrace.llm.common import dropped, partitions, pruned_joins, saved, scalar
 from millrace.llm.components import components
 from millrace.llm.words import mix, shingle_sets
 
@@ -28,7 +29,11 @@ BUCKET_BITS = 7
 MANTISSA = 24
 ROWS = 4  # registers to a band: 32 bands, which miss a pair at 0.8 in 5 cases of 10^8
 SMALL_GROUP = 256  # classes compared in one task; larger groups take the way above
-CHUNK = 256
+CHUNK = 256  # classes checked beside one copy of their hub
+BLOCK = 1024  # classes to a block; a class goes to as many tasks as its group has blocks
+BUCKET = 512  # classes a task should hold
+COMPARED = 1 << 15  # pairs estimated at once
+COLUMNS = 8192  # elements to a product of set memberships
 SPREAD = 5.0  # standard errors that an estimate may lie below the threshold
 
 
@@ -59,10 +64,10 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     return np.where(r.any(axis=2), key, np.uint64(0)).view(np.int64)
 
 
-def estimate(regs: np.ndarray, one: np.ndarray, sizes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Jaccard estimates of many rows against one, less the matches expected by chance, and their standard errors at 0.8."""
-    used = ((regs > 0) | (one > 0)).sum(axis=1)
-    alike = ((regs == one) & (regs > 0)).sum(axis=1)
+def estimate(regs: np.ndarray, other: np.ndarray, sizes: np.ndarray, size) -> tuple[np.ndarray, np.ndarray]:
+    """Jaccard estimates of rows against one other, or row by row against others, less the matches expected by chance, and their standard errors at 0.8."""
+    used = ((regs > 0) | (other > 0)).sum(axis=1)
+    alike = ((regs == other) & (regs > 0)).sum(axis=1)
     # expected chance matches of HyperMinHash registers; the factor is the published constant
     chance = 0.1699194871597391 * 2.0 ** (BUCKET_BITS - MANTISSA) * 4.0 * sizes * size / (sizes + size) ** 2.0
     used = np.maximum(used, 1)
@@ -95,10 +100,9 @@ def _describe(size: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"), batch.column("th"), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([int.from_bytes(p[:8], "little", signed=True) for p in prints], pa.int64()),
                     pa.array(prints, pa.binary()), pa.ListArray.from_arrays(pa.array(cuts), pa.array(keys.reshape(-1))),
                 ],
-                ["id", "th", "n", "node", "print", "keys"],
+                ["id", "th", "n", "print", "keys"],
             )
 
     return run
@@ -114,7 +118,7 @@ def _sets(size: int):
             if ok:
                 rows = batch.take(pa.array(ok))
                 data = pa.array([sets[i].tobytes() for i in ok], pa.binary())
-                yield pa.RecordBatch.from_arrays([rows.column("node"), rows.column("print"), rows.column("grp"), data], ["node", "print", "grp", "set"])
+                yield pa.RecordBatch.from_arrays([rows.column("print"), rows.column("grp"), data], ["print", "grp", "set"])
 
     return run
 
@@ -128,51 +132,136 @@ def _unpacked(table: pa.Table):
     return table, sets, registers(sets), np.array([len(s) for s in sets], np.int64)
 
 
+def _agree(keys: np.ndarray) -> np.ndarray:
+    """Which rows agree in one of the given bands."""
+    together = np.zeros((len(keys), len(keys)), bool)
+    for band in keys.T:
+        order = np.argsort(band, kind="stable")
+        ordered = band[order]
+        bounds = np.r_[np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]), len(band)]
+        for i in np.flatnonzero((np.diff(bounds) > 1) & (ordered[bounds[:-1]] != 0)).tolist():
+            some = order[bounds[i] : bounds[i + 1]]
+            together[some[:, None], some] = True
+    return together
+
+
+def _near(regs: np.ndarray, sizes: np.ndarray, share: float, pairs: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the wanted pairs agree in a band and may reach ``share`` by their registers.
+
+    In the bucket of one band, all agree in that band; pairs that agree in an earlier one are
+    left to the bucket of that.
+    """
+    keys = band_keys(regs)
+    together = _agree(keys) if band == ANY_BAND else ~_agree(keys[:, :band])
+    x, y = np.nonzero(together & pairs)
+    keep = np.zeros(len(x), bool)
+    for a in range(0, len(x), COMPARED):
+        part = slice(a, a + COMPARED)
+        guess, error = estimate(regs[x[part]], regs[y[part]], sizes[x[part]], sizes[y[part]])
+        keep[part] = guess >= share - SPREAD * error
+    return x[keep], y[keep]
+
+
+def _joined(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """Smallest position reachable from each of ``n`` along the pairs."""
+    label = np.arange(n)
+    while True:
+        low = label.copy()
+        np.minimum.at(low, x, label[y])
+        np.minimum.at(low, y, label[x])
+        low = low[low]
+        if (low == label).all():
+            return label
+        label = low
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections, by products over the elements that more than one set holds."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = times[column] > 1
+    row, column = row[several], np.unique(column[several], return_inverse=True)[1]
+    out = np.zeros((len(sets), len(sets)), np.float64)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for a in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        first, last = np.searchsorted(column, [a, a + COLUMNS])
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[row[first:last], column[first:last] - a] = 1
+        out += part @ part.T
+    return out
+
+
+def _group_links(table: pa.Table, across: bool, percent: int) -> list[tuple[bytes, bytes]]:
+    """Edges that join what is linked within a group, or between two blocks of it."""
+    table, sets, regs, sizes = _unpacked(table)
+    prints, block = table["print"].to_pylist(), table["block"].to_numpy()
+    names: dict[bytes, int] = {}
+    comp = np.array([names.setdefault(c, len(names)) for c in table["comp"].to_pylist()])
+    pairs = np.triu(comp[:, None] != comp[None, :], 1)
+    if across:
+        pairs &= block[:, None] != block[None, :]
+    x, y = _near(regs, sizes, percent / 100, pairs, table["band"][0].as_py())
+    found = []
+    family = _joined(x, y, len(sets))
+    by_family = np.argsort(family[x], kind="stable")
+    x, y = x[by_family], y[by_family]
+    bounds = np.r_[np.flatnonzero(np.r_[True, family[x][1:] != family[x][:-1]]), len(x)].tolist() if len(x) else []
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        some, place = np.unique(np.r_[x[a:b], y[a:b]], return_inverse=True)
+        i, j = place[: b - a], place[b - a :]
+        both = intersections([sets[k] for k in some])[i, j]
+        sure = 100 * both >= percent * (sizes[some[i]] + sizes[some[j]] - both)
+        label = _joined(i[sure], j[sure], len(some))
+        found += [(prints[some[k]], prints[some[m]]) for k, m in enumerate(label.tolist()) if k != m]
+    return found
+
+
 def _links_of(percent: int):
-    """All links that join something within a group, or between two blocks of it."""
-
-    def run(key, table):
-        table, sets, regs, sizes = _unpacked(table)
-        prints, block = table["print"].to_pylist(), table["block"].to_numpy()
-        across = key[1].as_py() != key[2].as_py()
-        names: dict[bytes, int] = {}
-        comp = np.array([names.setdefault(c, len(names)) for c in table["comp"].to_pylist()])
-        found = []
-        for v in range(len(sets)):
-            other = comp != comp[v]
-            other[: v + 1] = False
-            if across:
-                other &= block != block[v]
-            other = np.flatnonzero(other)
-            if not len(other):
-                continue
-            guess, error = estimate(regs[other], regs[v], sizes[other], sizes[v])
-            for w in other[guess >= percent / 100 - SPREAD * error].tolist():
-                if comp[w] != comp[v] and linked(sets[v], sets[w], percent):
-                    comp[comp == comp[w]] = comp[v]
-                    found.append((prints[v], prints[w]))
+    """``_group_links`` of all the groups of a bucket."""
+
+    def run(table):
+        table = table.sort_by([("grp", "ascending"), ("i", "ascending"), ("j", "ascending")]).combine_chunks()
+        grp, i, j = (table[c].to_numpy() for c in ("grp", "i", "j"))
+        fresh = np.r_[True, (grp[1:] != grp[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
+        bounds = np.r_[np.flatnonzero(fresh), len(grp)].tolist()
+        found = [p for a, b in zip(bounds, bounds[1:], strict=False) for p in _group_links(table.slice(a, b - a), i[a] != j[a], percent)]
         return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
 
     return run
 
 
+def _in_buckets(work: DataFrame, keys: list[str], function, percent: int, rows: int) -> DataFrame:
+    """Edges found by ``function`` on buckets of whole groups; compute, not bytes, decides their number."""
+    spark = work.sparkSession
+    buckets = rows // BUCKET + 1
+    work = work.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets))).repartition(min(buckets, 4 * partitions(spark)), "bucket")
+    return work.groupBy("bucket").applyInArrow(function(percent), EDGE)
+
+
 def _star_links(percent: int):
-    """Links between a hub and the classes dealt to this chunk of its edges."""
+    """Links between hubs and the classes dealt to the same chunks of their edges."""
 
-    def run(key, table):
-        table, sets, regs, sizes = _unpacked(table)
-        prints, hub = table["print"].to_pylist(), table["hub"].to_numpy(zero_copy_only=False)
+    def run(table):
+        table = table.sort_by([("at", "ascending"), ("chunk", "ascending")]).combine_chunks()
+        at, chunk = table["at"].to_numpy(), table["chunk"].to_numpy()
+        bounds = np.r_[np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (chunk[1:] != chunk[:-1])]), len(at)].tolist()
         found = []
-        for h in np.flatnonzero(hub).tolist():
-            guess, error = estimate(regs, regs[h], sizes, sizes[h])
-            for w in np.flatnonzero(~hub & (guess >= percent / 100 - SPREAD * error)).tolist():
-                if linked(sets[h], sets[w], percent):
-                    found.append((prints[h], prints[w]))
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            part, sets, regs, sizes = _unpacked(table.slice(a, b - a))
+            prints, hub = part["print"].to_pylist(), part["hub"].to_numpy(zero_copy_only=False)
+            for h in np.flatnonzero(hub).tolist():
+                guess, error = estimate(regs, regs[h], sizes, sizes[h])
+                for w in np.flatnonzero(~hub & (guess >= percent / 100 - SPREAD * error)).tolist():
+                    if linked(sets[h], sets[w], percent):
+                        found.append((prints[h], prints[w]))
         return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
 
     return run
 
 
+NO_ID = 2**63 - 1
+ANY_BAND = -1
 EDGE = "a binary, b binary"
 
 
@@ -186,27 +275,47 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     without an id take part; a component of only such rows has no name (NULL). Rows that repeat
     are copies of each other. No rows: no rows.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).cast("string").alias("text"))
-    signed = rows.mapInArrow(_describe(shingle), "id long, th long, n long, node long, print binary, keys array<long>")
+    signed = rows.mapInArrow(_describe(shingle), "id long, th long, n long, print binary, keys array<long>")
     signed = saved(signed, "near-signed")
-    # equal sets are one class; its node number is part of the fingerprint, and two classes
-    # that share one are only compared needlessly
-    classes = signed.where("n > 0").groupBy("print").agg(F.min("id").alias("first"), F.first("node").alias("node"), F.first("keys").alias("keys"))
-    classes = saved(classes, "near-classes")
+    # equal sets are one class, and one of its texts stands for it. Its number orders classes by
+    # their copies, then by id: the texts copied most are the likeliest centres of a group. Two
+    # classes that share a number are only compared needlessly
+    classes = signed.where("n > 0").groupBy("print").agg(
+        F.min("id").alias("first"), F.min(F.struct(F.coalesce("id", F.lit(NO_ID)).alias("id"), "th")).alias("text"), F.first("keys").alias("keys"),
+        F.count("*").alias("copies"),
+    )
+    rank = F.shiftleft(32767 - F.least("copies", F.lit(32767)), 48)
+    number = rank + F.pmod(F.coalesce("first", F.xxhash64("print")), F.lit(1 << 48))
+    classes = saved(classes.withColumn("node", number).drop("copies"), "near-classes")
     bands = classes.select("node", F.explode("keys").alias("key")).where("key <> 0")
-    hubs = bands.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
-    star = saved(bands.join(hubs, "key").where("node <> hub").select("node", "hub").distinct(), "near-star")
+    hubs = bands.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    hubs = saved(hubs, "near-hubs")
+    with pruned_joins(spark):
+        star = saved(bands.join(hubs.where("n > 1").select("key", "hub"), "key").where("node <> hub").select("node", "hub").distinct(), "near-star")
+    dropped(hubs)
     groups = components(star.select(F.col("node").alias("a"), F.col("hub").alias("b")), "near-groups")
 
-    members = classes.select("print", "first", "node").join(groups, "node").select("print", "first", "node", F.col("root").alias("grp"))
-    texts = rows.select("id", "text").join(members, rows["id"].eqNullSafe(members["first"]))
-    sets = saved(texts.select("text", "node", "print", "grp").mapInArrow(_sets(shingle), "node long, print binary, grp long, set binary"), "near-sets")
+    members = classes.select("print", "text", "node").join(groups, "node").withColumnRenamed("root", "grp")
     counted = members.groupBy("grp").agg(F.count("*").alias("size"))
-    sets = sets.join(counted, "grp")
-    small = sets.where(F.col("size") <= SMALL_GROUP).select("grp", F.lit(0).alias("i"), F.lit(0).alias("j"), "print", "set", F.col("print").alias("comp"), F.lit(0).alias("block"))
-    links = saved(small.groupBy("grp", "i", "j").applyInArrow(_links_of(percent), EDGE), "near-links")
-    if not counted.where(F.col("size") > SMALL_GROUP).isEmpty():
-        links = links.unionByName(_large_groups(sets.where(F.col("size") > SMALL_GROUP), star, percent))
+    members = saved(members.join(counted, "grp"), "near-members")
+
+    def sets_of(some: DataFrame) -> DataFrame:
+        texts = rows.select(F.coalesce("id", F.lit(NO_ID)).alias("id"), "th", "text")
+        texts = texts.join(some.select("print", "grp", "text.id", "text.th"), ["id", "th"])
+        return texts.select("text", "print", "grp").mapInArrow(_sets(shingle), "print binary, grp long, set binary")
+
+    with pruned_joins(spark):
+        small = sets_of(members.where(F.col("size") <= SMALL_GROUP))
+        small = small.select("grp", F.lit(0).alias("i"), F.lit(0).alias("j"), "print", "set", F.col("print").alias("comp"), F.lit(0).alias("block"), F.lit(ANY_BAND).alias("band"))
+        rows_small = scalar(members.where(F.col("size") <= SMALL_GROUP).agg(F.count("*")))
+        links = saved(_in_buckets(small, ["grp", "i", "j"], _links_of, percent, rows_small), "near-links")
+        large = members.where(F.col("size") > SMALL_GROUP)
+        if not large.isEmpty():
+            sets = saved(sets_of(large), "near-sets")
+            links = links.unionByName(_large_groups(large, sets, star, classes, percent))
+            dropped(sets)
 
     joined = components(links, "near-components")
     named = classes.select("print", "first").join(joined.withColumnRenamed("node", "print"), "print", "left")
@@ -218,33 +327,36 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     return out.select(F.col("id").alias(id_col), F.col("th").alias("_th"), F.col("n").alias("_n"), component.alias("_component"))
 
 
-def _large_groups(sets: DataFrame, star: DataFrame, percent: int) -> DataFrame:
-    """Links within the groups too large for one task."""
-    sets = sets.drop("size")
-    # 1: check the edges, the hub's set beside each chunk of its classes
-    sizes = star.groupBy("hub").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    place = lambda n: F.pmod(F.xxhash64("print"), n).cast("int")
-    ends = sets.join(star, "node").join(sizes, "hub").select(F.col("hub").alias("at"), place(F.col("chunks")).alias("chunk"), "print", "set", F.lit(False).alias("hub"))
-    hubs = sets.join(sizes.withColumnRenamed("hub", "node"), "node").select(
-        F.col("node").alias("at"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "print", "set", F.lit(True).alias("hub")
-    )
-    sure = saved(ends.unionByName(hubs).groupBy("at", "chunk").applyInArrow(_star_links(percent), EDGE), "near-sure")
+def _large_groups(members: DataFrame, sets: DataFrame, star: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links within the groups too large for one task.
 
-    # 2: what these links join is one component; all but the largest of a group are left to compare
+    Tasks are laid out on the names of the classes; sets join them once per step.
+    """
+    spark = members.sparkSession
+    place = lambda n: F.pmod(F.xxhash64("print"), n).cast("int")
+    # 1: check each class with its smallest hub, the hub's set beside each chunk of its classes
+    edges = members.select("print", "node").join(star.groupBy("node").agg(F.min("hub").alias("at")), "node")
+    sizes = edges.groupBy("at").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    ends = edges.join(sizes, "at").select("print", "at", place(F.col("chunks")).alias("chunk"), F.lit(False).alias("hub"))
+    hubs = members.select("print", F.col("node").alias("at")).join(sizes, "at")
+    hubs = hubs.select("print", "at", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("hub"))
+    tasks = saved(ends.unionByName(hubs), "near-tasks")
+    work = sets.select("print", "set").join(tasks, "print")
+    sure = saved(_in_buckets(work, ["at", "chunk"], _star_links, percent, tasks.count()), "near-sure")
+
+    # 2: what these links join is one component; a link still missing joins two components that
+    # meet in the bucket of a band, so only buckets of several components are compared
     roots = components(sure, "near-sure").withColumnRenamed("node", "print")
-    placed = sets.select("grp", "print").distinct().join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
-    counts = placed.groupBy("grp", "root").agg(F.count("*").alias("n"))
-    main = counts.groupBy("grp").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"))
-    main = main.select("grp", F.col("top.root").alias("main"), F.col("top.n").alias("n_main"), (F.col("all") - F.col("top.n")).alias("n_rest"))
-    main = main.where("n_rest > 0")
-    up = lambda c: F.ceil(F.col(c) / CHUNK).cast("int")
-    work = sets.join(placed.select("print", "root").distinct(), "print").join(main, "grp").withColumns({"nr": up("n_rest"), "nm": up("n_main")})
-    rest = F.col("root") != F.col("main")
-    work = work.withColumn("block", F.when(rest, place(F.col("nr"))).otherwise(F.col("nr") + place(F.col("nm"))))
-    every = F.sequence(F.lit(0), F.col("nr") + F.col("nm") - 1)
-    with_rest = F.transform(every, lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
-    with_main = F.transform(F.sequence(F.lit(0), F.col("nr") - 1), lambda i: F.struct(i.alias("i"), F.col("block").alias("j")))
-    work = work.withColumn("task", F.explode(F.when(rest, with_rest).otherwise(with_main)))
-    work = work.select("grp", F.col("task.i").alias("i"), F.col("task.j").alias("j"), "print", "set", F.col("root").alias("comp"), "block")
-    more = saved(work.groupBy("grp", "i", "j").applyInArrow(_links_of(percent), EDGE), "near-more")
+    placed = members.select("print").join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    keyed = placed.join(classes.select("print", "keys"), "print").select("print", "root", F.posexplode("keys").alias("band", "grp")).where("grp <> 0")
+    keyed = saved(keyed, "near-placed")
+    mark = F.xxhash64("root")
+    mixed = keyed.groupBy("grp").agg(F.min(mark).alias("low"), F.max(mark).alias("high"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    mixed = mixed.where("low <> high").select("grp", "blocks")
+    tasks = keyed.join(mixed, "grp").withColumn("block", place(F.col("blocks")))
+    with_all = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
+    tasks = tasks.withColumn("task", F.explode(with_all))
+    tasks = saved(tasks.select("grp", F.col("task.i").alias("i"), F.col("task.j").alias("j"), "print", F.col("root").alias("comp"), "block", "band"), "near-tasks")
+    work = sets.select("print", "set").join(tasks, "print")
+    more = saved(_in_buckets(work, ["grp", "i", "j"], _links_of, percent, tasks.count()), "near-more")
     return sure.unionByName(more)

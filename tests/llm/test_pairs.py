@@ -36,6 +36,7 @@ def _found(docs_df, **options):
 def test_near_duplicates_match_all_pairs(spark, monkeypatch, small):
     monkeypatch.setattr(near_dup, "SMALL_GROUP", small)  # 3: also the way for large groups
     monkeypatch.setattr(near_dup, "CHUNK", 4)
+    monkeypatch.setattr(near_dup, "BLOCK", 4)
     docs = _texts()
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("n", F.lit(1)).withColumn("_component", F.lit(0))
     got, n = _found(df, shingle=4)
