@@ -12,10 +12,14 @@ runs too, and Spark joins them with the ranked pieces.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import deque
 from collections.abc import Iterable
+from functools import cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +30,9 @@ from millrace.llm.common import saved
 
 CAPACITY = 2048
 END = 0  # id after every document
-KNOWN = 200_000  # chunks of text whose ids are remembered in a task; then it starts afresh
-KNOWN_CHARACTERS = 16 << 20
+KNOWN = 700_000  # chunks of text whose ids a worker remembers; then it starts afresh
+TOGETHER = 256  # words encoded at once
+KNOWN_CHARACTERS = 32 << 20
 RANKS = 64  # ranks to a cell of the join between pieces and placements
 DEALT = 64  # hash cells in which the pieces of one length are ranked
 
@@ -78,58 +83,112 @@ def place(counts: dict[int, int], capacity: int) -> Iterable[tuple[int, int, int
 class Encoder:
     """Token ids of texts, with the ids of repeated chunks remembered.
 
-    A chunk is what stands between ASCII blanks. No token of a tokenizer that splits on white
-    space reaches across one, so a text's ids are those of its chunks in order.
+    A chunk is what stands between ASCII blanks, without a full stop or comma that ends it. A
+    tokenizer that lower-cases and splits on white space and between letters and signs has no
+    token across these places, so a text's ids are those of its chunks in order.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # the same merges without the steps that leave a plain lower-case word as it is
+        bare = json.loads(self.tokenizer.to_str())
+        bare |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+        self.bare = Tokenizer.from_str(json.dumps(bare))
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Known()
         self.held = 0
         self.flat, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _learn(self, chunks: list[list[str]]) -> None:
-        new = list({c for cs in chunks for c in cs}.difference(self.known))
-        if not new:
-            return
+    def _learn(self) -> None:
+        new, self.known.new = self.known.new, []
         self.held += sum(map(len, new))
-        if self.known and (len(self.known) + len(new) > KNOWN or self.held > KNOWN_CHARACTERS):
-            self._forget()
-            return self._learn(chunks)
-        ids = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-        base = len(self.known)
-        self.known.update((c, base + i) for i, c in enumerate(new))
-        sizes = np.array([len(x) for x in ids], np.int64)
-        starts = len(self.flat) + np.cumsum(sizes) - sizes
-        self.flat = np.concatenate([self.flat, np.array([t for x in ids for t in x], np.uint32)])
+        plain = [i for i, c in enumerate(new) if c.isalpha() and c == c.lower() and (c.isascii() or is_normalized("NFC", c))]
+        is_plain = np.zeros(len(new), bool)
+        is_plain[plain] = True
+        rows = [[new[i] for i in plain[a : a + TOGETHER]] for a in range(0, len(plain), TOGETHER)]
+        ids, sizes = [], np.zeros(len(new), np.int64)
+        done = 0
+        for row, e in zip(rows, self.bare.encode_batch([_spelled(" ".join(r)) for r in rows], add_special_tokens=False), strict=True):
+            ids.append(np.array(e.ids, np.uint32))
+            sizes[plain[done : done + len(row)]] = np.bincount(np.array(e.word_ids, np.int64), minlength=len(row))
+            done += len(row)
+        others = np.flatnonzero(~is_plain)
+        rest = [e.ids for e in self.tokenizer.encode_batch([new[i] for i in others], add_special_tokens=False)]
+        ids.append(np.array([t for x in rest for t in x], np.uint32))
+        sizes[others] = [len(x) for x in rest]
+        starts = np.zeros(len(new), np.int64)
+        order = np.concatenate([np.array(plain, np.int64), others])
+        starts[order] = len(self.flat) + np.cumsum(sizes[order]) - sizes[order]
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
-        return None
+        self.flat = np.concatenate([self.flat, *ids])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as unsigned 32-bit numbers."""
-        chunks = [t.translate(_BLANKS).split(" ") for t in texts]
-        self._learn(chunks)
+        if len(self.known) > KNOWN or self.held > KNOWN_CHARACTERS:
+            self._forget()
         get = self.known.__getitem__
+        places = []
+        for t in texts:
+            chunks = _plain(t).split(" ")
+            places.append(np.fromiter(map(get, chunks), np.int64, len(chunks)))
+        if self.known.new:
+            self._learn()
         out = []
-        for cs in chunks:
-            at = np.fromiter(map(get, cs), np.int64, len(cs))
+        for at in places:
             n = self.sizes[at]
             ends = np.cumsum(n)
             out.append(self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(ends[-1])])
         return out
 
 
-_BLANKS = {i: " " for i in range(0x09, 0x0E)}
+class _Known(dict):
+    """Place of each chunk; one not seen before gets the next place and is noted as new."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self.new.append(chunk)
+        place = self[chunk] = len(self)
+        return place
+
+
+# Byte-level spelling: bytes that print stand for themselves, the others for the characters from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SPELLING = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED) if b != 32}
+
+
+def _spelled(words: str) -> str:
+    return words if words.isascii() else words.encode().decode("latin-1").translate(_SPELLING)
+
+
+_BLANKS = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz     ")
+_STOP = re.compile("[.,](?<=[a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f][.,])(?= |\\Z)")
+
+
+def _plain(text: str) -> str:
+    """A text whose chunks stand between single blanks."""
+    data = text.encode()
+    if b"<|" in data:  # special tokens have their own case
+        return data.translate(_BLANKS).decode()
+    return _STOP.sub(r" \g<0>", data.translate(_LOWER).decode())
+
+
+@cache
+def _encoder(path: str) -> Encoder:
+    """One encoder for all tasks that a Python worker runs."""
+    return Encoder(path)
 
 
 def _pieces(tokenizer: str, capacity: int):
     def run(batches):
-        encoder = Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         for batch in batches:
             ids, texts = batch.column("id").to_pylist(), batch.column("text").to_pylist()
             at = 0
@@ -154,8 +213,9 @@ def _pieces(tokenizer: str, capacity: int):
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    ``tokenizer`` is the path of a tokenizer file, readable on every executor; its tokens must
-    not reach across white space. A document's ids are those of its text (NULL: none) and then
+    ``tokenizer`` is the path of a tokenizer file, readable on every executor; it must be
+    a byte-level BPE that lower-cases, and splits on white space and between letters and signs
+    (see ``Encoder``). A document's ids are those of its text (NULL: none) and then
     0; only documents longer than ``capacity`` are cut, into pieces of that length and a last
     one. Pieces in a sequence follow each other from offset 0 without gaps, in the order in
     which they were placed. Rows that repeat are packed each; rows without an id keep NULL.

@@ -144,7 +144,8 @@ def test_packing_of_the_table(spark):
 
 
 def test_chunks_have_the_ids_of_the_whole(spark):
-    texts = ["It's a TEST\u00a0of\tİstanbul ΣΑΣ", "", "e \u0301x <|endoftext|> y<|startoftext|>z", "a\x0b\x0cb\x1cc  d", "文字 😀!! l'été 12 345"]
+    texts = ["It's a TEST\u00a0of\tİstanbul ΣΑΣ", "", "e \u0301x <|endoftext|> y<|startoftext|>z", "a\x0b\x0cb\x1cc  d", "文字 😀!! l'été 12 345",
+             "One. two, three.. (four). 5, 6., x\u00d7. \u0301. a\u0301, É. ß, don't, they'll. <|ENDOFTEXT|> K. \u212a."]
     whole = Tokenizer.from_file(TOKENIZER)
     got = packing.Encoder(TOKENIZER).encode(texts)
     assert [g.tolist() for g in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
