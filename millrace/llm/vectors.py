@@ -8,15 +8,16 @@ filter it shares, so every linked pair counts once.
 
 Height and number of filters follow from the number of vectors: a filter should hold about
 ``EXPECTED`` of them, and a pair at the threshold should share about twice log2 of their
-number. Filters are spread over log2 of it codes, each behind a rotation of its own. Filters
+number. Both come from the areas of caps on the sphere of these vectors' length; vectors of
+few components get larger caps, so that the number of filters stays bounded. Filters are spread over log2 of it codes, each behind a rotation of its own. Filters
 that hold more than ``BLOCK`` vectors are compared block against block, in tasks of their own;
 tasks are dealt to buckets of about ``BUCKET`` vectors.
 """
 
 from __future__ import annotations
 
-from math import erf, exp, log2, pi, sqrt
-from statistics import NormalDist
+from functools import cache
+from math import acos, ceil, cos, log2, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -29,33 +30,57 @@ from millrace.llm.components import components
 EXPECTED = 96
 LEAST_CODES = 12
 PARTS = 2
+LEAST_SPLIT = 16  # components from which a filter has a codeword for each part
+MOST_WORDS = 1 << 14  # codewords to a part
+MOST_PASSED = 64  # filters of one code that a vector should pass at most
+IDS = (1 << 31) - 1  # filters are told apart by so many ids; with more filters, some share one
 BLOCK = 1024
 BUCKET = 8192
 SEED = 20240607
 
 
-def _both_over(height: float, cosine: float) -> float:
-    """Probability that two standard normals with this correlation both exceed ``height``."""
-    steps = 400
-    width = 8.0 / steps
-    total = 0.0
-    for i in range(steps):
-        x = height + (i + 0.5) * width
-        z = (height - cosine * x) / sqrt(1 - cosine * cosine)
-        total += exp(-x * x / 2) / sqrt(2 * pi) * 0.5 * (1 - erf(z / sqrt(2))) * width
-    return total
+@cache
+def _caps(dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Angles, share of the unit sphere within each angle of a direction, and mass at each angle."""
+    angles = np.linspace(0, pi, 100_001)
+    density = np.sin(angles) ** (dim - 2)
+    density /= density.sum()
+    sums = np.cumsum(density) - density / 2
+    return angles, sums / sums[-1], density
+
+
+def _both_over(dim: int, height: float, cosine: float) -> float:
+    """Probability that two unit vectors with this cosine both exceed ``height`` along a random direction."""
+    angles, _, mass = _caps(dim)
+    near = angles < acos(height)
+    x, across = np.cos(angles[near]), np.sin(angles[near])
+    least = np.clip((height - cosine * x) / np.maximum(sqrt(max(0.0, 1 - cosine * cosine)) * across, 1e-300), -1, 1)
+    if dim == 2:  # across the direction there are two points
+        rest = 0.5 * (least < 1) + 0.5 * (least <= -1)
+    else:
+        rest = np.interp(np.arccos(least), *_caps(dim - 1)[:2])
+    return float((mass[near] * rest).sum())
 
 
 class Filters:
-    """Codes for vectors of one length, the same for the same arguments."""
+    """Codes for vectors of one length, the same for the same arguments.
+
+    Rotations are random, so a filter holds a cap's share of the sphere, whatever its direction.
+    """
 
     def __init__(self, dim: int, count: int, cosine: float):
         share = min(0.25, EXPECTED / max(count, 1))
-        self.height = NormalDist().inv_cdf(1 - share) / sqrt(dim)
+        parts = PARTS if dim >= LEAST_SPLIT else 1
+        while True:
+            self.height = cos(np.interp(share, _caps(dim)[1], _caps(dim)[0])) if dim > 1 else 0.0
+            both = _both_over(dim, self.height, cosine) if dim > 1 else 0.5
+            # vectors of few components have more neighbours than small caps can cover
+            if share >= 0.25 or (both * MOST_WORDS**parts >= 2 and both * MOST_PASSED >= 2 * share):
+                break
+            share = min(0.25, share * 1.25)
         codes = max(LEAST_CODES, round(log2(max(count, 2))))
-        per_code = 2 / _both_over(self.height * sqrt(dim), cosine)  # so all codes together share 2 * codes
-        parts = min(PARTS, dim)
-        self.words = max(2, round(per_code ** (1 / parts)))
+        per_code = 2 / both  # so all codes together share 2 * codes
+        self.words = max(2, ceil(per_code ** (1 / parts)))
         self.cuts = np.linspace(0, dim, parts + 1).astype(int)
         rng = np.random.default_rng(SEED + dim)
         self.codes = []
@@ -75,17 +100,27 @@ class Filters:
         for c, (turn, books) in enumerate(self.codes):
             x = unit @ turn
             scores = [x[:, a:b] @ book.T for a, b, book in zip(self.cuts, self.cuts[1:], books, strict=False)]
-            best = [s.max(axis=1) for s in scores]
-            row, word, total = np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros(len(x))
-            for k, s in enumerate(scores):
-                can = sum(best[k + 1 :], np.zeros(len(x)))
-                sums = total[:, None] + s[row]
-                at, w = np.nonzero(sums + can[row, None] > self.height)
-                row, word, total = row[at], word[at] * self.words + w, sums[at, w]
+            if len(scores) == 1:
+                row, word = np.nonzero(scores[0] > self.height)
+            else:
+                row, word = self._joined(*scores)
             rows.append(row)
             filters.append(word + c * size)
         return np.concatenate(rows), np.concatenate(filters)
 
+    def _joined(self, left: np.ndarray, right: np.ndarray):
+        """(row, pair of words) of all pairs whose scores add up to more than the height."""
+        row, word = np.nonzero(left > self.height - right.max(axis=1)[:, None])
+        other_row, other = np.nonzero(right > self.height - left.max(axis=1)[:, None])
+        # best first in each row; scores lie between -1 and 1, so rows stay apart
+        key = 4.0 * other_row - right[other_row, other]
+        order = np.argsort(key)
+        key, other = key[order], other[order]
+        starts = np.searchsorted(other_row, row)
+        n = np.maximum(np.searchsorted(key, 4.0 * row + left[row, word] - self.height) - starts, 0)
+        at = np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.repeat(row, n), np.repeat(word, n) * self.words + other[at]
+
 
 def _decode(count: int, cosine: float):
     """Each vector with the filters it passes, in order; it may pass none."""
@@ -105,8 +140,8 @@ def _decode(count: int, cosine: float):
                 unit = m / np.linalg.norm(m / np.abs(m).max(axis=1, keepdims=True), axis=1, keepdims=True) / np.abs(m).max(axis=1, keepdims=True)
                 for a in range(0, len(index), 256):
                     row, filt = made[dim].passed(unit[a : a + 256])
-                    order = np.lexsort((filt, row))
-                    row, filt = row[order], filt[order]
+                    pairs = np.unique(row.astype(np.int64) * IDS + filt % IDS)
+                    row, filt = np.divmod(pairs, IDS)
                     n = np.bincount(row, minlength=min(256, len(index) - a))
                     ends = np.r_[0, np.cumsum(n)]
                     lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(filt.astype(np.int32)))

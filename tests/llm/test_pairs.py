@@ -135,6 +135,30 @@ def test_filters_meet_near_pairs():
         assert len(met) >= 0.999 * n
 
 
+@pytest.mark.parametrize("dim, count", [(64, 10**6), (64, 10**7), (64, 10**8), (2, 10**5), (8, 10**5), (17, 10**6)])
+def test_filters_meet_near_pairs_of_large_tables(dim, count):
+    r = np.random.default_rng(3)
+    n = 2000
+    a = r.standard_normal((n, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    away = r.standard_normal((n, dim))
+    away -= (away * a).sum(axis=1, keepdims=True) * a
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    b = 0.9 * a + np.sqrt(1 - 0.81) * away
+    f = vectors.Filters(dim, count, 0.9)
+    assert len(f.codes) == round(np.log2(count))
+    met, shared = set(), 0
+    for at in range(0, n, 200):
+        sets = []
+        for x in (a, b):
+            row, filt = f.passed(x[at : at + 200])
+            sets.append(set(zip(row.tolist(), filt.tolist(), strict=True)))
+        shared += len(sets[0] & sets[1])
+        met |= {at + row for row, _ in sets[0] & sets[1]}
+    assert len(met) >= 0.999 * n
+    assert shared / n >= 0.95 * 2 * np.log2(count)
+
+
 @pytest.mark.parametrize("blocks", [(2048, 4096), (3, 40)])
 def test_top_k_matches_full_sort(spark, monkeypatch, blocks):
     monkeypatch.setattr(topk, "QUERY_BLOCK", blocks[0])
