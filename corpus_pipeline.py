@@ -47,7 +47,9 @@ def reject_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group: the one with the smallest id; documents without words stay."""
     found = near_dup.near_duplicates(docs)
-    kept = found.groupBy("_component").agg(F.min_by("_th", F.struct(F.col("doc_id") != F.col("_component"), "_th")).alias("_kept_th")).where("_component IS NOT NULL")
+    # the document that names its component stands for it, not a copy without an id
+    other = ~F.col("doc_id").eqNullSafe(F.col("_component"))
+    kept = found.where("_n > 0 AND _component IS NOT NULL").groupBy("_component").agg(F.min_by("_th", F.struct(other, "_th")).alias("_kept_th"))
     # nameless components hold only rows without an id: one row for each text
     worded = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]")) > 0
     docs = docs.select(*COLUMNS, F.xxhash64("text").alias("_th"), F.coalesce(worded, F.lit(False)).alias("_worded"))

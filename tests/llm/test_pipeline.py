@@ -103,6 +103,19 @@ def test_run_gives_the_last_stage(spark, stages):
     assert sorted(map(tuple, got)) == sorted(map(tuple, stages[4][1].select(*key).collect()))
 
 
+def test_near_duplicate_stage_keeps_the_named_of_near_copies(spark):
+    def text(name, *changed):
+        return " ".join("changed" if i in changed else f"{name}{i}" for i in range(100))
+
+    rows = [(None, text("a", 3)), (7, text("a")), (9, text("a", 60)), (None, text("b", *range(0, 100, 9))), (4, text("b")), (None, text("c", 5)), (None, text("c", 5)),
+            (8, ""), (8, text("d")), (None, text("d", 1))]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], DOCUMENTS)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    # without an id: what is no near copy of a named text, once, and documents without words
+    want = [(7, text("a")), (None, text("b", *range(0, 100, 9))), (4, text("b")), (None, text("c", 5)), (8, ""), (8, text("d"))]
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted((i or 0, t) for i, t in want)
+
+
 @pytest.mark.parametrize("rows", [[], [(None, None, None, None, None), (1, "", "en", "a", 0), (1, "", "en", "a", 0)],
                                   [(i % 3 or None, "the same seven words in every row", None, "a" if i % 2 else None, 33) for i in range(12)]])
 def test_stages_take_odd_tables(spark, rows, tmp_path):
