@@ -1,17 +1,18 @@
 """Main text of web pages: the contiguous stretch of words and tags with the highest score.
 
 Words score by where they stand, tags cost something; both weights come from labelled pages,
-those whose author marked the article with ``article`` or ``main``. Counts of words inside
-and outside the marked part are added up over all pages by place, at most a few thousand
-rows. A linear scan then finds the stretch of maximal sum on each page, marked or not. Words
-in menus, adverts, forms and the like are left out of the text wherever they stand.
+those whose author marked the article with ``article`` or ``main``; of several, the one with
+most words counts. Counts of words inside and outside the marked part are added up over all
+pages by place, at most a few thousand rows. A linear scan then finds the stretch of maximal
+sum on each page by these weights alone, marked or not. Words in menus, adverts, forms and
+the like are left out of the text wherever they stand, and so are comments and teasers that
+are articles of their own.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_right
 from math import log
 
 import pyarrow as pa
@@ -84,7 +85,7 @@ def tokens(page: str):
 def _dropped(name: str, attributes: str) -> bool:
     if name in DROPPED:
         return True
-    if not attributes or name in ("html", "body", "article", "main"):
+    if not attributes or name in ("html", "body"):
         return False
     for m in _MARK.finditer(attributes):
         value = (m[2] or m[3] or m[4] or "").lower()
@@ -105,6 +106,54 @@ class Piece:
         self.block, self.place, self.text, self.marked, self.dropped = block, place, text, marked, dropped
 
 
+def _main_mark(found: list, ends: dict[int, int], drop: dict[int, bool]) -> tuple[int, int]:
+    """Opening of the marked article, and of the innermost mark that holds most of it; -1 if there is none.
+
+    The article is the mark with most words outside dropped parts. One that lies in a dropped
+    part, or is one by its class, counts if it holds more than twice the words outside these.
+    """
+    size = len(found)
+    words = [0]
+    for kind, _, rest in found:
+        words.append(words[-1] + (len(rest.split()) if kind == "text" else 0))
+
+    def held(i: int) -> int:
+        return words[ends.get(i, size)] - words[i]
+
+    free, within, outside = [], [], 0
+    gone = in_mark = at = 0  # ends of the dropped part and of the mark reached so far
+    for i, (kind, name, _) in enumerate(found):
+        if kind != "open":
+            continue
+        dropped = drop[i] and not (name == "header" and i < in_mark)
+        if dropped and i >= gone:
+            outside, at = outside + words[i] - words[at], ends.get(i, size)
+            gone = at
+        elif dropped:
+            more = ends.get(i, size)
+            if more > gone:  # elements that overlap
+                gone = at = more
+        if name in MARKED:
+            (free if i >= gone else within).append(i)
+            in_mark = max(in_mark, ends.get(i, size))
+    outside += words[size] - words[at]
+    best = max(free, key=held, default=-1)  # the outermost of equals
+    other = max(within, key=held, default=-1)
+    if other >= 0 and held(other) > 2 * outside:
+        best = other
+    if best < 0 or not held(best):
+        return -1, -1
+    inner = best
+    marks = free + within
+    for _ in range(64):
+        marks = [i for i in marks if inner < i < ends.get(inner, size)]
+        most = max(marks, key=held, default=-1)
+        if most < 0 or 2 * held(most) <= held(inner):
+            break
+        inner = most
+    return best, inner
+
+
 def parse(page: str) -> tuple[list, bool]:
     """Events of a page in order, and whether it has a marked article.
 
@@ -112,8 +161,6 @@ def parse(page: str) -> tuple[list, bool]:
     or where an element starts that cannot stand in them.
     """
     found = list(tokens(page))
-    # a dropped element that holds the marked article is a frame around it, not a part
-    starts = [i for i, (kind, name, _) in enumerate(found) if kind == "open" and name in MARKED]
     ends: dict[int, int] = {}
     open_at: list[tuple[str, int]] = []
     for i, (kind, name, _) in enumerate(found):
@@ -127,9 +174,12 @@ def parse(page: str) -> tuple[list, bool]:
                     del open_at[k:]
                     break
 
+    dropping_at = {i: _dropped(name, rest) or name == "header" for i, (kind, name, rest) in enumerate(found) if kind == "open"}
+    outer, frame = _main_mark(found, ends, dropping_at)
+
     events: list = []
-    stack: list[tuple[str, bool, bool]] = []  # name, whether a dropped part starts here, whether a marked one does
-    drops = marks = block = 0
+    stack: list[tuple[str, bool, bool]] = []  # name, whether a dropped part starts here, whether the marked one does
+    drops = marks = block = articles = 0
     linked = 0
     for i, (kind, name, rest) in enumerate(found):
         if kind == "text":
@@ -144,7 +194,7 @@ def parse(page: str) -> tuple[list, bool]:
             while stack and name in CLOSED_BY.get(_last_block(stack), ()):
                 while True:
                     gone, was_drop, was_mark = stack.pop()
-                    drops, marks, linked = drops - was_drop, marks - was_mark, linked - (gone == "a")
+                    drops, marks, linked, articles = drops - was_drop, marks - was_mark, linked - (gone == "a"), articles - (gone in MARKED)
                     if gone not in INLINE:
                         break
                 block += 1
@@ -156,21 +206,21 @@ def parse(page: str) -> tuple[list, bool]:
                 events.append(name if name in KNOWN else "other")
             if name in VOID or (rest.endswith("/") and name not in KNOWN):
                 continue
-            drop = _dropped(name, rest)
+            drop = dropping_at[i]
             if name == "header":
-                drop = not marks  # an article's own heading belongs to it
+                drop = not articles  # an article's own heading belongs to it
             if drop and name not in RAW:
-                last = ends.get(i, len(found))
-                drop = not (bisect_right(starts, i) < len(starts) and starts[bisect_right(starts, i)] < last and not marks)
-            mark = name in MARKED and not drops
+                # an element that holds the marked article is a frame around it, not a part
+                drop = not i <= frame < ends.get(i, len(found))
+            mark = i == outer and not drops
             stack.append((name, drop, mark))
-            drops, marks, linked = drops + drop, marks + mark, linked + (name == "a")
+            drops, marks, linked, articles = drops + drop, marks + mark, linked + (name == "a"), articles + (name in MARKED)
             continue
         dropping = drops
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] == name:
                 for gone, was_drop, was_mark in stack[k:]:
-                    drops, marks, linked = drops - was_drop, marks - was_mark, linked - (gone == "a")
+                    drops, marks, linked, articles = drops - was_drop, marks - was_mark, linked - (gone == "a"), articles - (gone in MARKED)
                     if gone not in INLINE:
                         block += 1
                 del stack[k:]
@@ -228,17 +278,14 @@ def fit_weights(counts: list[tuple[str, int, int]]) -> dict[str, float]:
 
 def main_blocks(page: str, weights: dict[str, float]) -> list[str]:
     """Text blocks of the best stretch of a page."""
-    events, labelled = parse(page)
+    events, _ = parse(page)
     best = total = 0.0
     start, span = 0, (0, 0)
     for i, e in enumerate(events):
         if isinstance(e, str):
-            # the page says itself where its article is: tags there only break ties
-            total += -0.02 if labelled else weights.get("<" + e, weights["tag"])
+            total += weights.get("<" + e, weights["tag"])
         elif e.place and not e.dropped:
             weight = weights.get(e.place, weights["link" if e.place.startswith("a:") else "heading" if e.place in HEADINGS else "word"])
-            if labelled:
-                weight = max(abs(weight), 0.2) if e.marked else -1.0
             total += weight * len(e.text.split())
         if total <= 0:
             total, start = 0.0, i + 1
@@ -251,7 +298,7 @@ def main_blocks(page: str, weights: dict[str, float]) -> list[str]:
     reached = [e.block for e in events[span[0] : span[1]] if isinstance(e, Piece) and e.place and not e.dropped]
     first, last = (reached[0], reached[-1]) if reached else (0, -1)
     for e in events:
-        if isinstance(e, Piece) and first <= e.block <= last and not e.dropped and (e.marked or not labelled):
+        if isinstance(e, Piece) and first <= e.block <= last and not e.dropped:
             if e.block != block and parts:
                 blocks.append("".join(parts))
                 parts = []

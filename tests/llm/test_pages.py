@@ -123,6 +123,23 @@ def test_main_text_of_marked_and_unmarked_pages(spark):
         assert got[i] == "\n\n".join(TEXT), i
 
 
+def test_main_text_beside_articles_of_others(spark):
+    notes = "".join(f"<article><p>Reader {i} thinks this is rather good</p></article>" for i in range(3))
+    comments, aside = f'<section id="comments">{notes}</section>', f"<aside>{notes}</aside>"
+    teaser = '<article class="teaser promo"><h2>More</h2><p>Short words of another page</p></article>'
+    body = "".join(f"<p>The body goes on in paragraph {i} with words of its own</p>" for i in range(8))
+    text = "\n\n".join(f"The body goes on in paragraph {i} with words of its own" for i in range(8))
+    pages = [f"<body><div>{body}</div>{comments}</body>", f"<body>{aside}<div>{body}</div>{teaser}</body>", f"<body><article>{body}</article>{comments}</body>",
+             f"<body>{teaser}<main class='no-sidebar'><article class='post share'>{body}{teaser}{aside}</article>{comments}</main></body>",
+             f"<body><h2>Site</h2><div class='widget'><article>{body}</article>{comments}</div></body>", f"<body><div>{body}</div><div>{notes}</div></body>"]
+    many = [(100 + i, PAGE % ("<article>", "</article>")) for i in range(30)]
+    df = spark.createDataFrame(list(enumerate(pages)) + many, "page_id long, html string")
+    got = {r["page_id"]: r["_text"] for r in extract.main_text(df).collect()}
+    for i in range(4):
+        assert got[i] == text, i
+    assert text in got[4] and "Reader" not in got[4] and text in got[5]
+
+
 def test_main_text_edge_rows(spark):
     schema = "page_id long, html string"
     assert extract.main_text(spark.createDataFrame([], schema)).count() == 0
