@@ -169,7 +169,7 @@ def _spelled(words: str) -> str:
 
 _BLANKS = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz     ")
-_STOP = re.compile("[.,](?<=[a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f][.,])(?= |\\Z)")
+_STOP = re.compile("[.,](?<=[a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f][.,])(?= |\\Z)")  # \u0130 ends in a sign when lower-cased
 
 
 def _plain(text: str) -> str:
@@ -177,7 +177,9 @@ def _plain(text: str) -> str:
     data = text.encode()
     if b"<|" in data:  # special tokens have their own case
         return data.translate(_BLANKS).decode()
-    return _STOP.sub(r" \g<0>", data.translate(_LOWER).decode())
+    # letters join with combining marks (these bytes start them) before the case goes
+    marks = b"\xcc" in data or b"\xcd" in data
+    return _STOP.sub(r" \g<0>", data.translate(_BLANKS if marks else _LOWER).decode())
 
 
 @cache

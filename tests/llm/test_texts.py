@@ -151,6 +151,16 @@ def test_chunks_have_the_ids_of_the_whole(spark):
     assert [g.tolist() for g in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_chunks_keep_signs_and_marks_of_the_whole(spark):
+    marks = [chr(c) for c in range(0x300, 0x370)]
+    texts = ["TARİHİ. SERGİ, İ. İ", "W\u030a x T\u0308. K\u0331, Plain WORDS. beside A\u030a"]
+    texts += [" ".join(f"{a}{m}. X{m}{a}," for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ<=>") for m in marks]
+    texts += [" ".join(f"N{chr(c)}. {chr(c)}, {chr(c)}.{chr(c)}" for c in range(a, a + 64)) for a in range(0xA0, 0x260, 64)]
+    whole = Tokenizer.from_file(TOKENIZER)
+    got = packing.Encoder(TOKENIZER).encode(texts)
+    assert [g.tolist() for g in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_placement_is_best_fit_decreasing():
     r = random.Random(3)
     for capacity in (16, 100):
