@@ -90,17 +90,19 @@ def mix(
     A document's size is its number of words (NULL or blank text: 0); documents of size 0
     have no copies. NULL is a source of its own. Copies are 0, 1 or 2, the same in every run:
     they follow from a hash of id and text. Rows that repeat in full are as good as each
-    other, so it does not matter which of them gets a copy. No rows: no rows.
+    other, so it does not matter which of them gets a copy; only as many get one as fit. No rows: no rows.
 
     Per source, whole copies are given in hash order until the next would exceed the target;
     what is left is filled from the next ``POOL`` documents, largest first.
     """
     carry = [id_col] if carry is None else carry
+    told = [c for c in carry if "map<" not in docs.schema[c].dataType.simpleString()]  # maps have no hash
     rows = docs.select(
         *[F.col(c).alias(f"_in_{i}") for i, c in enumerate(carry)], F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
         F.col(id_col).alias("_id"), F.xxhash64(F.lit(17), F.col(id_col), F.col(text_col)).alias("_h"),
+        F.xxhash64(F.lit(0), *told).alias("_same"), F.monotonically_increasing_id().alias("_row"),
     )
-    rows = saved(rows, "mix-rows")
+    rows = saved(rows, "mix-rows")  # from here on a row keeps its number
     sizes = saved(rows.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-sizes")
     # sources without any word keep their place in the order
     sources = rows.groupBy("source").agg(F.sum("size").alias("words"))
@@ -110,12 +112,14 @@ def mix(
     rate = F.when(F.col("full"), most).otherwise(most / (1 + F.exp(-F.col("tilt") * F.col("size") / F.col("mean"))))
     tagged = tagged.withColumn("rate", F.when(F.col("size") > 0, rate).otherwise(0.0))
     tagged = tagged.withColumn("base", F.floor("rate"))
+    # a rate of a long document may round to ``most``: then it has no room for another copy
+    tagged = tagged.withColumn("free", F.when(F.col("base") < most, F.col("size")).otherwise(0))
     spread = F.shiftrightunsigned("_h", 11) / F.lit(float(2**53))
     tagged = tagged.withColumn("order", spread - (F.col("rate") - F.col("base")))
     tagged = tagged.withColumn("bin", F.floor((F.col("order") + 1) * (BINS // 2)))
 
     # words beyond the whole part of the rates go to the smallest ``order``, bin after bin
-    some = tagged.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.sum(F.col("size") * F.col("base")).alias("sure"), F.max("target").alias("target"))
+    some = tagged.groupBy("source", "bin").agg(F.sum("free").alias("words"), F.sum(F.col("size") * F.col("base")).alias("sure"), F.max("target").alias("target"))
     by_source, up_to = Window.partitionBy("source"), Window.partitionBy("source").orderBy("bin")
     some = some.withColumns({"open": F.col("target") - F.sum("sure").over(by_source), "so_far": F.sum("words").over(up_to)})
     cut = some.where("so_far > open").groupBy("source").agg(
@@ -123,23 +127,23 @@ def mix(
     )
     cut = saved(cut, "mix-cut").withColumnRenamed("source", "_s")
     tagged = tagged.join(cut, tagged["source"].eqNullSafe(cut["_s"]), "left").drop("_s")
-    key = ["order", "_h", "_id"]
+    key = ["order", "_h", "_id", "_same", "_row"]
     run = Window.partitionBy("source").orderBy(*key).rowsBetween(Window.unboundedPreceding, 0)
-    here = tagged.where("bin = cut").withColumn("total", F.sum("size").over(run))
+    here = tagged.where("bin = cut").withColumn("total", F.sum("free").over(run))
     here = saved(here.withColumn("taken", F.col("total") <= F.col("room")), "mix-here")
     taken = here.where("taken").drop("total", "taken")
     beyond = here.where("NOT taken").drop("total", "taken").unionByName(tagged.where("bin > cut"))
     # the rest of the room: of the next few documents, the largest that still fit
     gap = here.groupBy("source").agg(F.coalesce(F.max(F.when(F.col("taken"), F.col("total"))), F.lit(0)).alias("got"), F.max("room").alias("room"))
-    next_up = beyond.where("size > 0").withColumn("_n", F.row_number().over(Window.partitionBy("source").orderBy(*key))).where(F.col("_n") <= POOL)
+    next_up = beyond.where("free > 0").withColumn("_n", F.row_number().over(Window.partitionBy("source").orderBy(*key))).where(F.col("_n") <= POOL)
     pool = next_up.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("size", *key)), asc=False).alias("pool"))
     pool = pool.withColumnRenamed("source", "_s").join(gap, F.col("_s").eqNullSafe(gap["source"]))
     empty = F.struct((F.col("room") - F.col("got")).alias("left"), F.filter("pool", lambda _: F.lit(False)).alias("in"))
     fit = lambda acc, x: F.when(x["size"] <= acc["left"], F.struct((acc["left"] - x["size"]).alias("left"), F.concat(acc["in"], F.array(x)).alias("in"))).otherwise(acc)
     chosen = pool.select("_s", F.explode(F.aggregate("pool", empty, fit, lambda acc: acc["in"])).alias("x"))
-    chosen = saved(chosen.select("_s", F.col("x._h").alias("_ch"), F.col("x._id").alias("_ci")).distinct(), "mix-chosen")
-    beyond = beyond.join(chosen, beyond["source"].eqNullSafe(chosen["_s"]) & (F.col("_h") == F.col("_ch")) & F.col("_id").eqNullSafe(F.col("_ci")), "left")
-    beyond = beyond.withColumn("extra", F.col("_ch").isNotNull().cast("long")).drop("_s", "_ch", "_ci")
+    chosen = saved(chosen.select(F.col("x._row").alias("_chosen")), "mix-chosen")
+    beyond = beyond.join(chosen, F.col("_row") == F.col("_chosen"), "left")
+    beyond = beyond.withColumn("extra", F.col("_chosen").isNotNull().cast("long")).drop("_chosen")
     sure = taken.unionByName(tagged.where("cut IS NULL OR bin < cut")).withColumn("extra", F.lit(1).cast("long"))
     copies = F.when(F.col("size") > 0, F.least(F.col("base") + F.col("extra"), F.lit(int(most)))).otherwise(F.lit(0))
     return sure.unionByName(beyond).select(

@@ -206,6 +206,21 @@ def test_mix_comes_near_the_targets(spark):
     assert all(abs(taken[s] - target[s]) <= 0.02 * target[s] for s in size)
 
 
+def test_mix_gives_copies_to_as_many_repeats_as_fit(spark):
+    schema = "doc_id long, text string, source string, lang string"
+    rows = [(i, "long " * 400, s, "en") for s in "abc" for i in range(30)]
+    rows += [(1000 + i % 5 or None, "five words to a row", s, f"l{i % 2}") for s in "abc" for i in range(5000)]
+    rows += [(None, "three words here", s, None) for s in "abc" for _ in range(5000)]
+    df = spark.createDataFrame(rows, schema)
+    got = mixing.mix(df, carry=["doc_id", "source", "lang"]).collect()
+    assert len(got) == len(rows)
+    for s in "abc":
+        mine = [x for x in got if x["source"] == s]
+        assert 0 <= mine[0]["_target"] - sum(x["_copies"] * x["_size"] for x in mine) < 405, s
+    again = mixing.mix(df.repartition(7), carry=["doc_id", "source", "lang"]).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+
+
 def test_mix_edge_rows(spark):
     schema = "doc_id long, text string, source string"
     assert mixing.mix(spark.createDataFrame([], schema)).count() == 0
