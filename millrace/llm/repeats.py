@@ -1,4 +1,6 @@
-"""Removal of long repeated byte strings by longest-previous-factor arrays.
+"""Removal of long repeated byte strings by gram buckets and window matching.
+
+This stands in for a suffix array with longest-previous-factor values; no such arrays are made.
 
 A byte is repeated when it lies in a string of ``span`` bytes that also starts elsewhere, in
 the same text or another; strings never cross texts. Sorting all suffixes of a corpus is not
@@ -9,10 +11,8 @@ same smallest gram, and only runs whose gram occurs again can hold repeats:
 1. Runs with equal bytes around are counted by a hash of these bytes (partial aggregation):
    in a run that occurs twice, every string is repeated.
 2. One run for each distinct content left is sent, with its bytes, to the bucket of its gram.
-   There all its strings are put in suffix order. Strings equal in ``span`` bytes stand
-   together, with common prefixes of ``span`` or more; the previous and next smaller positions
-   in that order give each string's longest previous factor, which reaches ``span`` unless
-   the string is the first of its kind.
+   There all its strings are sorted by their ``span`` bytes, so that equal ones stand
+   together; each is a repeat, and a later copy unless it is the first of its kind.
 3. Grams with very many distinct runs would fill a bucket; their strings are counted by hash
    instead, pre-aggregated, in any number of tasks.
 """
