@@ -1,9 +1,9 @@
 """Packing documents into token sequences by best fit, decreasing, over length classes.
 
 Pieces of one length are interchangeable, so the state of the search is small: how many
-pieces there are of each length, and runs of sequences with equal gaps. One superstep per
-length, longest first: its pieces, in rank order, meet the smallest gaps that can hold them
-(the successors of the length among the sorted gaps), a run of sequences against a run of
+pieces there are of each length, and runs of sequences with equal gaps. A sequential loop
+on the driver stands in for bulk-synchronous matching. One turn per length, longest first:
+its pieces, in rank order, meet the smallest gaps that can hold them (the successors of the length among the sorted gaps), a run of sequences against a run of
 ranks at a time; gaps shrink, what is left opens new sequences, and the next length follows.
 This gives the very placement of best-fit decreasing. Only the counts per length, at most
 one row for each length up to the capacity, come to the driver; the placements it finds are
