@@ -21,6 +21,7 @@ from millrace.streaming.refresh import refresh_from_stream
 
 RUN_AT = datetime(2024, 2, 1, 9, 5, 0)
 STOP = schemas.columns("STOP_LOG")
+FILE_LINES = 20_000  # lines that a compressed file should hold
 
 
 def _write(df: DataFrame, folder: str, by: str | None = None) -> None:
@@ -256,11 +257,8 @@ def wide_spoilt(spark, sf_dir):
     return found[0].unionByName(found[1])
 
 
-def odd_lines(spark, sf_dir):
-    """Compressed files with blanks around fields, and lines of some kinds a field short or long.
-
-    Files of good lines load with trimmed values, the others are in error.
-    """
+def _odd_files(spark: SparkSession, sf_dir: str) -> str:
+    """Compressed files of about ``FILE_LINES`` lines, as many as a kind needs; each starts with a header line."""
     events = table(spark, sf_dir, "events")
     padded = [
         F.date_format("ts", "yyyy/MM/dd HH:mm:ss"),
@@ -275,16 +273,29 @@ def odd_lines(spark, sf_dir):
     ).otherwise(lines)
     folder = session.scratch_path(spark, "files")
     header = F.lit("h1,h2,h3,h4,h5")
-    # each file starts with its header line
-    rows = events.select(F.col("event_type").alias("kind"), lines.alias("value"), F.lit(1).alias("n"))
-    heads = events.select(F.col("event_type").alias("kind")).distinct().select("kind", header.alias("value"), F.lit(0).alias("n"))
-    ordered = rows.unionByName(heads).repartition("kind").sortWithinPartitions("kind", "n")
-    ordered.drop("n").write.partitionBy("kind").option("compression", "gzip").text(folder)
-    store = _store(spark, folder)
+    files = events.groupBy("event_type").agg(F.ceil(F.count("*") / FILE_LINES).alias("files")).withColumnRenamed("event_type", "kind")
+    part = F.pmod(F.xxhash64("event_id", "value"), "files").cast("int")
+    rows = events.select("event_type", "event_id", lines.alias("value"))
+    rows = rows.join(files, rows["event_type"].eqNullSafe(files["kind"])).select("kind", part.alias("part"), "value", F.lit(1).alias("n"))
+    heads = files.select("kind", F.explode(F.sequence(F.lit(0), F.col("files").cast("int") - 1)).alias("part"), header.alias("value"), F.lit(0).alias("n"))
+    ordered = rows.unionByName(heads).repartition("kind", "part").sortWithinPartitions("kind", "part", "n")
+    ordered.drop("n").write.partitionBy("kind", "part").option("compression", "gzip").text(folder)
+    return folder
+
+
+def odd_lines(spark, sf_dir):
+    """Compressed files with blanks around fields, and lines of some kinds a field short or long.
+
+    Files of good lines load with trimmed values, the others are in error; their outcomes are
+    added up by kind.
+    """
+    store = _store(spark, _odd_files(spark, sf_dir))
     jobs.load_table(store, "DB.RAW.STOP_LOG", "APPEND", "@FILES/", "FF_CSV_COMMON", r".*\.gz", "SKIP_FILE", run_at=RUN_AT)
     history = store.read("LOAD_HISTORY").select(
         F.regexp_extract("file", "kind=([a-z]+)/", 1).alias("line"), "status", "rows_loaded", "errors_seen", "first_error"
     )
+    history = history.groupBy("line", "status", "first_error").agg(F.sum("rows_loaded").alias("rows_loaded"), F.sum("errors_seen").alias("errors_seen"))
+    history = history.select("line", "status", "rows_loaded", "errors_seen", "first_error")
     found = _plain_names(store.read("STOP_LOG")).groupBy("line").agg(
         F.count("*").alias("n"), F.count_distinct("code").alias("codes"), F.min("code").alias("code"), F.sum("state").cast("long").alias("states"),
         F.sum("factor").cast("long").alias("factors"),

@@ -1,12 +1,14 @@
 """Every registered query against its SQL on the smallest given tables."""
 
 import glob
+import gzip
 import os
 from collections import Counter
 
 import pytest
 
 import __spark_entry__ as entry
+from millrace.checks import file_queries
 
 SF_DIR = "/root/testdata/sf0.001"
 # queries of optional parts are tested with those parts
@@ -50,3 +52,17 @@ def test_query(spark, db, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_odd_lines_of_many_files(spark, monkeypatch):
+    monkeypatch.setattr(file_queries, "FILE_LINES", 25)
+    whole = [tuple(map(cell, r)) for r in spark.read.parquet(f"{SF_DIR}/events.parquet").groupBy("event_type").count().collect()]
+    folder = file_queries._odd_files(spark, SF_DIR).removeprefix("file:")
+    for kind, n in whole:
+        files = glob.glob(f"{folder}/kind={kind}/**/*.gz", recursive=True)
+        lines = [gzip.open(f, "rt").read().splitlines() for f in files]
+        assert len(files) >= int(n) / 25 and all(x[0] == "h1,h2,h3,h4,h5" for x in lines)
+        assert sum(len(x) - 1 for x in lines) == int(n) and max(map(len, lines)) <= 60
+    many = sorted(map(repr, file_queries.odd_lines(spark, SF_DIR).collect()))
+    monkeypatch.setattr(file_queries, "FILE_LINES", 20_000)
+    assert many == sorted(map(repr, file_queries.odd_lines(spark, SF_DIR).collect()))
