@@ -221,6 +221,16 @@ def test_mix_gives_copies_to_as_many_repeats_as_fit(spark):
     assert sorted(map(repr, got)) == sorted(map(repr, again))
 
 
+def test_mix_does_not_overshoot_by_repeats(spark):
+    rows = [(i, "long " * 97, s) for s in "abcdefg" for i in range(300)]
+    rows += [(None, f"three words {k}", s) for s in "abcdefg" for k in range(40) for _ in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df, weights=(1, 1.1, 1.2, 1.3, 1.15, 1.05, 1.07), carry=["doc_id", "source"]).collect()
+    for s in "abcdefg":
+        mine = [x for x in got if x["source"] == s]
+        assert 0 <= mine[0]["_target"] - sum(x["_copies"] * x["_size"] for x in mine) < 97, s
+
+
 def test_mix_edge_rows(spark):
     schema = "doc_id long, text string, source string"
     assert mixing.mix(spark.createDataFrame([], schema)).count() == 0
