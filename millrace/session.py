@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +27,30 @@ BUILD_CONF = {**RUNTIME_CONF, "spark.python.sql.dataFrameDebugging.enabled": "fa
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session that already exists."""
+    """Apply the runtime settings to a session that already exists, and give its workers this package."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    return ship(spark)
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Add this package to the files that Spark hands to its Python workers, once per application.
+
+    Workers then find it wherever the driver found it: no install and no PYTHONPATH needed.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_millrace_shipped", False):
+        return spark
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="millrace-code-"), "millrace.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("millrace", os.path.relpath(path, root)))
+    sc.addPyFile(archive)
+    sc._millrace_shipped = True
     return spark
 
 
@@ -37,7 +60,7 @@ def build(app: str = "millrace", master: str | None = None, **conf) -> SparkSess
         builder = builder.master(master)
     for key, value in {**BUILD_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
 
 
 @contextmanager
