@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import extract, mixing, near_dup, packing, quality, repeats, topk, url_filter, vectors, warc
+from millrace.llm import clusters, extract, mixing, near_dup, packing, quality, repeats, topk, url_filter, vectors, warc
 
 URL_RULES = [
     ("net", "/", "block"),
@@ -84,11 +84,18 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clusters.centroid_clusters(_table(spark, sf_dir, "embeddings"))
+    names = ["cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    return found.select("vec_id", *[F.col(f"_{name}").alias(name) for name in names])
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_suffix_array_dedup, op2_url_filters, op3_embedding_near_dedup, op4_exact_top_k, op5_quality_classifier,
         op6_minhash_near_dedup, op7_best_fit_packing, op8_warc, op9_html_extraction, op10_mix_sources,
+        op11_centroid_clustering,
     )
 }
 
@@ -123,4 +130,43 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-ORACLE = {"op2_url_filters": _URL_SQL, "op4_exact_top_k": _TOP_K_SQL}
+
+
+def _cluster_sql(k: int = 16, rounds: int = 3) -> str:
+    """Assigning and averaging, written out round by round over (vec_id, components)."""
+    steps = [
+        """v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        f"""c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), q) - 1 AS cluster, q AS c FROM v ORDER BY sha256('1:' || vec_id), q LIMIT {k}
+)""",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""d{r} AS (
+  SELECT vec_id, q, cluster, cast(list_sum(list_transform(list_zip(q, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS distance FROM v CROSS JOIN c{r}
+), a{r} AS (
+  SELECT vec_id, any_value(q) AS q, min(struct_pack(distance := distance, cluster := cluster)) AS best FROM d{r} GROUP BY vec_id
+)""")
+        if r < rounds:
+            steps.append(f"""u{r} AS (
+  SELECT best.cluster AS cluster, place, sum(q[place]) AS s, count(*) AS n FROM a{r} CROSS JOIN range(1, 65) t(place) GROUP BY 1, 2
+), m{r} AS (
+  SELECT cluster, list(cast((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY place) AS c FROM u{r} GROUP BY cluster
+), c{r + 1} AS (
+  SELECT cluster, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (cluster)
+)""")
+    return (
+        "WITH "
+        + ", ".join(steps)
+        + f"""
+SELECT vec_id, cast(cluster AS INTEGER) AS cluster, best.distance AS distance,
+  cast(sum(best.distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, cast(sum(best.distance) OVER () AS BIGINT) AS inertia,
+  sha256(list_aggregate(c, 'string_agg', ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON cluster = best.cluster
+"""
+    )
+
+
+ORACLE = {"op2_url_filters": _URL_SQL, "op4_exact_top_k": _TOP_K_SQL, "op11_centroid_clustering": _cluster_sql()}
