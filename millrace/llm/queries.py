@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import clusters, extract, mixing, near_dup, packing, quality, repeats, topk, url_filter, vectors, warc
+from millrace.llm import audit, clusters, contamination, extract, mixing, near_dup, packing, quality, repeats, topk, url_filter, vectors, warc
 
 URL_RULES = [
     ("net", "/", "block"),
@@ -90,12 +90,24 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", *[F.col(f"_{name}").alias(name) for name in names])
 
 
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", F.col("_n_words").alias("n_words"), F.col("_n_hit").alias("n_hit"), F.col("_n_items").alias("n_items"),
+        F.sha2(F.concat_ws(",", "_items"), 256).alias("items_sha256"), (F.col("_n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_interactions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_suffix_array_dedup, op2_url_filters, op3_embedding_near_dedup, op4_exact_top_k, op5_quality_classifier,
         op6_minhash_near_dedup, op7_best_fit_packing, op8_warc, op9_html_extraction, op10_mix_sources,
-        op11_centroid_clustering,
+        op11_centroid_clustering, op12_benchmark_decontamination, op13_filter_interaction_audit,
     )
 }
 
@@ -169,4 +181,62 @@ FROM a{rounds} JOIN c{rounds} ON cluster = best.cluster
     )
 
 
-ORACLE = {"op2_url_filters": _URL_SQL, "op4_exact_top_k": _TOP_K_SQL, "op11_centroid_clustering": _cluster_sql()}
+_CONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), phrases AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS phrase
+  FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) t(i) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT size FROM phrases), texts AS (SELECT DISTINCT size, phrase FROM phrases), places AS (
+  SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size
+), found AS (
+  SELECT rid, i, size, phrase FROM (SELECT rid, i, size, array_to_string(w[i : i + size - 1], ' ') AS phrase FROM places) SEMI JOIN texts USING (size, phrase)
+), hit AS (
+  SELECT rid, count(DISTINCT j) AS n_hit FROM (SELECT rid, unnest(range(i, i + size)) AS j FROM found) GROUP BY rid
+), held AS (
+  SELECT rid, count(*) AS n_items, string_agg(cast(item_id AS VARCHAR), ',' ORDER BY cast(item_id AS VARCHAR)) AS items
+  FROM (SELECT DISTINCT rid, item_id FROM (SELECT DISTINCT rid, size, phrase FROM found) JOIN phrases USING (size, phrase)) GROUP BY rid
+)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN held USING (rid)
+"""
+
+_AUDIT_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents), w AS (
+  SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS first_id FROM t
+), marks AS (
+  SELECT doc_id, coalesce(max(quality = 1), false) AS good, coalesce(max(toxic = 1), false) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), fails AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    concat(CASE WHEN len(w) < 200 THEN 'A' ELSE '' END, CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END,
+      CASE WHEN 100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 2 * length(t) THEN 'C' ELSE '' END,
+      CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END, CASE WHEN doc_id > first_id THEN 'E' ELSE '' END) AS failed
+  FROM w LEFT JOIN marks USING (doc_id)
+), cells AS (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM fails GROUP BY part, failed
+), f(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')), orders AS (
+  SELECT concat(a.x, b.x, c.x, d.x, e.x) AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, cast(step AS INTEGER) AS step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS past FROM orders, range(1, 6) r(step)
+), counted AS (
+  SELECT part, filter_order, step, own, n, good, toxic, failed = own AS only_own, contains(failed, own) AS fail,
+    past <> '' AND regexp_matches(failed, concat('[', past, '-]')) AS gone
+  FROM cells, steps
+), summed AS (
+  SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT fail AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (fail AND NOT gone), 0) AS removed,
+    coalesce(sum(n) FILTER (fail AND gone), 0) AS redundant, coalesce(sum(n) FILTER (only_own), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (fail AND NOT gone), 0) AS good_lost, coalesce(sum(toxic) FILTER (fail AND NOT gone), 0) AS toxic_lost
+  FROM counted GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, cast(kept AS BIGINT) AS kept, cast(removed AS BIGINT) AS removed, cast(redundant AS BIGINT) AS redundant,
+  cast(unique_fails AS BIGINT) AS unique_fails, cast(good_lost AS BIGINT) AS good_lost, cast(toxic_lost AS BIGINT) AS toxic_lost,
+  cast(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM summed
+"""
+
+ORACLE = {"op2_url_filters": _URL_SQL, "op4_exact_top_k": _TOP_K_SQL, "op11_centroid_clustering": _cluster_sql(), "op12_benchmark_decontamination": _CONTAMINATION_SQL, "op13_filter_interaction_audit": _AUDIT_SQL}

@@ -10,6 +10,9 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
+# all ASCII but digits and letters
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[[*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 _LOWER = np.arange(1, 257, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
 _powers: dict[int, np.ndarray] = {}
@@ -32,15 +35,16 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def word_hashes(b: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(b: np.ndarray, cuts: np.ndarray, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word in bytes ``b``, and the number of words of each text.
 
-    ``cuts`` are the ends of the texts in ``b`` with a 0 before them.
+    ``cuts`` are the ends of the texts in ``b`` with a 0 before them; ``blank`` marks the bytes
+    between words.
     """
     n = len(b)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(cuts) - 1, np.int64)
-    word = ~_BLANK[b]
+    word = ~blank[b]
     edge = np.zeros(n + 1, bool)
     edge[cuts] = True
     prev = np.empty(n, bool)
@@ -56,20 +60,23 @@ def word_hashes(b: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return h, np.diff(np.searchsorted(starts, cuts))
 
 
-def _long(b: np.ndarray) -> np.ndarray:
+def _parts(b: np.ndarray, blank: np.ndarray = _BLANK):
     """Word hashes of one text of any length, block by block."""
-    parts, at = [], 0
+    at = 0
     while at < len(b):
         end = min(len(b), at + BLOCK)
         while end < len(b):
-            gaps = np.flatnonzero(_BLANK[b[at:end]])
+            gaps = np.flatnonzero(blank[b[at:end]])
             if len(gaps):
                 end = at + int(gaps[-1]) + 1
                 break
             end = min(len(b), end + BLOCK)
-        parts.append(word_hashes(b[at:end], np.array([0, end - at]))[0])
+        yield word_hashes(b[at:end], np.array([0, end - at]), blank)[0]
         at = end
-    return np.concatenate(parts)
+
+
+def _long(b: np.ndarray) -> np.ndarray:
+    return np.concatenate(list(_parts(b)))
 
 
 def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -91,6 +98,21 @@ def blocks(cuts: np.ndarray):
         at = end
 
 
+def word_blocks(column: pa.Array, blank: np.ndarray):
+    """(first text, word hashes, words of each text) for blocks of whole texts.
+
+    A text longer than a block comes alone, in several blocks with the same first text.
+    """
+    flat, cuts = texts_of(column)
+    for at, end in blocks(cuts):
+        b = flat[cuts[at] : cuts[end]]
+        if end == at + 1 and len(b) > BLOCK:
+            for h in _parts(b, blank):
+                yield at, h, np.array([len(h)])
+        else:
+            yield at, *word_hashes(b, cuts[at : end + 1] - cuts[at], blank)
+
+
 def _combine(h: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` words."""
     n = len(h) - size + 1
