@@ -134,6 +134,7 @@ def term_matrix(docs: DataFrame, carry: dict[str, Column], text_col: str = "text
     shards = saved(rows.mapInArrow(_shards(len(carry)), schema + ", words array<string>"), "terms-shards")
     held = shards.select("shard", F.posexplode("words").alias("place", "word"))
     dictionary = saved(held.select("word").distinct().withColumn("term", F.monotonically_increasing_id()), "terms-dictionary")
-    ids = held.join(dictionary, "word").select("shard", "place", "term")
-    matrix = shards.drop("words").groupBy("shard").cogroup(ids.groupBy("shard"))
+    # a name of its own: both sides come from the same table
+    ids = held.join(dictionary, "word").select(F.col("shard").alias("of_shard"), "place", "term")
+    matrix = shards.drop("words").groupBy("shard").cogroup(ids.groupBy("of_shard"))
     return matrix.applyInArrow(_with_terms(list(carry)), schema.replace("columns binary", "terms binary")), dictionary
