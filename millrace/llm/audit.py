@@ -30,20 +30,13 @@ def _bit(letter: str) -> int:
     return 1 << LETTERS.index(letter)
 
 
-def _byte_flags(carried: int):
-    """Failure bits of C and D beside the carried columns and the text."""
-
-    def run(batches):
-        for batch in batches:
-            text = batch.column(carried)
-            text = text.fill_null("") if text.null_count else text
-            upper = pc.count_substring_regex(text, "[A-Z]").to_numpy(zero_copy_only=False).astype(np.int64)
-            long = pc.utf8_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
-            signs = pc.match_substring_regex(text, SIGNS).to_numpy(zero_copy_only=False)
-            mask = np.where(100 * upper > MOST_UPPER * long, _bit("C"), 0) | np.where(signs, _bit("D"), 0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(mask.astype(np.int32))], [*batch.schema.names, "mask"])
-
-    return run
+def _byte_flags(text: pa.Array) -> pa.Array:
+    """Failure bits of C and D of each text."""
+    upper = pc.count_substring_regex(text, "[A-Z]").to_numpy(zero_copy_only=False).astype(np.int64)
+    long = pc.utf8_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
+    signs = pc.match_substring_regex(text, SIGNS).to_numpy(zero_copy_only=False)
+    mask = np.where(100 * upper > MOST_UPPER * long, _bit("C"), 0) | np.where(signs, _bit("D"), 0)
+    return pa.array(mask.astype(np.int32))
 
 
 def _row_flags(names: list[str]):
@@ -56,7 +49,7 @@ def _row_flags(names: list[str]):
                 counts = np.frombuffer(batch.column("counts")[r].as_buffer(), "<u4")
                 total = np.r_[0, np.cumsum(counts, dtype=np.int64)]
                 words, distinct = total[ends[1:]] - total[ends[:-1]], np.diff(ends)
-                mask = batch.column("mask")[r].values.to_numpy(zero_copy_only=False).astype(np.int32)
+                mask = batch.column("measure")[r].values.to_numpy(zero_copy_only=False).astype(np.int32)
                 mask = mask | np.where(words < LEAST_WORDS, _bit("A"), 0) | np.where(100 * distinct < LEAST_DISTINCT * words, _bit("B"), 0)
                 columns = [batch.column(name)[r].values for name in names]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(mask.astype(np.int32))], [*names, "mask"])
@@ -73,11 +66,9 @@ def failure_bits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "h1": F.xxhash64(text),
         "h2": F.xxhash64(F.lit(1), text),
     }
-    rows = docs.select(*[c.alias(name) for name, c in carry.items()], text.alias("text"))
     names = list(carry)
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    flagged = rows.mapInArrow(_byte_flags(len(names)), f"{kinds}, text string, mask int")
-    matrix, _ = term_matrix(flagged, {name: F.col(name) for name in [*names, "mask"]})
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*[c.alias(name) for name, c in carry.items()]).schema.fields)
+    matrix, _ = term_matrix(docs, carry, text_col, _byte_flags)
     rows = matrix.drop("shard", "terms").mapInArrow(_row_flags(names), f"{kinds}, mask int")
     rows = saved(rows.groupBy(*names, "mask").agg(F.count("*").alias("n")), "audit-rows")
 

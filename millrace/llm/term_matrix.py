@@ -1,15 +1,18 @@
 """A sparse document-term matrix in CSR shards, over one dictionary of all words.
 
-Each Arrow batch of texts is one shard: its words are split and dictionary-encoded by Arrow,
-and (text, word) pairs are counted into rows of columns and counts. The distinct words of all
-shards, with an id each, are the dictionary; joined back to the words of the shards it gives
-each shard the ids of its own columns, so only words and shards are shuffled, never single
-entries. A shard is bounded by Arrow's batch size; a text longer than a piece is counted piece
-by piece, so that only its distinct words are held beside it.
+Texts are dealt into shards by size. A shard's words are split and dictionary-encoded by Arrow,
+and (text, word) pairs are counted into rows of columns and counts, the columns in order of
+their words' hashes. Words of all shards then meet by ranges of that hash: each range gives its
+words ids, one for all shards, and sends each shard the ids of its own columns. Shards, and
+blocks of their words, are all that is shuffled, never single entries or single words. A text
+longer than a piece is counted piece by piece, so that only its distinct words are held
+beside it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,19 +20,23 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import saved
-from millrace.llm.words import _BLANK, texts_of
+from millrace import session
+from millrace.llm.common import saved, scalar
+from millrace.llm.words import _BLANK, mix, powers, texts_of
 
 _SPLIT = r"[\x20\x09-\x0D]+"
-PIECE = 8 << 20  # bytes of one text that are split at once
-SHARD = 16 << 20  # bytes of text in a shard, about
+PIECE = 4 << 20  # bytes of one text that are split at once
+SHARD = 8 << 20  # bytes of text in a shard, about
+RANGE = 1 << 19  # words of all shards that a range of hashes should hold
+_BASE = 0xA0761D6478BD642F
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """The text number and the word, for all words of the texts."""
     lists = pc.split_pattern_regex(texts, _SPLIT)
     words = lists.flatten()
-    row = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     some = pc.not_equal(pc.binary_length(words), 0)
     return row[some.to_numpy(zero_copy_only=False)], words.filter(some)
 
@@ -50,24 +57,34 @@ def _cut(text: bytes):
         at = end
 
 
-def _counted(rows: list[np.ndarray], words: list[pa.Array], weights: list[np.ndarray], texts: int):
-    """CSR rows over the distinct words: (distinct words, row ends, columns, counts)."""
-    encoded = pa.chunked_array(words, pa.string()).dictionary_encode().combine_chunks()
-    if isinstance(encoded, pa.ChunkedArray):
-        encoded = pa.concat_arrays(encoded.chunks) if encoded.num_chunks else pa.array([], pa.dictionary(pa.int32(), pa.string()))
-    size = max(1, len(encoded.dictionary))
-    key = np.concatenate(rows) * size + encoded.indices.to_numpy(zero_copy_only=False)
+def _spread(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word, that deals words over ranges; words may share one."""
+    b, cuts = texts_of(words)
+    total = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum((b + np.uint64(1)) * powers(_BASE, len(b)), out=total[1:])
+    return mix((total[cuts[1:]] - total[cuts[:-1]]) * powers(_INVERSE, len(b) + 1)[cuts[:-1]])
+
+
+def _counted(rows: list[np.ndarray], words: list[pa.Array], weights: list[np.ndarray | None], texts: int):
+    """CSR rows over the distinct words, in order of their hashes: (distinct words, row ends, columns, counts)."""
+    encoded = pa.concat_arrays([w.cast(pa.string()) for w in words]).dictionary_encode()
+    distinct = encoded.dictionary
+    size = max(1, len(distinct))
+    order = np.argsort(_spread(distinct), kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    key = np.concatenate(rows) * np.int64(size) + place[encoded.indices.to_numpy(zero_copy_only=False)]
     if any(w is not None for w in weights):
         weight = np.concatenate([np.ones(len(r), np.int64) if w is None else w for r, w in zip(rows, weights, strict=True)])
         key, back = np.unique(key, return_inverse=True)
-        count = np.bincount(back, weights=weight).astype(np.int64)
+        count = np.bincount(back, weights=weight, minlength=len(key)).astype(np.int64)
     else:
         key, count = np.unique(key, return_counts=True)
     ends = np.searchsorted(key, np.arange(texts + 1) * size)
-    return encoded.dictionary, ends, key % size, count
+    return distinct.take(pa.array(order)), ends, key % size, count
 
 
-def _shards(carried: int):
+def _shards(carried: int, measure: Callable[[pa.Array], pa.Array] | None = None):
     """One row for each shard: carried columns as lists, row ends, columns and counts, and the words of the columns."""
 
     def shard_of(batch: pa.RecordBatch, number: int) -> pa.RecordBatch:
@@ -81,16 +98,18 @@ def _shards(carried: int):
         for r in long.tolist():
             for piece in _cut(column[r].as_buffer().to_pybytes()):
                 counts = pc.value_counts(_words(pa.array([piece]))[1])
-                rows.append(np.full(len(counts), r))
+                rows.append(np.full(len(counts), r, np.int32))
                 parts.append(counts.field("values"))
                 weights.append(counts.field("counts").to_numpy(zero_copy_only=False))
         words, ends, terms, count = _counted(rows, parts, weights, len(column))
-        lists = [pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(k)) for k in range(carried)]
+        names, carry = batch.schema.names[:carried], batch.columns[:carried]
+        if measure:
+            names, carry = [*names, "measure"], [*carry, measure(column)]
+        lists = [pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), c) for c in carry]
         binary = [pa.array([x.tobytes()], pa.binary()) for x in (ends.astype("<i8"), terms.astype("<i4"), count.astype("<u4"))]
-        names = [batch.schema.names[k] for k in range(carried)]
         return pa.RecordBatch.from_arrays(
-            [pa.array([number]), *lists, *binary, pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)],
-            ["shard", *names, "ends", "columns", "counts", "words"],
+            [pa.array([number]), *lists, *binary, pa.array([len(words)], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)],
+            ["shard", *names, "ends", "columns", "counts", "n_words", "words"],
         )
 
     def run(batches):
@@ -106,12 +125,60 @@ def _shards(carried: int):
     return run
 
 
+def _by_range(ranges: int):
+    """A shard's words, cut into the ranges of their hashes."""
+    starts = np.array([(k << 64) // ranges for k in range(ranges)], np.uint64)
+
+    def run(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                words = batch.column("words")[r].values
+                hashes = _spread(words)  # in order already
+                ends = np.r_[np.searchsorted(hashes, starts), len(words)].astype(np.int32)
+                some = np.flatnonzero(ends[1:] > ends[:-1])
+                cuts = pa.array(np.r_[ends[some], len(words)].astype(np.int32))
+                shard = pa.array(np.full(len(some), batch.column("shard")[r].as_py()))
+                yield pa.RecordBatch.from_arrays([pa.array(some), shard, pa.ListArray.from_arrays(cuts, words)], ["range", "shard", "words"])
+
+    return run
+
+
+def _numbered(batches):
+    """The ids of each shard's words, range after range, and the words of a range in order of their ids.
+
+    Rows come sorted by range. A range's words are known once each; blocks pass one by one.
+    """
+    number, known = None, {}
+
+    def new_words():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([number]), pa.array([None], pa.int64()), pa.array([None], pa.binary()), pa.array([[w.decode() for w in known]], pa.list_(pa.string()))],
+            ["range", "shard", "ids", "words"],
+        )
+
+    for batch in batches:
+        for r in range(batch.num_rows):
+            if batch.column("range")[r].as_py() != number:
+                if known:
+                    yield from new_words()
+                number, known = batch.column("range")[r].as_py(), {}
+            words = batch.column("words")[r].values.cast(pa.binary()).to_pylist()
+            ids = np.array([known.setdefault(w, len(known)) for w in words], np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.array([batch.column("shard")[r].as_py()]), pa.array([ids.tobytes()], pa.binary()), pa.array([None], pa.list_(pa.string()))],
+                ["range", "shard", "ids", "words"],
+            )
+    if known:
+        yield from new_words()
+
+
 def _with_terms(names: list[str]):
-    """A shard with the global ids of its columns."""
+    """A shard with the global ids of its columns: the word's range and its number there."""
 
     def run(key, shard: pa.Table, ids: pa.Table) -> pa.Table:
-        term = np.empty(ids.num_rows, np.int64)
-        term[ids["place"].to_numpy()] = ids["term"].to_numpy()
+        ids = ids.sort_by("range")
+        blocks = [np.int64(k) << 32 | np.frombuffer(x.as_buffer(), "<i4") for k, x in zip(ids["range"].to_pylist(), ids["ids"], strict=True)]
+        term = np.concatenate([np.zeros(0, np.int64), *blocks])
         columns = np.frombuffer(shard["columns"][0].as_buffer(), "<i4")
         out = {name: shard[name] for name in ["shard", *names, "ends"]}
         return pa.table({**out, "terms": pa.array([term[columns].tobytes()], pa.binary()), "counts": shard["counts"]})
@@ -119,22 +186,32 @@ def _with_terms(names: list[str]):
     return run
 
 
-def term_matrix(docs: DataFrame, carry: dict[str, Column], text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def term_matrix(
+    docs: DataFrame, carry: dict[str, Column], text_col: str = "text", measure: Callable[[pa.Array], pa.Array] | None = None, measure_type: str = "int"
+) -> tuple[DataFrame, DataFrame]:
     """The matrix and its dictionary: (shard, lists of the carried columns, ends, terms, counts) and (word, term).
 
     A row of the matrix is a shard: ``ends`` (int64) cuts ``terms`` (int64 ids) and ``counts``
     (uint32) into one stretch for each text, in the order of the lists; all three are binary,
-    little-endian. Words are runs of bytes other than space and tab to carriage return, case
-    kept. NULL and empty texts have empty stretches; rows that repeat are rows of their own.
-    No texts: no shards, no words. Columns that are not carried do not matter.
+    little-endian. ``measure`` makes one more carried column, ``measure``, of the texts as they
+    pass. Words are runs of bytes other than space and tab to carriage return, case kept. NULL
+    and empty texts have empty stretches; rows that repeat are rows of their own. No texts: no
+    shards, no words. Columns that are not carried do not matter.
     """
+    spark = docs.sparkSession
     rows = docs.select(*[c.alias(name) for name, c in carry.items()], F.col(text_col).cast("string").alias("text"))
-    lists = ", ".join(f"`{f.name}` array<{f.dataType.simpleString()}>" for f in rows.schema.fields[:-1])
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields[:-1]} | ({"measure": measure_type} if measure else {})
+    lists = ", ".join(f"`{name}` array<{kind}>" for name, kind in kinds.items())
     schema = f"shard long, {lists}, ends binary, columns binary, counts binary"
-    shards = saved(rows.mapInArrow(_shards(len(carry)), schema + ", words array<string>"), "terms-shards")
-    held = shards.select("shard", F.posexplode("words").alias("place", "word"))
-    dictionary = saved(held.select("word").distinct().withColumn("term", F.monotonically_increasing_id()), "terms-dictionary")
+    with session.conf_set(spark, spark__sql__execution__arrow__maxBytesPerBatch=str(SHARD)):
+        shards = saved(rows.mapInArrow(_shards(len(carry), measure), schema + ", n_words long, words array<string>"), "terms-shards")
+    ranges = int(scalar(shards.agg(F.sum("n_words"))) or 0) // RANGE + 1
+    blocks = shards.select("shard", "words").mapInArrow(_by_range(ranges), "range long, shard long, words array<string>")
+    blocks = blocks.repartition(ranges, "range").sortWithinPartitions("range")
+    found = saved(blocks.mapInArrow(_numbered, "range long, shard long, ids binary, words array<string>"), "terms-ids")
+    words = found.where("shard IS NULL").select("range", F.posexplode("words").alias("place", "word"))
+    dictionary = words.select("word", F.shiftleft("range", 32).bitwiseOR(F.col("place").cast("long")).alias("term"))
     # a name of its own: both sides come from the same table
-    ids = held.join(dictionary, "word").select(F.col("shard").alias("of_shard"), "place", "term")
-    matrix = shards.drop("words").groupBy("shard").cogroup(ids.groupBy("of_shard"))
-    return matrix.applyInArrow(_with_terms(list(carry)), schema.replace("columns binary", "terms binary")), dictionary
+    ids = found.where("shard IS NOT NULL").select(F.col("shard").alias("of_shard"), "range", "ids")
+    matrix = shards.drop("words", "n_words").groupBy("shard").cogroup(ids.groupBy("of_shard"))
+    return matrix.applyInArrow(_with_terms(list(kinds)), schema.replace("columns binary", "terms binary")), dictionary
