@@ -19,6 +19,7 @@ from millrace.functions.parse import AUTO
 from millrace.functions import null_tokens, parse_date, parse_time_text, parse_timestamp, qcol
 from millrace.operators.semistruct import build_map
 from millrace.sources.formats import CsvFormat, charset
+from millrace.sources.records import records
 from millrace.sources.schemas import TIME
 
 # never part of real text: lets an empty field be told from a quoted empty text
@@ -142,17 +143,17 @@ def _options(fmt: CsvFormat) -> dict[str, str]:
     }
 
 
-def _quoted_fields(lines: DataFrame, count: int, fmt: CsvFormat) -> DataFrame:
+def _quoted_fields(lines: DataFrame, count: int, fmt: CsvFormat, *keep: str, **options: str) -> DataFrame:
     names = _field_names(count)
     ddl = ", ".join(f"{n} string" for n in names) + ", _bad string"
-    parsed = lines.withColumn("_f", F.from_csv("_line", ddl, _options(fmt)))
+    parsed = lines.withColumn("_f", F.from_csv("_line", ddl, {**_options(fmt), **options}))
     # a blank line is one empty field
     short = F.col("_f._bad").isNotNull() | (F.trim("_line") == "" if count > 1 else F.lit(False))
     # a quoted field that goes on in the next line
     unquoted = F.length(F.replace(F.col("_line"), F.lit(fmt.quote), F.lit("")))
     odd = (F.length("_line") - unquoted) / len(fmt.quote) % 2 == 1
     return parsed.withColumns({"_short": short, "_odd": odd}).select(
-        *LINEAGE, "_line", "_short", "_odd", *[F.col(f"_f.{n}").alias(n) for n in names]
+        *LINEAGE, "_line", *keep, "_short", "_odd", *[F.col(f"_f.{n}").alias(n) for n in names]
     )
 
 
@@ -185,29 +186,19 @@ def _split_lines(lines: DataFrame, count: int, fmt: CsvFormat) -> DataFrame:
     return (_quoted_fields if fmt.quote else _plain_fields)(lines, count, fmt)
 
 
-def _multi_line_fields(
-    spark: SparkSession, paths, root: str, fmt: CsvFormat, count: int
-) -> DataFrame:
-    names, quote = _field_names(count), F.lit(fmt.quote or "")
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_bad"]])
-    rows = (
-        spark.read.schema(schema)
-        .options(**_options(fmt), multiLine="true", encoding=charset(fmt.encoding))
-        .option("recursiveFileLookup", "true")
-        .csv(paths)
-    )
-    return rows.select(
-        source_file(root).alias("file"),
-        F.col("_metadata.file_size").alias("file_size"),
-        F.col("_metadata.file_modification_time").alias("file_modified_at"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("seq"),
-        # the record as it could have been written, for its error and for bad bytes
-        F.coalesce("_bad", F.concat(quote, F.concat_ws(f"{fmt.quote}{fmt.delimiter}{fmt.quote}", *names), quote)).alias("_line"),
-        F.col("_bad").isNotNull().alias("_short"),
-        F.lit(False).alias("_odd"),
-        *names,
-    )
+def _record_fields(found: DataFrame, count: int, fmt: CsvFormat) -> DataFrame:
+    """Fields of records put together from undecoded lines."""
+    with session.conf_set(
+        found.sparkSession, spark__sql__legacy__javaCharsets="true", spark__sql__legacy__codingErrorAction="true"
+    ):
+        decoded = F.transform("_lines", lambda line: F.decode(line, charset(fmt.encoding)))
+        text = found.select(*LINEAGE, F.array_join(decoded, fmt.record_delimiter or "\n").alias("_line"), "_long")
+    if fmt.skip_byte_order_mark:
+        text = text.withColumn("_line", F.regexp_replace("_line", "^\ufeff", ""))
+    if fmt.skip_blank_lines:
+        text = text.where(F.trim("_line") != "")
+    fields = _quoted_fields(text, count, fmt, "_long", multiLine="true")
+    return fields.withColumn("_odd", F.lit(False))
 
 
 def typed_value(c: Column, kind, fmt: CsvFormat) -> Column:
@@ -251,6 +242,8 @@ def _typed_fields(rows: DataFrame, columns: Sequence[tuple[str, object]], fmt: C
         ).cast(ERROR_TYPE)
 
     checks = []
+    if "_long" in rows.columns:
+        checks.append(F.when(F.col("_long"), error(F.lit(f"record of more than {fmt.most_record_bytes} bytes"))))
     if fmt.strict_encoding:
         bad_bytes = F.col("_line").contains(_REPLACED)
         checks.append(F.when(bad_bytes, error(F.lit(f"bytes outside encoding {fmt.encoding}"))))
@@ -290,20 +283,25 @@ def scan_rows(
 ) -> DataFrame:
     """Lazy typed rows of some files with lineage and errors, not yet numbered."""
     if fmt.multi_line:
-        rows = _multi_line_fields(spark, list(paths), root, fmt, len(columns))
-        return _typed_fields(rows, columns, fmt)
+        return record_rows(spark, paths, root, fmt, columns, session.scratch_path(spark, "records"))
     return rows_of_lines(line_source(spark.read, list(paths), root, fmt), fmt, columns)
 
 
+def record_rows(
+    spark: SparkSession, paths: Sequence[str], root: str, fmt: CsvFormat, columns: Sequence[tuple[str, object]], folder: str
+) -> DataFrame:
+    """Typed rows of files whose records may go on over several lines; split over tasks like any lines."""
+    found = records(line_source(spark.read, list(paths), root, fmt), fmt, folder)
+    return _typed_fields(_record_fields(found, len(columns), fmt), columns, fmt)
+
+
 def records_of(
     spark: SparkSession, root: str, fmt: CsvFormat, columns: Sequence[tuple[str, object]]
-) -> Callable[[Sequence[str]], DataFrame] | None:
-    """How to read files below ``root`` again whose quoted fields hold line breaks."""
+) -> Callable[[Sequence[str], str], DataFrame] | None:
+    """How to read files below ``root`` again whose quoted fields hold line breaks, given a folder for tables."""
     if not fmt.quote or fmt.multi_line:
         return None
-    return lambda files: scan_rows(
-        spark, [f"{root}/{literal_path(f)}" for f in files], root, fmt.with_options(multi_line=True), columns
-    )
+    return lambda files, folder: record_rows(spark, [f"{root}/{literal_path(f)}" for f in files], root, fmt, columns, folder)
 
 
 def stage_scan(
@@ -315,7 +313,7 @@ def stage_scan(
 
 
 def stage_rows(
-    rows: DataFrame, fmt: CsvFormat, again: Callable[[Sequence[str]], DataFrame] | None = None
+    rows: DataFrame, fmt: CsvFormat, again: Callable[[Sequence[str], str], DataFrame] | None = None
 ) -> tuple[DataFrame, str]:
     """Write scanned rows once to the shared folder and read them back numbered.
 
@@ -328,8 +326,8 @@ def stage_rows(
     are very many splits; then it spreads evenly over them.
 
     A line with an odd number of quotes may be part of a record of several lines. Files that
-    have one are read by ``again``, record by record; all others stay cut into lines. ``line``
-    then counts records.
+    have one are read by ``again``, split by split, and their lines put together; all others
+    stay cut into lines. ``line`` then counts records.
     """
     spark = rows.sparkSession
     folder = session.scratch_path(spark, "rows")
@@ -339,7 +337,7 @@ def stage_rows(
             broken = session.written(staged.where("_odd").select("file").distinct(), f"{folder}/broken")
             files = [r.file for r in broken.toLocalIterator()]
             if files:
-                records = session.written(again(files), f"{folder}/records")
+                records = session.written(again(files, folder), f"{folder}/records")
                 staged = staged.join(broken, "file", "left_anti").unionByName(records)
     staged = staged.drop("_odd")
     splits = session.written(split_index(staged), f"{folder}/splits")

@@ -13,8 +13,9 @@ SLASH_DATE, SLASH_STAMP = "yyyy/MM/dd", "yyyy/MM/dd HH:mm:ss"
 class CsvFormat:
     """Parse options of one file format.
 
-    ``multi_line`` allows line breaks inside quoted fields; such a file is read by one
-    task, so leave it off for files without them.
+    ``multi_line`` expects line breaks inside quoted fields in every file; without it, they
+    are looked for in files that have a line with an odd number of quotes. A record of more
+    than ``most_record_bytes`` is in error, as one that a stray quote opened.
     """
 
     delimiter: str = ","
@@ -32,6 +33,7 @@ class CsvFormat:
     skip_blank_lines: bool = False
     skip_byte_order_mark: bool = True
     multi_line: bool = False
+    most_record_bytes: int = 16 << 20
 
     def with_options(self, **changes) -> "CsvFormat":
         return replace(self, **changes)
