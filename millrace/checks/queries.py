@@ -115,32 +115,31 @@ def recent_changes(spark, sf_dir):
 
 def delivery_change_report(spark, sf_dir):
     """The change report over the whole change history, repeated keys allowed."""
-    return reports.delivery_change_report(
-        shapes.erp_tables(spark, sf_dir), CLIENT, AS_OF, WHOLE_HISTORY_DAYS
-    )
+    hot = shapes.hot_keys(spark, sf_dir)
+    return reports.delivery_change_report(shapes.erp_tables(spark, sf_dir), CLIENT, AS_OF, WHOLE_HISTORY_DAYS, hot)
 
 
 def so_po_combination(spark, sf_dir):
     """The sales-order / purchase-order list over all open items, repeated keys allowed."""
-    out = reports.so_po_combination(shapes.erp_tables(spark, sf_dir), CLIENT)
+    out = reports.so_po_combination(shapes.erp_tables(spark, sf_dir), CLIENT, shapes.hot_keys(spark, sf_dir))
     return _money(out, "SOQTY", "DLVQTY", "OpenQTY")
 
 
 def delivery_change_report_unique(spark, sf_dir):
     """The change report over tables with unique keys."""
     tables = shapes.unique_tables(spark, sf_dir)
-    return reports.delivery_change_report(tables, CLIENT, AS_OF, WHOLE_HISTORY_DAYS)
+    return reports.delivery_change_report(tables, CLIENT, AS_OF, WHOLE_HISTORY_DAYS, shapes.hot_keys(spark, sf_dir))
 
 
 def delivery_change_report_recent(spark, sf_dir):
     """The change report of the last 30 days, filtering large tables by changed documents."""
     tables = shapes.unique_tables(spark, sf_dir)
-    return reports.delivery_change_report(tables, CLIENT, AS_OF, stage_changes=True)
+    return reports.delivery_change_report(tables, CLIENT, AS_OF, hot=shapes.hot_keys(spark, sf_dir), stage_changes=True)
 
 
 def so_po_combination_unique(spark, sf_dir):
     """The combination list over tables with unique keys."""
-    out = reports.so_po_combination(shapes.unique_tables(spark, sf_dir), CLIENT, unique_keys=True)
+    out = reports.so_po_combination(shapes.unique_tables(spark, sf_dir), CLIENT, shapes.hot_keys(spark, sf_dir))
     return _money(out, "SOQTY", "DLVQTY", "OpenQTY")
 
 

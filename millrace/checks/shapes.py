@@ -8,6 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace import session
+from millrace.operators import hotkeys
+from millrace.plans import reports
+
 CLIENT = "900"
 
 
@@ -184,6 +188,13 @@ def erp_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {make.__name__: make(spark, sf_dir) for make in makers}
 
 
+def hot_keys(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
+    """Documents and purchase orders of very many rows, from sketches made as a load of the tables makes them."""
+    path = session.scratch_path(spark, "sketches")
+    hotkeys.save_sketches(erp_tables(spark, sf_dir), reports.SKETCHED, path)
+    return hotkeys.read_hot_keys(spark, path)
+
+
 def unique_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The same tables with one row per primary key, as an ERP system keeps them."""
     tables = erp_tables(spark, sf_dir)

@@ -57,14 +57,17 @@ def has_hot_keys(df: DataFrame, keys: Sequence[str], limit: int = ROWS_PER_SALT)
 
 
 def fanout_left_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT
+    left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT, hot: bool | None = None
 ) -> DataFrame:
     """Left join on equal key names where one key may match any number of right rows.
 
-    The right side's keys are counted first. Without a key of more than ``rows_per_salt``
-    rows this is a plain left join, whose left side AQE can split; else it is salted.
+    Without a key of more than ``rows_per_salt`` rows on the right this is a plain left join,
+    whose left side AQE can split; else it is salted. ``hot`` says whether there is such a key;
+    when it is not known, the right side's keys are counted at once.
     """
-    if has_hot_keys(right.where(all_of([qcol(k).isNotNull() for k in keys])), keys, rows_per_salt):
+    if hot is None:
+        hot = has_hot_keys(right.where(all_of([qcol(k).isNotNull() for k in keys])), keys, rows_per_salt)
+    if hot:
         return salted_left_join(left, right, keys, rows_per_salt)
     return lookup_left_join(left, right, keys)
 

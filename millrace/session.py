@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join even when that costs one more shuffle downstream
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # tables partitioned by document are joined by document and item without a shuffle
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 
