@@ -67,9 +67,8 @@ FILE_ORACLE = {
     "pending_files": """
         WITH f AS (SELECT DISTINCT 'o' || l_orderkey || '.csv' AS file, l_linenumber::BIGINT AS file_size,
                           date_trunc('month', l_shipdate)::TIMESTAMP AS stamp, l_linestatus FROM lineitem)
-        SELECT file, file_size, stamp FROM f WHERE l_linestatus = 'O' AND NOT EXISTS (
-            SELECT 1 FROM f h WHERE h.l_linestatus = 'F' AND h.file_size <= 5 AND h.file = f.file
-            AND h.file_size = f.file_size AND h.stamp = f.stamp)""",
+        SELECT file, file_size, stamp FROM f GROUP BY file, file_size, stamp
+        HAVING bool_or(l_linestatus = 'O') AND NOT bool_or(l_linestatus = 'F' AND file_size <= 5)""",
     "wide_refresh": _WIDE,
     "stream_refresh": _WIDE,
     "odd_lines": """

@@ -135,14 +135,13 @@ def _partner(role: str, prefix: str, document: list[str]) -> str:
     def same(a: str, b: str) -> str:
         return " AND ".join(f"{a}.{c} = {b}.{c}" for c in document)
 
-    l, h = prefix + "l", prefix + "h"
+    l, h, v = prefix + "l", prefix + "h", prefix + "v"
     return f"""
         LEFT JOIN vbpa {l} ON {same('i', l)} AND i.posnr = {l}.posnr AND {l}.parvw = '{role}'
              AND {l}.posnr <> '000000'
-        LEFT JOIN (SELECT * FROM vbpa WHERE parvw = '{role}' AND posnr = '000000'
-                   AND ({', '.join(document)}) NOT IN
-                       (SELECT ({', '.join(document)}) FROM vbpa WHERE parvw = '{role}' AND posnr <> '000000')) {h}
-             ON {same('i', h)}"""
+        LEFT JOIN (SELECT {', '.join(document)}, bool_or(posnr <> '000000') AS own FROM vbpa WHERE parvw = '{role}'
+                   GROUP BY {', '.join(document)}) {v} ON {same('i', v)}
+        LEFT JOIN vbpa {h} ON {same('i', h)} AND {h}.parvw = '{role}' AND {h}.posnr = '000000' AND NOT {v}.own"""
 
 
 def _pick(prefix: str, column: str, alias: str) -> str:
