@@ -25,8 +25,8 @@ from millrace.llm.common import saved, scalar
 from millrace.llm.words import _BLANK, mix, powers, texts_of
 
 _SPLIT = r"[\x20\x09-\x0D]+"
-PIECE = 4 << 20  # bytes of one text that are split at once
-SHARD = 8 << 20  # bytes of text in a shard, about
+PIECE = 2 << 20  # bytes of one text that are split at once
+SHARD = 4 << 20  # bytes of text in a shard, about
 RANGE = 1 << 19  # words of all shards that a range of hashes should hold
 _BASE = 0xA0761D6478BD642F
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -67,7 +67,7 @@ def _spread(words: pa.Array) -> np.ndarray:
 
 def _counted(rows: list[np.ndarray], words: list[pa.Array], weights: list[np.ndarray | None], texts: int):
     """CSR rows over the distinct words, in order of their hashes: (distinct words, row ends, columns, counts)."""
-    encoded = pa.concat_arrays([w.cast(pa.string()) for w in words]).dictionary_encode()
+    encoded = (pa.concat_arrays(words) if len(words) > 1 else words[0]).dictionary_encode()
     distinct = encoded.dictionary
     size = max(1, len(distinct))
     order = np.argsort(_spread(distinct), kind="stable")
