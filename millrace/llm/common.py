@@ -48,6 +48,17 @@ def scratch_scope():
         _scopes.pop()
 
 
+def tables_read(df: DataFrame, paths: list[str]) -> list[str]:
+    """Those of the given folders that ``df`` still reads."""
+    leaves, roots = df._jdf.queryExecution().analyzed().collectLeaves(), []
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            found = leaf.relation().location().rootPaths()
+            roots += [found.apply(j).getName() for j in range(found.size())]
+    return [path for path in paths if path.rsplit("/", 1)[1] in roots]
+
+
 def pruned_joins(spark: SparkSession):
     """Let Spark drop rows by a Bloom filter of the other side before it shuffles them.
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import saved
 from millrace.llm.words import BLOCK, texts_of, word_hashes
 
-SAMPLE = 3000  # texts the scorer is fitted on, at most; all others only enter the vote counts
+SAMPLE = 3000  # distinct texts the scorer is fitted on, at most; all others only enter the vote counts
 FEATURES = 4096
 STRETCH = 1 << 14
 KEEP = 0.5  # texts that score less are rejected
@@ -123,13 +123,13 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500) -> np
 
 
 def fit_scorer(x: np.ndarray, target: np.ndarray, steps: int = 300, keep: float = 1e-5) -> tuple[np.ndarray, float]:
-    """Logistic regression on probabilities by accelerated descent."""
+    """Logistic regression on probabilities by accelerated descent; ``x`` stays in single precision."""
     w, bias = np.zeros(x.shape[1]), 0.0
     ahead_w, ahead_b, rate = w, bias, 4.0
     for t in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ ahead_w + ahead_b, -500, 500)))
+        p = 1 / (1 + np.exp(-np.clip((x @ ahead_w.astype(x.dtype)).astype(np.float64) + ahead_b, -500, 500)))
         error = (p - target) / len(x)
-        new_w, new_b = ahead_w - rate * (x.T @ error + keep * ahead_w), ahead_b - rate * error.sum()
+        new_w, new_b = ahead_w - rate * ((error.astype(x.dtype) @ x).astype(np.float64) + keep * ahead_w), ahead_b - rate * error.sum()
         step = t / (t + 3)
         ahead_w, ahead_b = new_w + step * (new_w - w), new_b + step * (new_b - bias)
         w, bias = new_w, new_b
@@ -148,21 +148,27 @@ def _code(said: list[int]) -> int:
 
 
 def _feature_rows(batches):
+    """Votes and features of the texts of a task, those of equal rank once."""
+    seen = set()
     for batch in batches:
         flat, cuts = texts_of(batch.column("text"))
-        codes, data = [], []
-        for r in range(len(cuts) - 1):
+        ranks, codes, data = [], [], []
+        for r, rank in enumerate(batch.column("rank").to_pylist()):
+            if rank in seen:
+                continue
+            seen.add(rank)
             b = flat[cuts[r] : cuts[r + 1]]
             said = votes(b)
+            ranks.append(rank)
             codes.append(_code(said))
             data.append(features(b, said).astype(np.float32).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), pa.array(data, pa.binary())], ["votes", "features"])
+        yield pa.RecordBatch.from_arrays([pa.array(ranks, pa.int64()), pa.array(codes, pa.int64()), pa.array(data, pa.binary())], ["rank", "votes", "features"])
 
 
-def _scorer(weights: np.ndarray, bias: float, columns: list[str]):
+def _scorer(weights: np.ndarray, bias: float, columns: list[str], text: str):
     def run(batches):
         for batch in batches:
-            flat, cuts = texts_of(batch.column("_text"))
+            flat, cuts = texts_of(batch.column(text).cast(pa.string()))
             scores = []
             for r in range(len(cuts) - 1):
                 b = flat[cuts[r] : cuts[r + 1]]
@@ -178,26 +184,31 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Every text is scored as a whole. Labellers and scorer look at bytes only, so languages do
     not matter. Texts of fewer than 3 bytes, NULL included, score 1: nothing speaks against
-    them. The sample is the ``sample`` rows of smallest hash of id and text length. The same
-    rows give the same scores. No rows: no rows.
+    them. The sample is the ``sample`` texts of smallest hash, a text that many rows hold
+    counting once. The same rows give the same scores. No rows: no rows.
     """
     carry = [id_col] if carry is None else carry
-    rank = F.xxhash64(F.lit(5), F.col(id_col), F.octet_length(F.col(text_col)))
-    rows = docs.select(rank.alias("rank"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.xxhash64(F.lit(5), F.col(text_col)).alias("rank"), F.col(text_col).cast("string").alias("text"))
     voted = saved(rows.mapInArrow(_vote_rows, "rank long, votes long"), "quality-votes")
     found = voted.groupBy("votes").agg(F.count("*").alias("n")).orderBy("votes").collect()  # at most 3 ** labellers
     codes = np.array([r["votes"] for r in found], np.int64)
     patterns = np.stack([codes // 3 ** (len(LABELLERS) - 1 - k) % 3 for k in range(len(LABELLERS))], axis=1).astype(np.int64)
     post = dict(zip(codes.tolist(), fit_votes(patterns, np.array([r["n"] for r in found])), strict=True)) if found else {}
-    cut = [r["rank"] for r in voted.select("rank").orderBy("rank").limit(sample).collect()]
+    cut = voted.select("rank").distinct().orderBy("rank").limit(sample).agg(F.max("rank")).first()[0]
     weights, bias = np.zeros(FEATURES), 10.0
-    if cut:
-        fitted = rows.where(F.col("rank") <= cut[-1]).mapInArrow(_feature_rows, "votes long, features binary").limit(2 * sample).collect()
-        fitted.sort(key=lambda r: (r["votes"], bytes(r["features"])))  # sums must not depend on the order of arrival
-        x = np.frombuffer(b"".join(bytes(r["features"]) for r in fitted), np.float32).reshape(len(fitted), FEATURES).astype(np.float64)
-        weights, bias = fit_scorer(x, np.array([post[r["votes"]] for r in fitted]))
-    out = docs.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)], F.col(text_col).cast("string").alias("_text"))
+    if cut is not None:
+        fitted = rows.where(F.col("rank") <= cut).mapInArrow(_feature_rows, "rank long, votes long, features binary")
+        # one row for each rank, in order; sums must not depend on the order of arrival
+        fitted = saved(fitted.groupBy("rank").agg(F.min(F.struct("votes", "features")).alias("x")).select("rank", "x.*"), "quality-sample")
+        x, target = np.zeros((sample, FEATURES), np.float32), []
+        for r, row in enumerate(fitted.orderBy("rank").toLocalIterator()):
+            x[r] = np.frombuffer(row["features"], np.float32)
+            target.append(post[row["votes"]])
+        weights, bias = fit_scorer(x[: len(target)], np.array(target))
+    # the text goes to Python once, also when it is carried
+    at = carry.index(text_col) if text_col in carry else len(carry)
+    out = docs.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)], *([F.col(text_col).alias(f"_c{at}")] if at == len(carry) else []))
     names = [f"_c{i}" for i in range(len(carry))]
     schema = ", ".join(f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(names, carry, strict=True))
-    scored = out.mapInArrow(_scorer(weights, bias, names), f"{schema}, _quality double")
+    scored = out.mapInArrow(_scorer(weights, bias, names, f"_c{at}"), f"{schema}, _quality double")
     return scored.select(*[F.col(n).alias(c) for n, c in zip(names, carry, strict=True)], "_quality")
