@@ -21,6 +21,8 @@ RUNTIME_CONF = {
     # tables partitioned by document are joined by document and item without a shuffle
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
+    # texts go to Python workers in batches of bytes, not of rows
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 # Plans of wide tables have many columns, and noting the Python call site of each costs more
