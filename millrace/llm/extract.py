@@ -6,7 +6,9 @@ most words counts. Counts of words inside and outside the marked part are added
 pages by place, at most a few thousand rows. A linear scan then finds the stretch of maximal
 sum on each page by these weights alone, marked or not. Words in menus, adverts, forms and
 the like are left out of the text wherever they stand, and so are comments and teasers that
-are articles of their own.
+are articles of their own. A class or id says so only as a whole, "ad" or "cookie-notice"; one
+that merely holds such a word, "market-share" or "social-science", has a weight learned like
+that of a place, and its words are left out if that is negative.
 """
 
 from __future__ import annotations
@@ -33,6 +35,11 @@ PARTS = frozenset(
     "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead menu modal nav navbar "
     "navigation newsletter notice notices pagination popup promo promotion related replies share sharing sidebar skip social sponsor sponsored subscribe toolbar widget".split()
 )
+# words that say where a part stands or how it is built, not what it is
+LAYOUT = frozenset(
+    "area bar block body bottom box column container footer global group holder inner item items left link links list main mobile outer page panel post posts right row section "
+    "site slot sticky top unit wrap wrapper zone".split()
+)
 ROLES = frozenset("banner complementary contentinfo form menu menubar navigation search alert dialog".split())
 MARKED = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -82,28 +89,35 @@ def tokens(page: str):
             at = end.start() if end else size
 
 
-def _dropped(name: str, attributes: str) -> bool:
+def _part_of(name: str, attributes: str) -> tuple[bool, str]:
+    """Whether an element is a dropped part, and else the part's name that its class or id holds beside other words."""
     if name in DROPPED:
-        return True
+        return True, ""
     if not attributes or name in ("html", "body"):
-        return False
+        return False, ""
+    hint = ""
     for m in _MARK.finditer(attributes):
         value = (m[2] or m[3] or m[4] or "").lower()
         if m[1].lower() == "role":
             if value.strip() in ROLES:
-                return True
-        elif any(w in PARTS for w in _WORD_PARTS.findall(value)):
-            return True
-    return bool(_HIDDEN.search(attributes))
+                return True, ""
+            continue
+        for token in value.split():
+            words = _WORD_PARTS.findall(token)
+            parts = [w for w in words if w in PARTS]
+            if parts and all(w in PARTS or w in LAYOUT for w in words):
+                return True, ""
+            hint = hint or (parts[0] if parts else "")
+    return bool(_HIDDEN.search(attributes)), hint
 
 
 class Piece:
-    """A run of text in one block: its words' place, and whether it belongs to a dropped part."""
+    """A run of text in one block: its words' place, whether it belongs to a dropped part, and the part's name that an element around it holds."""
 
-    __slots__ = ("block", "place", "text", "marked", "dropped")
+    __slots__ = ("block", "place", "text", "marked", "dropped", "hint")
 
-    def __init__(self, block, place, text, marked, dropped):
-        self.block, self.place, self.text, self.marked, self.dropped = block, place, text, marked, dropped
+    def __init__(self, block, place, text, marked, dropped, hint=""):
+        self.block, self.place, self.text, self.marked, self.dropped, self.hint = block, place, text, marked, dropped, hint
 
 
 def _main_mark(found: list, ends: dict[int, int], drop: dict[int, bool]) -> tuple[int, int]:
@@ -174,21 +188,26 @@ def parse(page: str) -> tuple[list, bool]:
                     del open_at[k:]
                     break
 
-    dropping_at = {i: _dropped(name, rest) or name == "header" for i, (kind, name, rest) in enumerate(found) if kind == "open"}
+    parts_at = {i: _part_of(name, rest) for i, (kind, name, rest) in enumerate(found) if kind == "open"}
+    dropping_at = {i: part or found[i][1] == "header" for i, (part, _) in parts_at.items()}
     outer, frame = _main_mark(found, ends, dropping_at)
 
     events: list = []
     stack: list[tuple[str, bool, bool]] = []  # name, whether a dropped part starts here, whether the marked one does
+    hints: list[tuple[int, str]] = []  # depth in the stack and part's name of the elements around
     drops = marks = block = articles = 0
     linked = 0
     for i, (kind, name, rest) in enumerate(found):
+        while hints and hints[-1][0] >= len(stack):
+            hints.pop()
+        hint = hints[-1][1] if hints else ""
         if kind == "text":
             if rest.strip():
                 inner = next((n for n, _, _ in reversed(stack) if n not in INLINE), "body")
                 place = f"{'a:' if linked else ''}{inner if inner in KNOWN else 'other'}"
-                events.append(Piece(block, place, rest, marks > 0, drops > 0))
+                events.append(Piece(block, place, rest, marks > 0, drops > 0, hint))
             else:
-                events.append(Piece(block, "", " ", marks > 0, drops > 0))
+                events.append(Piece(block, "", " ", marks > 0, drops > 0, hint))
             continue
         if kind == "open":
             while stack and name in CLOSED_BY.get(_last_block(stack), ()):
@@ -199,7 +218,7 @@ def parse(page: str) -> tuple[list, bool]:
                         break
                 block += 1
             if name == "br":
-                events.append(Piece(block, "", " ", marks > 0, drops > 0))
+                events.append(Piece(block, "", " ", marks > 0, drops > 0, hint))
             if name not in INLINE:
                 block += 1
             if not drops and (name == "a" or name not in INLINE):  # a dropped part costs one tag, whatever it holds
@@ -213,6 +232,8 @@ def parse(page: str) -> tuple[list, bool]:
                 # an element that holds the marked article is a frame around it, not a part
                 drop = not i <= frame < ends.get(i, len(found))
             mark = i == outer and not drops
+            if parts_at[i][1] and not i <= frame < ends.get(i, len(found)):
+                hints.append((len(stack), parts_at[i][1]))
             stack.append((name, drop, mark))
             drops, marks, linked, articles = drops + drop, marks + mark, linked + (name == "a"), articles + (name in MARKED)
             continue
@@ -252,7 +273,10 @@ def _counts(batches):
                 if isinstance(e, str):
                     counts.setdefault("<" + e, [0, 0])[0 if first <= i <= last else 1] += 1
                 elif e.place and not e.dropped:
-                    counts.setdefault(e.place, [0, 0])[0 if e.marked else 1] += len(e.text.split())
+                    n, side = len(e.text.split()), 0 if e.marked else 1
+                    counts.setdefault(e.place, [0, 0])[side] += n
+                    if e.hint:
+                        counts.setdefault("." + e.hint, [0, 0])[side] += n
         names = sorted(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), pa.array([counts[n][0] for n in names], pa.int64()), pa.array([counts[n][1] for n in names], pa.int64())], ["feature", "inside", "outside"]
@@ -262,6 +286,8 @@ def _counts(batches):
 def fit_weights(counts: list[tuple[str, int, int]]) -> dict[str, float]:
     """Weights by feature; ``word``, ``heading`` and ``link`` for unseen places of words, ``tag`` for unseen tags.
 
+    A part's name (with a full stop before it) weighs like a place, and nothing when unseen.
+
     A word weighs the log of how much likelier its place is inside, between -4 and 2; frames
     without a meaning of their own never weigh less than unseen places. A tag always costs
     something, between 0.02 and 1.5.
@@ -276,21 +302,31 @@ def fit_weights(counts: list[tuple[str, int, int]]) -> dict[str, float]:
     return out
 
 
-def main_blocks(page: str, weights: dict[str, float]) -> list[str]:
-    """Text blocks of the best stretch of a page."""
-    events, _ = parse(page)
+def best_stretch(scores: list[float]) -> tuple[int, int]:
+    """The contiguous stretch of highest sum, [start, end); the first of equals, and (0, 0) if no sum is positive."""
     best = total = 0.0
     start, span = 0, (0, 0)
-    for i, e in enumerate(events):
-        if isinstance(e, str):
-            total += weights.get("<" + e, weights["tag"])
-        elif e.place and not e.dropped:
-            weight = weights.get(e.place, weights["link" if e.place.startswith("a:") else "heading" if e.place in HEADINGS else "word"])
-            total += weight * len(e.text.split())
+    for i, score in enumerate(scores):
+        total += score
         if total <= 0:
             total, start = 0.0, i + 1
         elif total > best:
             best, span = total, (start, i + 1)
+    return span
+
+
+def main_blocks(page: str, weights: dict[str, float]) -> list[str]:
+    """Text blocks of the best stretch of a page."""
+    events, _ = parse(page)
+    scores = []
+    for e in events:
+        if isinstance(e, str):
+            scores.append(weights.get("<" + e, weights["tag"]))
+            continue
+        e.dropped = e.dropped or weights.get("." + e.hint, 0.0) < 0
+        weight = weights.get(e.place, weights["link" if e.place.startswith("a:") else "heading" if e.place in HEADINGS else "word"])
+        scores.append(weight * len(e.text.split()) if e.place and not e.dropped else 0.0)
+    span = best_stretch(scores)
     blocks: list[str] = []
     parts: list[str] = []
     block = None

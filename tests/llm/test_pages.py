@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import io
+import random
 
 import duckdb
 import pytest
@@ -123,6 +124,33 @@ def test_main_text_of_marked_and_unmarked_pages(spark):
         assert got[i] == "\n\n".join(TEXT), i
 
 
+def test_best_stretch_matches_all_stretches():
+    r = random.Random(4)
+    for n in [0, 1, 2, 3, *range(4, 60)]:
+        scores = [r.choice([-2, -1, -0.5, 0, 0.5, 1, 3]) for _ in range(n)]
+        start, end = extract.best_stretch(scores)
+        best = max([sum(scores[a:b]) for a in range(n) for b in range(a + 1, n + 1)], default=0)
+        assert sum(scores[start:end]) == max(best, 0)
+        assert (start, end) == (0, 0) or (start == 0 or sum(scores[start:end]) > 0)
+
+
+def test_parts_are_named_by_whole_classes_only(spark):
+    """A class that only holds a part's name is judged by where the labelled pages have it."""
+    body = "".join(f"<p>The body goes on in paragraph {i} with words of its own</p>" for i in range(4))
+    text = [f"The body goes on in paragraph {i} with words of its own" for i in range(4)]
+    names = ['section id="social-science"', 'section class="market-share"', 'div class="x related-work y"']
+    pages = [f"<body><nav>menu</nav><article><h1>A title of several words</h1><{n}>{body}</{n.split()[0]}><div class='ad-slot'>buy</div></article></body>" for n in names]
+    # a name that stands outside the articles of labelled pages, in one that is not labelled
+    pages.append(f"<body><div>{body}<div class='promo-teaser'>Read some more of it</div>{body}</div></body>")
+    many = [(100 + i, f"<body><article>{body}</article><div class='promo-teaser'><p>Read more of it elsewhere</p></div></body>") for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(pages)) + many, "page_id long, html string")
+    got = {r["page_id"]: r["_text"] for r in extract.main_text(df).collect()}
+    for i in range(3):
+        assert got[i] == "\n\n".join(["A title of several words", *text]), i
+    assert got[3] == "\n\n".join(text + text)
+    assert all(got[100 + i] == "\n\n".join(text) for i in range(20))
+
+
 def test_main_text_beside_articles_of_others(spark):
     notes = "".join(f"<article><p>Reader {i} thinks this is rather good</p></article>" for i in range(3))
     comments, aside = f'<section id="comments">{notes}</section>', f"<aside>{notes}</aside>"
