@@ -1,20 +1,21 @@
-"""Removal of long repeated byte strings by gram buckets and window matching.
-
-This stands in for a suffix array with longest-previous-factor values; no such arrays are made.
+"""Removal of long repeated byte strings by longest previous factors in suffix order, bucket by bucket.
 
 A byte is repeated when it lies in a string of ``span`` bytes that also starts elsewhere, in
-the same text or another; strings never cross texts. Sorting all suffixes of a corpus is not
-needed for that. Every string of ``span`` bytes has a smallest gram hash among its grams, and
-equal strings have equal ones, so texts are cut into runs of neighbouring strings with the
-same smallest gram, and only runs whose gram occurs again can hold repeats:
-
-1. Runs with equal bytes around are counted by a hash of these bytes (partial aggregation):
-   in a run that occurs twice, every string is repeated.
+the same text or another; strings never cross texts. Only factors of ``span`` bytes count, so
+suffixes are compared up to that length, and only those that can meet are sorted together:
+every string of ``span`` bytes has a smallest gram hash among its grams, equal strings have
+equal ones, so texts are cut into runs of neighbouring strings with the same smallest gram.
+
+1. Runs with equal bytes around are collapsed into one with a count (partial aggregation by a
+   hash of these bytes); in a run that occurs twice, every string is repeated. Runs whose
+   gram occurs nowhere else hold no repeats.
 2. One run for each distinct content left is sent, with its bytes, to the bucket of its gram.
-   There all its strings are sorted by their ``span`` bytes, so that equal ones stand
-   together; each is a repeat, and a later copy unless it is the first of its kind.
-3. Grams with very many distinct runs would fill a bucket; their strings are counted by hash
-   instead, pre-aggregated, in any number of tasks.
+   There its strings, the suffixes cut at ``span`` bytes, are sorted with the lengths of the
+   prefixes that neighbours share. Previous and next smaller positions in that order give
+   each suffix its longest previous factor: one of ``span`` bytes or more marks a later copy.
+   The longer prefix shared with a neighbour is the longest factor found anywhere else.
+3. Grams with very many distinct runs or strings would fill a bucket; their strings are
+   counted by hash instead, pre-aggregated, in any number of tasks.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import dropped, pruned_joins, saved, scalar
+from millrace.llm.common import dropped, pruned_joins, saved
 from millrace.llm.words import mix, powers, texts_of
 
 SPAN = 200
@@ -34,6 +35,7 @@ GRAM = 32
 BLOCK = 1 << 20  # strings of one text handled at once
 MANY = 4096  # runs of one gram that a bucket takes
 BUCKET = 4096  # runs that a bucket should hold
+STRINGS = 1 << 19  # strings of one gram that a bucket takes, and that a bucket should hold
 SLICE = 100_000  # strings sorted at once
 _BASE = 0xC2B2AE3D27D4EB4F
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -133,24 +135,36 @@ def _run_bytes(span: int):
     return run
 
 
-def first_of_kind(strings: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For strings given as rows of bytes: how many are equal to each, and whether one of them has a smaller position.
+def _smaller_before(position: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """For suffixes in order: the prefix shared with the nearest one before that has a smaller position.
 
-    In suffix order equal strings are neighbours. Within such a stretch, a string has a
-    previous or next smaller position exactly when it is not the stretch's least.
+    ``shared`` holds the prefix that each shares with the one before it. All suffixes jump at
+    once, over stretches that are known to hold no smaller position.
     """
+    to, common = np.arange(len(position)) - 1, shared.copy()
+    open_ = np.flatnonzero((to >= 0) & (position[to] > position))
+    while len(open_):
+        over = to[open_]
+        common[open_], to[open_] = np.minimum(common[open_], common[over]), to[over]
+        open_ = open_[(to[open_] >= 0) & (position[to[open_]] > position[open_])]
+    return np.where(to >= 0, common, 0)
+
+
+def factors(strings: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For suffixes given as rows of bytes, all of one length: the longest factor of each that starts anywhere else, and
+    the longest that starts at a smaller position."""
     width = strings.shape[1]
     order = np.argsort(np.ascontiguousarray(strings).view(f"S{width}").ravel(), kind="stable")
-    ordered = strings[order]
-    fresh = np.r_[True, (ordered[1:] != ordered[:-1]).any(axis=1)]
-    stretch = np.cumsum(fresh) - 1
-    heads = np.flatnonzero(fresh)
-    least = np.minimum.reduceat(position[order], heads)
-    count = np.diff(np.r_[heads, len(order)])
-    equal, later = np.empty(len(order), np.int64), np.empty(len(order), bool)
-    equal[order] = count[stretch]
-    later[order] = position[order] > least[stretch]
-    return equal, later
+    ordered, place = strings[order], position[order]
+    differs = ordered[1:] != ordered[:-1]
+    shared = np.zeros(len(order) + 1, np.int64)  # with the suffix before
+    shared[1:-1] = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
+    before = _smaller_before(place, shared[:-1])
+    after = _smaller_before(place[::-1], shared[:0:-1])[::-1]
+    other, previous = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    other[order] = np.maximum(shared[:-1], shared[1:])
+    previous[order] = np.maximum(before, after)
+    return other, previous
 
 
 def _spans(starts: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
@@ -183,8 +197,8 @@ def _in_suffix_order(span: int, keep_first: bool):
         while first < len(heads):  # slices of whole groups of equal hashes
             last = max(first + 1, int(np.searchsorted(heads, heads[first] + SLICE)))
             part = order[heads[first] : heads[last] if last < len(heads) else len(order)]
-            equal, later = first_of_kind(windows[at[part]], part)
-            found[part] = later if keep_first else equal > 1
+            other, previous = factors(windows[at[part]], part)
+            found[part] = (previous if keep_first else other) >= span
             first = last
         hit = np.flatnonzero(found)
         base = table["start"].to_numpy()[run_of[hit]] + within[hit]
@@ -301,27 +315,33 @@ def cut_repeats(docs: DataFrame, span: int = SPAN, keep_first: bool = True, char
 
     own = F.struct("id", "th", "place")
     classes = found.groupBy("gram", "content").agg(F.count("*").alias("n"), F.min(own).alias("first"), F.max("tie").alias("tie"))
-    kinds = classes.groupBy("gram").agg(F.count("*").alias("runs"))
+    strings = F.col("first.place").bitwiseAND(F.lit((1 << _RUN_BITS) - 1))
+    # the load of a gram: its distinct runs, or its strings in the same measure
+    load = F.greatest(F.count("*"), F.ceil(F.sum(strings) * (MANY / STRINGS)))
+    kinds = classes.groupBy("gram").agg(load.alias("runs"), (F.count("*") > 1).alias("several"))
     classes = classes.join(kinds, "gram")
-    is_open = (F.col("runs") > 1) | F.col("tie")
+    is_open = F.col("several") | F.col("tie")
     classes = classes.where((F.col("n") > 1) | is_open).select("gram", "content", "n", "first", F.when(is_open, F.col("runs")).alias("runs"))
     placed = found.drop("tie").join(classes, ["gram", "content"])
     mine = own == F.col("first")
     sure = (F.col("n") > 1) & (F.lit(not keep_first) | ~mine)
     per_text = placed.groupBy("id", "th").agg(
-        F.collect_list(F.when(sure, F.col("place"))).alias("known"),
+        F.collect_set(F.when(sure, F.col("place"))).alias("known"),  # rows that repeat have equal places
         F.collect_set(F.when(mine & F.col("runs").isNotNull(), F.struct("gram", "place", "runs"))).alias("open"),
     )
     per_text = saved(per_text, "rep-per-text")
     dropped(found)
     with pruned_joins(docs.sparkSession):
-        texts = saved(rows.join(per_text.where("th IS NOT NULL"), ["id", "th"]).dropDuplicates(["id", "th"]), "rep-texts")
+        # rows that repeat id and text are collapsed before the lists come to them
+        texts = rows.join(per_text.where("th IS NOT NULL").select("id", "th"), ["id", "th"], "left_semi").dropDuplicates(["id", "th"])
+        texts = saved(texts.join(per_text, ["id", "th"]), "rep-texts")
     dropped(per_text)
 
     opened = texts.where(F.size("open") > 0).select("id", "th", "text", "open").mapInArrow(_run_bytes(span), "id long, th long, gram long, start long, runs long, bytes binary")
     opened = saved(opened, "rep-open")
     few = opened.where(F.col("runs") <= MANY)
-    buckets = scalar(few.agg(F.count("*"))) // BUCKET + 1
+    size = few.agg(F.count("*").alias("runs"), F.coalesce(F.sum(F.octet_length("bytes") - (span - 1)), F.lit(0)).alias("strings")).first()
+    buckets = max(size["runs"] // BUCKET, size["strings"] // STRINGS) + 1
     few = few.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets)))
     spans = few.groupBy("bucket").applyInArrow(_in_suffix_order(span, keep_first), "id long, th long, low long, high long")
     strings = opened.where(F.col("runs") > MANY).mapInArrow(_strings(span), "id long, th long, gram long, hash long, start long")

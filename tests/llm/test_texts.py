@@ -43,6 +43,33 @@ def test_repeats_match_all_strings(spark, monkeypatch, many):
         assert {i for i, w in want.items() if w[1]} == {x["id"] for x in got if x["n_removed"]}
 
 
+def test_longest_factors_match_plain_search():
+    r = random.Random(2)
+    for n, width, letters in ((1, 5, "ab"), (2, 3, "a"), (40, 6, "ab"), (200, 4, "ab"), (120, 30, "a\0"), (300, 8, "abc")):
+        text = "".join(r.choices(letters, k=n + width)).encode()
+        strings = np.lib.stride_tricks.sliding_window_view(np.frombuffer(text, np.uint8), width)[:n]
+        position = np.array(r.sample(range(10 * n), n))
+        other, previous = repeats.factors(strings, position)
+
+        def common(a, b, text=text, width=width):
+            return next((k for k in range(width) if text[a + k] != text[b + k]), width)
+
+        for i in range(n):
+            assert other[i] == max([common(i, j) for j in range(n) if j != i], default=0)
+            assert previous[i] == max([common(i, j) for j in range(n) if position[j] < position[i]], default=0)
+
+
+def test_rows_that_repeat_cost_no_more_than_their_number(spark):
+    """Many rows without an id and with one text: each of its strings stands elsewhere, in the others."""
+    long = "".join(random.Random(5).choices("abcdef ", k=700))
+    many = spark.range(50_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(long).alias("text"))
+    rows = many.unionByName(spark.createDataFrame([(1, "q" + long[:300]), (2, "other text")], many.schema))
+    got = repeats.cut_repeats(rows, keep_first=False).select("id", "n_bytes", "n_removed").collect()
+    assert {tuple(x) for x in got} == {(repeats.NO_ID, 700, 700), (1, 301, 300)} and len(got) == 2
+    first = repeats.cut_repeats(rows).where("n_removed > 0").select("id", "n_removed").collect()
+    assert [tuple(x) for x in first] == [(repeats.NO_ID, 300)]
+
+
 def test_repeats_query_on_the_table(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
     docs = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
