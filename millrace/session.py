@@ -18,8 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join even when that costs one more shuffle downstream
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # tables partitioned by document are joined by document and item without a shuffle
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # a join by more keys than its sides are partitioned by shuffles them by all; see share_partitioning
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
     "spark.sql.session.timeZone": "UTC",
     # texts go to Python workers in batches of bytes, not of rows
     "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
@@ -37,6 +37,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return ship(spark)
 
 
+def share_partitioning(spark: SparkSession) -> SparkSession:
+    """Let joins by several keys run inside a partitioning by some of them, until ``configure``.
+
+    For plans that see to hot values of those keys themselves.
+    """
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return spark
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Add this package to the files that Spark hands to its Python workers, once per application.
 
