@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from millrace.checks.file_queries import TYPED_VALUES, kind_of
+from millrace.checks.oracle import ORACLE
 from millrace.sources import schemas
 
 _STOP = """
@@ -69,6 +70,15 @@ FILE_ORACLE = {
                           date_trunc('month', l_shipdate)::TIMESTAMP AS stamp, l_linestatus FROM lineitem)
         SELECT file, file_size, stamp FROM f GROUP BY file, file_size, stamp
         HAVING bool_or(l_linestatus = 'O') AND NOT bool_or(l_linestatus = 'F' AND file_size <= 5)""",
+    "quoted_lines": """
+        SELECT date_trunc('second', ts) AS stamp,
+               CASE WHEN event_type = 'click' THEN 'N' || user_id
+                    ELSE 'N' || user_id || chr(10) || 'says "' || event_type || '", then' || chr(10) || chr(10) || 'ends' END AS code,
+               'line,' || event_type AS line, length(event_type)::DECIMAL(1,0) AS state, (props->>'$.k')::DECIMAL(3,0) AS factor
+        FROM events""",
+    "stream_redelivered": f"""
+        SELECT way, defect_name, order_text, count(*) AS n, sum(defect_value)::DECIMAL(38,0) AS total, min(defect_value_raw) AS least, max(stamp) AS stamp
+        FROM ({_WIDE}) CROSS JOIN (VALUES ('batch'), ('stream')) w(way) GROUP BY way, defect_name, order_text""",
     "wide_refresh": _WIDE,
     "stream_refresh": _WIDE,
     "odd_lines": """
@@ -95,6 +105,7 @@ FILE_ORACLE = {
                CASE WHEN line = 'L1' THEN 1::BIGINT END AS first_row
         FROM lineitem CROSS JOIN (VALUES ('batch'), ('stream')) w(way) CROSS JOIN (VALUES ('L1'), ('L2')) l(line) GROUP BY way, line""",
     "dataset_run": _RUN.format(statuses="('09:05', 'LOAD_FAILED'), ('09:05', 'VALIDATION_ERROR')"),
+    "recovery_queue_kept": ORACLE["recovery_queue"],
     "recovery_run": _RUN.format(
         statuses="('09:05', 'LOAD_FAILED'), ('09:05', 'VALIDATION_ERROR'), ('10:00', 'LOAD_FAILED')"
     ),

@@ -10,14 +10,15 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace import session
+from millrace.checks import shapes
 from millrace.checks.shapes import table
 from millrace.functions import qcol
-from millrace.operators import quality
+from millrace.operators import quality, runlog
 from millrace.plans import jobs
 from millrace.sources import csv_files, formats, schemas
 from millrace.sources.csv_files import Location
 from millrace.sources.store import TableStore
-from millrace.streaming.refresh import refresh_from_stream
+from millrace.streaming.refresh import refresh_from_listings, refresh_from_stream
 
 RUN_AT = datetime(2024, 2, 1, 9, 5, 0)
 STOP = schemas.columns("STOP_LOG")
@@ -129,7 +130,7 @@ def pending_files(spark, sf_dir):
     return found.select("file", "file_size", F.col("file_modified_at").cast("timestamp_ntz").alias("stamp"))
 
 
-def _wide_files(spark: SparkSession, sf_dir: str) -> str:
+def _as_wide(rows: DataFrame) -> DataFrame:
     """Line items as wide production records."""
     c, text = F.col, lambda x: F.col(x).cast("string")
     fields = [
@@ -145,11 +146,13 @@ def _wide_files(spark: SparkSession, sf_dir: str) -> str:
         c("l_returnflag"),
         F.concat(F.lit("-"), text("l_suppkey")),
     ] + [F.lit(None).cast("string")] * (schemas.DEFECT_COLUMNS - 4)
-    rows = table(spark, sf_dir, "lineitem").select(
-        *[v.alias(k) for k, v in zip(schemas.WIDE_KEYS, fields + defects)]
-    )
+    return rows.select(*[v.alias(k) for k, v in zip(schemas.WIDE_KEYS, fields + defects)], *[c for c in rows.columns if c == "_file"])
+
+
+def _wide_files(spark: SparkSession, sf_dir: str) -> str:
+    """Line items as files of wide production records."""
     folder = session.scratch_path(spark, "files")
-    _write(rows, f"{folder}/L1/Prod_log")
+    _write(_as_wide(table(spark, sf_dir, "lineitem")), f"{folder}/L1/Prod_log")
     return folder
 
 
@@ -221,6 +224,23 @@ def dataset_run(spark, sf_dir):
     return _run_totals(_run_all(spark, sf_dir))
 
 
+def recovery_queue_kept(spark, sf_dir):
+    """The recovery queue kept up from three batches of the run log, the newest first and one of them twice."""
+    store = TableStore(spark, session.scratch_path(spark, "tables"))
+    log = shapes.run_log(spark, sf_dir)
+    flag = runlog.outcome_flag(F.col("status"), F.col("errors_seen"))
+    none = F.lit(None).cast("string")
+    log = log.withColumns({"error_flag": flag, "target_table": none, "file_name": none, "first_error_message": F.col("first_error"), "raw": F.lit(None).cast("variant")})
+    kind = F.col("event_type")
+    folder = F.when(kind == "error", "recv/error/").when(kind == "signup", "elsewhere/").when(kind == "purchase", "/recv/purchase")
+    folders = table(spark, sf_dir, "events").select(F.lit("IOT").alias("system"), kind.alias("dataset"), folder.alias("subpath")).distinct()
+    store.replace(jobs.CONFIG, folders.withColumns({**{c: none for c in ("stage", "target_table", "file_format", "on_error")}, "is_active": F.lit(True)}))
+    for third in (2, 0, 1):
+        store.append(jobs.RUN_LOG, log.where(F.col("event_id") % 3 == third), f"day{third}")
+        jobs.update_recovery_queue(store, RUN_AT)
+    return store.read(jobs.QUEUE)
+
+
 def recovery_run(spark, sf_dir):
     """The same after the failed files were queued and loaded again, still bad."""
     store = _run_all(spark, sf_dir)
@@ -303,6 +323,80 @@ def odd_lines(spark, sf_dir):
     return history.join(found, "line", "left")
 
 
+def quoted_lines(spark, sf_dir):
+    """Quoted fields with line breaks, quotes and delimiters, in files cut into splits of 64 KB, loaded as stop records."""
+    events = table(spark, sf_dir, "events")
+    code = F.concat(F.lit("N"), F.col("user_id").cast("string"), F.lit('\nsays "'), F.col("event_type"), F.lit('", then\n\nends'))
+    values = [
+        F.date_format("ts", "yyyy/MM/dd HH:mm:ss"),
+        F.when(F.col("event_type") == "click", F.concat(F.lit("N"), F.col("user_id").cast("string"))).otherwise(code),
+        F.concat(F.lit("line,"), F.col("event_type")),
+        F.length("event_type").cast("string"),
+        F.regexp_extract("props", r"\d+", 0),
+    ]
+    folder = session.scratch_path(spark, "files")
+    rows = events.select(*[v.alias(n) for v, (n, _) in zip(values, STOP)])
+    with session.conf_set(spark, spark__sql__legacy__javaCharsets="true"):
+        rows.write.option("header", "true").option("encoding", "windows-31j").option("escape", '"').csv(folder)
+    store = _store(spark, folder)
+    with session.conf_set(spark, spark__sql__files__maxPartitionBytes="64k", spark__sql__files__openCostInBytes="0"):
+        jobs.load_table(store, "DB.RAW.STOP_LOG", "APPEND", "@FILES/", "FF_CSV_COMMON", r".*\.csv", "SKIP_FILE", run_at=RUN_AT)
+    return _plain_names(store.read("STOP_LOG"))
+
+
+WIDE_FILES = 4  # files of wide records under fixed names, at least
+
+
+def _deliver(spark: SparkSession, rows: DataFrame, late, folder: str, names: str) -> None:
+    """Write rows as files ``<names><k>.csv``, in place of files of these names; ``late`` rows follow the others."""
+    n = max(WIDE_FILES, rows.rdd.getNumPartitions())
+    place = F.pmod(F.xxhash64("l_orderkey"), F.lit(n))
+    dealt = rows.withColumns({"_late": late, "_file": place}).repartitionByRange(n, "_file")
+    dealt = dealt.sortWithinPartitions("_file", "_late", *rows.columns)
+    written = session.scratch_path(spark, "delivery")
+    _write(_as_wide(dealt), written, "_file")
+    fs, _ = session.file_system(spark, folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(path(folder))
+    for status in fs.listStatus(path(written)):
+        name = status.getPath().getName()
+        if name.startswith("_file="):
+            parts = [f.getPath() for f in fs.listStatus(status.getPath()) if f.getPath().getName().endswith(".csv")]
+            target = path(f"{folder}/{names}{name.split('=')[1]}.csv")
+            fs.delete(target, False)
+            fs.rename(parts[0], target)
+
+
+def stream_redelivered(spark, sf_dir):
+    """Wide files of which some grow under their names and some are new: what batch and stream hold in the end."""
+    lines = table(spark, sf_dir, "lineitem")
+    folder, found = session.scratch_path(spark, "files"), []
+    stores = {way: (_store(spark, folder), session.scratch_path(spark, "stream")) for way in ("batch", "stream")}
+    first = F.col("l_linenumber") <= 4
+    some = F.col("l_orderkey") % 3 > 0
+    deliveries = [
+        (lines.where(first & some), "a"),  # grow on the second day
+        (lines.where(~some), "b"),  # stay the same
+        (lines.where(some), "a"),
+        (lines.where("l_linenumber IS NULL"), "c"),
+    ]
+    for day, part in ((1, deliveries[:2]), (2, deliveries[2:])):
+        for rows, names in part:
+            _deliver(spark, rows, (~first).cast("int"), f"{folder}/L1/Prod_log", names)
+        run_at = datetime(2024, 2, day)
+        for way, (store, checkpoint) in stores.items():
+            if way == "batch":
+                jobs.refresh_events(store, run_at, location="@FILES/")
+            else:
+                refresh_from_listings(store, checkpoint, run_at, "@FILES/")
+    for way, (store, _) in stores.items():
+        found.append(_defects_with_fields(store).withColumn("way", F.lit(way)))
+    both = found[0].unionByName(found[1])
+    return both.groupBy("way", "defect_name", "order_text").agg(
+        F.count("*").alias("n"), F.sum("defect_value").cast("decimal(38,0)").alias("total"), F.min("defect_value_raw").alias("least"), F.max("stamp").alias("stamp")
+    )
+
+
 # what a field of a kind holds in the files, beside the SQL of the value it must have
 TYPED_VALUES = {
     "string": (lambda: F.concat(F.lit("v"), F.col("l_orderkey").cast("string")), "'v' || l_orderkey"),
@@ -376,8 +470,11 @@ FILE_QUERIES = {
         stream_refresh,
         dataset_run,
         recovery_run,
+        recovery_queue_kept,
         wide_spoilt,
         odd_lines,
+        quoted_lines,
+        stream_redelivered,
         *TYPED_LOGS,
         job_results,
     )

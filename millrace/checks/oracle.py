@@ -311,6 +311,7 @@ ORACLE = {
             WHERE h.objectclas = 'VERKBELEG' AND h.mandant = '900' AND p.tabname = 'VBEP' AND p.fname = 'EDATU'
               AND h.udate >= DATE '2001-07-02'""",
     ),
+    "change_report_kept_up": _with(_CHANGE_TABLES, _CHANGES),
     "delivery_change_report": _with(_CHANGE_TABLES, _CHANGES),
     "delivery_change_report_unique": _with(_CHANGE_TABLES, _CHANGES, {**_TABLES, **_UNIQUE}),
     "delivery_change_report_recent": _with(
@@ -463,3 +464,5 @@ ORACLE = {
     "headings": """
         SELECT p_partkey AS "CL", p_brand AS "CustomerPart#", p_type AS "進捗率[%]", p_name AS "ラインNo." FROM part""",
 }
+# the same rows, read from tables stored by month
+ORACLE["recent_changes_stored"] = ORACLE["recent_changes"]

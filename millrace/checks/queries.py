@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace import session
 from millrace.checks import shapes
 from millrace.checks.shapes import CLIENT, pad, table
 from millrace.functions import (
@@ -22,7 +23,8 @@ from millrace.functions import (
 from millrace.operators import lookup, merge, runlog, semistruct
 from millrace.operators.joins import lookup_left_join
 from millrace.plans import jobs, reports
-from millrace.sources import config
+from millrace.sources import config, sales
+from millrace.sources.store import TableStore
 
 KEYS = ["mandt", "vbeln", "posnr"]
 RUN_AT = datetime(2024, 2, 1, 9, 5, 0)
@@ -137,6 +139,41 @@ def delivery_change_report_recent(spark, sf_dir):
     return reports.delivery_change_report(tables, CLIENT, AS_OF, hot=shapes.hot_keys(spark, sf_dir), stage_changes=True)
 
 
+def _sales_in_loads(spark, sf_dir) -> sales.SalesTables:
+    """All sales tables in three loads: changes by day, and some documents' partners and lines late."""
+    tables, stored = shapes.erp_tables(spark, sf_dir), sales.SalesTables(spark, session.scratch_path(spark, "sales"), parts=16)
+    number = lambda c: F.substring(c, -1, 1)
+    late = {  # the load that brings a row, by table
+        "cdhdr": F.when(F.col("udate") >= AS_OF, 2).when(F.col("udate") >= F.date_add(F.lit(AS_OF), -10), 1).otherwise(0),
+        "vbpa": F.when((number("vbeln") == "7") & (F.col("posnr") != "000000"), 1).otherwise(0),
+        "vbep": F.when(number("vbeln") == "3", 2).otherwise(0),
+        "adrc": F.when(number("addrnumber") == "9", 1).otherwise(0),
+    }
+    dated = tables["cdhdr"].select("changenr", "objectid", late["cdhdr"].alias("load")).distinct()
+    for load in range(3):
+        rows = {n: t.where(late[n] == load) if n in late else t for n, t in tables.items() if n in late or load == 0}
+        # the items of the second day come a load before their headers
+        rows["cdpos"] = tables["cdpos"].join(dated.where((F.col("load") > 0) == (load == 1)), ["changenr", "objectid"]).drop("load")
+        stored.append(f"day{load}", rows if load < 2 else {n: t for n, t in rows.items() if n != "cdpos"})
+    return stored
+
+
+def recent_changes_stored(spark, sf_dir):
+    """Date changes of the rolling window, read from the months that hold it."""
+    stored = _sales_in_loads(spark, sf_dir)
+    since = AS_OF - timedelta(days=30)
+    return reports.date_changes({n: stored.read(n, since) for n in ("cdhdr", "cdpos")}, CLIENT, AS_OF)
+
+
+def change_report_kept_up(spark, sf_dir):
+    """The change report kept up over three loads of the sales tables; only documents they touch are computed again."""
+    stored = _sales_in_loads(spark, sf_dir)
+    store = TableStore(spark, session.scratch_path(spark, "tables"))
+    for load in range(3):
+        reports.refresh_change_report(store, stored, CLIENT, AS_OF, [f"day{load}"], WHOLE_HISTORY_DAYS)
+    return reports.read_change_report(store, AS_OF, WHOLE_HISTORY_DAYS)
+
+
 def so_po_combination_unique(spark, sf_dir):
     """The combination list over tables with unique keys."""
     out = reports.so_po_combination(shapes.unique_tables(spark, sf_dir), CLIENT, shapes.hot_keys(spark, sf_dir))
@@ -451,6 +488,8 @@ QUERIES = {
         so_po_combination,
         delivery_change_report_unique,
         delivery_change_report_recent,
+        recent_changes_stored,
+        change_report_kept_up,
         so_po_combination_unique,
         latest_per_key,
         outcome_flags,

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace import session
 from millrace.operators import hotkeys
-from millrace.plans import reports
+from millrace.sources import sales
 
 CLIENT = "900"
 
@@ -191,7 +191,7 @@ def erp_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def hot_keys(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
     """Documents and purchase orders of very many rows, from sketches made as a load of the tables makes them."""
     path = session.scratch_path(spark, "sketches")
-    hotkeys.save_sketches(erp_tables(spark, sf_dir), reports.SKETCHED, path)
+    hotkeys.save_sketches(erp_tables(spark, sf_dir), sales.SKETCHED, path)
     return hotkeys.read_hot_keys(spark, path)
 
 

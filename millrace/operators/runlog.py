@@ -76,11 +76,16 @@ def recovery_queue(
             .where(F.col("_done_at").isNull() | (F.col("_done_at") <= F.col("run_at")))
             .drop("_done_at")
         )
+    return _pending_items(latest, config, run_at)
+
+
+def _pending_items(files: DataFrame, config: DataFrame, run_at: datetime) -> DataFrame:
+    """Pending queue items of failed files, one row each."""
     paths = config.groupBy("system", "dataset").agg(F.min("subpath").alias("_subpath"))
     now = F.lit(run_at).cast("timestamp_ntz")
     pattern = recovery_pattern(F.col("file_path"), F.col("_subpath"))
     return (
-        latest.join(paths, ["system", "dataset"], "left")
+        files.join(paths, ["system", "dataset"], "left")
         .withColumn("pattern", pattern)
         .select(
             F.sha2(F.concat_ws("|", "system", "dataset", "pattern"), 256).alias("queue_id"),
@@ -96,6 +101,34 @@ def recovery_queue(
     )
 
 
+FILE_KEY = ["system", "dataset", "file_path"]
+
+
+def recovery_state(run_log: DataFrame) -> DataFrame:
+    """Per file, when it failed last and when it was loaded last, from any part of a run log.
+
+    Both are maxima, so parts of a log can be taken in any order, and twice; partial
+    aggregation leaves one row per file and task before anything is shuffled.
+    """
+    done = (F.col("status") == LOADED) & ~F.col("error_flag")
+    return run_log.where(F.col("file_path").isNotNull()).groupBy(*FILE_KEY).agg(
+        F.max(F.when(F.col("error_flag"), F.col("run_at"))).alias("failed_at"), F.max(F.when(done, F.col("run_at"))).alias("loaded_at")
+    )
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """One row per file from states of several parts of a log."""
+    return states.groupBy(*FILE_KEY).agg(F.max("failed_at").alias("failed_at"), F.max("loaded_at").alias("loaded_at"))
+
+
+def queue_of_state(state: DataFrame, config: DataFrame, run_at: datetime, exclude_recovered: bool = False) -> DataFrame:
+    """``recovery_queue`` from the state of the whole log."""
+    failed = state.where(F.col("failed_at").isNotNull())
+    if exclude_recovered:
+        failed = failed.where(F.col("loaded_at").isNull() | (F.col("loaded_at") <= F.col("failed_at")))
+    return _pending_items(failed.select(*FILE_KEY), config, run_at)
+
+
 def queue_outcomes(results: DataFrame, key: str = "queue_id", seq: str = "seq") -> DataFrame:
     """Final status and note per queue item from its per-file load results.
 

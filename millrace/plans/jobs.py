@@ -6,7 +6,7 @@ import hashlib
 import re
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -95,7 +95,7 @@ def _bad_rows(outcomes: DataFrame) -> LoadError:
     )
 
 
-def _history(store: TableStore, table: str, batch: str) -> DataFrame:
+def history_without(store: TableStore, batch: str) -> DataFrame:
     """Load history without this batch's own rows, so a repeated batch sees the same files."""
     past = store.read("LOAD_HISTORY", with_batch=True)
     return past.where(F.col(BATCH) != batch).drop(BATCH)
@@ -171,7 +171,7 @@ def load_table(
     batch = _batch(run_at, table, label, target, place.path, pattern, file_format)
     files = csv_files.list_files(store.spark, place, pattern)
     if not force:
-        files = quality.pending_files(files, _history(store, table, batch), table)
+        files = quality.pending_files(files, history_without(store, batch), table)
     paths = csv_files.file_paths(files)
     if not paths:
         return LoadResult("OK", store.read("LOAD_HISTORY", []))
@@ -228,7 +228,7 @@ def ingest_raw_objects(
     batch = _batch(run_at, RAW, place.path, pattern, file_format)
     files = csv_files.list_files(store.spark, place, pattern)
     paths = csv_files.file_paths(
-        quality.pending_files(files, _history(store, RAW, batch), RAW)
+        quality.pending_files(files, history_without(store, batch), RAW)
     )
     if not paths:
         return None
@@ -391,18 +391,21 @@ def _below(base_path: str, folder: str) -> "F.Column":
     return F.concat(F.lit(base_path.rstrip("/") + "/"), F.substr(F.col("file"), F.lit(skip)))
 
 
-def run_datasets(store: TableStore, system: str, run_at: datetime) -> str:
-    """Check, load and log every active dataset of a system.
+STATE, SEEN = "OPS_RECOVERY_STATE", "OPS_RECOVERY_SEEN"
+AT_ONCE = 4  # datasets loaded side by side
+
+
+def run_datasets(store: TableStore, system: str, run_at: datetime, at_once: int = AT_ONCE) -> str:
+    """Check, load and log every active dataset of a system, ``at_once`` at a time.
 
     Each dataset's files are parsed once; bad lines and file outcomes both come from that
     pass and go to the run log in one write. One failing dataset does not stop the others.
+    Datasets write batches of their own, so the tables do not depend on who ends first.
     """
-    processed = 0
     # one row per configured dataset, a hand-kept list
-    for row in config.active_datasets(store.read(CONFIG), system).orderBy("dataset").collect():
-        _run_dataset(store, row, run_at)
-        processed += 1
-    return f"DONE: {processed} dataset(s)"
+    rows = config.active_datasets(store.read(CONFIG), system).orderBy("dataset").collect()
+    session.side_by_side(store.spark, [partial(_run_dataset, store, row, run_at) for row in rows], at_once)
+    return f"DONE: {len(rows)} dataset(s)"
 
 
 def _run_dataset(store: TableStore, row, run_at: datetime) -> None:
@@ -479,8 +482,26 @@ def rebuild_recovery_queue(
     )
 
 
-def run_recovery(store: TableStore, system: str, run_at: datetime) -> str:
-    """Load the queued files again and settle their queue items.
+def update_recovery_queue(store: TableStore, run_at: datetime, exclude_recovered: bool = False) -> int:
+    """The queue of ``rebuild_recovery_queue``, kept up from the log batches not seen before; returns their number.
+
+    Only new batches of the run log are read. They are merged into a state of one row per
+    file, in whatever order they come; a run that stops half-way takes its batches again,
+    which changes nothing. As a rebuild does, this loses the states of settled items.
+    """
+    seen = store.read(SEEN)
+    new = store.spark.createDataFrame([(b,) for b in store.batches(RUN_LOG)], "batch string").join(seen, "batch", "left_anti")
+    new = sorted(r.batch for r in new.toLocalIterator())
+    if new:
+        fresh = runlog.recovery_state(store.read(RUN_LOG, new))
+        store.replace(STATE, runlog.merged_states(store.read(STATE).unionByName(fresh)))
+        store.replace(SEEN, seen.unionByName(store.spark.createDataFrame([(b,) for b in new], "batch string")))
+    store.replace(QUEUE, runlog.queue_of_state(store.read(STATE), store.read(CONFIG), run_at, exclude_recovered))
+    return len(new)
+
+
+def run_recovery(store: TableStore, system: str, run_at: datetime, at_once: int = AT_ONCE) -> str:
+    """Load the queued files again and settle their queue items, ``at_once`` datasets at a time.
 
     All pending files of a dataset are loaded together. An item is done, or in error with
     the message of its bad file; both count. An item whose dataset is not configured, or
@@ -495,9 +516,12 @@ def run_recovery(store: TableStore, system: str, run_at: datetime) -> str:
         F.lit(False).alias("counted"),
     )
     settled.append(unknown)
-    for row in active.orderBy("dataset").collect():
+    def recover(row) -> DataFrame:
         items = pending.where(F.col("dataset") == row.dataset).select("queue_id", "pattern", "force")
-        settled.append(_recover_dataset(store, row, items, run_at))
+        return _recover_dataset(store, row, items, run_at)
+
+    rows = active.orderBy("dataset").collect()
+    settled += session.side_by_side(store.spark, [partial(recover, row) for row in rows], at_once)
     changes = reduce(DataFrame.unionByName, settled)
     # the outcome is read twice and comes from tables this job goes on to replace
     folder = f"{store.root}/_recovery/{_batch(run_at, system, system)}"
@@ -537,7 +561,7 @@ def _recover_dataset(store: TableStore, row, items: DataFrame, run_at: datetime)
             "full", _below(row.base_path, place.folder)
         )
         wanted = items.withColumn("full", full).join(listed, "full", "left")
-        history = _history(store, table, batch)
+        history = history_without(store, batch)
         fresh = quality.pending_files(wanted.where("not force and file is not null"), history, table)
         chosen = wanted.where("force and file is not null").unionByName(fresh, True)
         paths = csv_files.file_paths(chosen.select("path").distinct())

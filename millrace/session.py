@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 import os
+import queue
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor, wait
 from contextlib import contextmanager
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Runtime settings the operators rely on. Only joins whose skewed side Spark can split
 # are left to AQE; the others salt explicitly (operators/joins.py).
 RUNTIME_CONF = {
@@ -27,7 +35,8 @@ RUNTIME_CONF = {
 
 # Plans of wide tables have many columns, and noting the Python call site of each costs more
 # than building them. Read once per process, so it is set with the session.
-BUILD_CONF = {**RUNTIME_CONF, "spark.python.sql.dataFrameDebugging.enabled": "false"}
+# Loads that run side by side share the cores fairly.
+BUILD_CONF = {**RUNTIME_CONF, "spark.python.sql.dataFrameDebugging.enabled": "false", "spark.scheduler.mode": "FAIR"}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -76,21 +85,83 @@ def build(app: str = "millrace", master: str | None = None, **conf) -> SparkSess
     return ship(builder.getOrCreate())
 
 
+# options set by running blocks: key -> [value, blocks that hold it, value before]
+_held: dict[str, list] = {}
+_held_change = threading.Condition()
+_mine = threading.local()
+
+
 @contextmanager
 def conf_set(spark: SparkSession, **values):
-    """Set session options (dots written as ``__``) and restore them on exit."""
+    """Set session options (dots written as ``__``) and restore them on exit.
+
+    Threads share a session: a block that wants a value which others hold shares it, and the
+    last one restores; one that wants another value waits for them.
+    """
     keys = {k.replace("__", "."): v for k, v in values.items()}
-    old = {k: spark.conf.get(k, None) for k in keys}
-    for key, value in keys.items():
-        spark.conf.set(key, value)
+    own = _mine.__dict__.setdefault("keys", {})
+
+    def restore(key: str, value: str | None) -> None:
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+    nested: dict[str, str | None] = {}
+    taken = []
+    with _held_change:
+        for key in sorted(keys):
+            value = keys[key]
+            if own.get(key):  # a block inside a block of the same thread
+                nested[key] = spark.conf.get(key, None)
+                spark.conf.set(key, value)
+                continue
+            _held_change.wait_for(lambda key=key, value=value: key not in _held or _held[key][0] == value)
+            if key not in _held:
+                _held[key] = [value, 0, spark.conf.get(key, None)]
+                spark.conf.set(key, value)
+            _held[key][1] += 1
+            own[key] = True
+            taken.append(key)
     try:
         yield
     finally:
-        for key, value in old.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+        with _held_change:
+            for key, value in nested.items():
+                restore(key, value)
+            for key in taken:
+                own[key] = False
+                _held[key][1] -= 1
+                if not _held[key][1]:
+                    restore(key, _held.pop(key)[2])
+            _held_change.notify_all()
+
+
+def side_by_side(spark: SparkSession, work: Sequence[Callable[[], T]], at_once: int) -> list[T]:
+    """Run independent pieces of work that start Spark jobs, ``at_once`` at a time; their results in order.
+
+    Each piece's jobs go to a pool of their own, which share the cores when the application
+    runs under the FAIR scheduler, and else fill cores that the others leave idle. Local
+    properties are those of the calling thread. The first exception, in order, is raised once
+    all pieces have ended.
+    """
+    pools = queue.SimpleQueue()
+    for k in range(at_once):
+        pools.put(f"side-{k}")
+
+    def run(piece: Callable[[], T]) -> T:
+        pool = pools.get()
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+        try:
+            return piece()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+            pools.put(pool)
+
+    if at_once < 2 or len(work) < 2:
+        return [piece() for piece in work]
+    with ThreadPoolExecutor(at_once) as pool:
+        # wrapped here, in the calling thread: that is where the properties are copied from
+        waiting = [pool.submit(inheritable_thread_target(spark)(run), piece) for piece in work]
+        wait(waiting)
+        return [done.result() for done in waiting]
 
 
 def shared_dir(spark: SparkSession) -> str:

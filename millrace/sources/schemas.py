@@ -216,6 +216,17 @@ _COLUMNS = {
         ("created_at", STAMP),
         ("enq_at", STAMP),
     ],
+    # per file, its newest failure and its newest load; and the run-log batches it was made of
+    "OPS_RECOVERY_STATE": [("system", TEXT), ("dataset", TEXT), ("file_path", TEXT), ("failed_at", STAMP), ("loaded_at", STAMP)],
+    "OPS_RECOVERY_SEEN": [("batch", TEXT)],
+    # the change report as it is kept up, under the names its plan uses
+    "DELIVERY_CHANGE_REPORT": [
+        (name, DAY if name in ("udate", "req_dlvdate", "edatu") else TEXT)
+        for name in (
+            "vbeln", "posnr", "sold_to_bp", "sold_to_name", "bstkd_ana", "pic2_name", "pic2_country", "matnr", "berid",
+            "arktx", "kdmat", "udate", "req_dlvdate", "edatu", "current_mad", "previous_mad", "po_vbeln", "po_posnv",
+        )
+    ],
     # what was read from each file, once per load; also the record of files already loaded
     "LOAD_HISTORY": [
         ("target_table", TEXT),
