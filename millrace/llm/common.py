@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from contextlib import contextmanager
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +72,37 @@ def pruned_joins(spark: SparkSession):
     return session.conf_set(spark, **{f"{prefix}applicationSideScanSizeThreshold": "0", f"{prefix}creationSideThreshold": "1g"})
 
 
+def release() -> None:
+    """Give memory that a Python worker no longer uses back to the system: idle workers stay for other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def trimmed(function):
+    """A function of batches that releases memory when its task is done."""
+
+    @wraps(function)
+    def run(batches):
+        yield from function(batches)
+        release()
+
+    return run
+
+
+def trimmed_group(function):
+    """A function of one group's table that releases memory when it is done."""
+
+    def run(table):
+        out = function(table)
+        release()
+        return out
+
+    return run
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import fm_index
-from millrace.llm.common import saved, scalar
+from millrace.llm.common import saved, scalar, trimmed
 from millrace.llm.repeats import merged
 from millrace.llm.words import PUNCTUATION, mix, word_blocks
 
@@ -82,7 +82,7 @@ def build_index(docs: DataFrame, window: int = WINDOW, shard: int = SHARD, id_co
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = f"ids array<{kind}>, docs array<long>, base array<long>, fresh array<long>, n long, " + ", ".join(f"{name} binary" for name in _PARTS)
-    return saved(rows.mapInArrow(_shards(window, shard), schema), "contamination-index")
+    return saved(rows.mapInArrow(trimmed(_shards(window, shard)), schema), "contamination-index")
 
 
 def _windows(window: int):
@@ -202,7 +202,7 @@ def _search_block(index: DataFrame, block: list) -> DataFrame:
     words, place = np.unique(every.view(np.uint64), return_inverse=True)
     names = np.array([r["phrase"] for r in block], np.int64)
     run = _search(words, place.reshape(every.shape).astype(np.int32), lengths, names)
-    return index.drop("ids", "fresh").mapInArrow(run, _HITS)
+    return index.drop("ids", "fresh").mapInArrow(trimmed(run), _HITS)
 
 
 def find_contamination(

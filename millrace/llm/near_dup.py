@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import dropped, partitions, pruned_joins, saved, scalar
+from millrace.llm.common import dropped, partitions, pruned_joins, saved, scalar, trimmed, trimmed_group
 from millrace.llm.components import components
 from millrace.llm.words import mix, shingle_sets
 
@@ -236,7 +236,7 @@ def _in_buckets(work: DataFrame, keys: list[str], function, percent: int, rows:
     spark = work.sparkSession
     buckets = rows // BUCKET + 1
     work = work.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets))).repartition(min(buckets, 4 * partitions(spark)), "bucket")
-    return work.groupBy("bucket").applyInArrow(function(percent), EDGE)
+    return work.groupBy("bucket").applyInArrow(trimmed_group(function(percent)), EDGE)
 
 
 def _star_links(percent: int):
@@ -277,7 +277,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).cast("string").alias("text"))
-    signed = rows.mapInArrow(_describe(shingle), "id long, th long, n long, print binary, keys array<long>")
+    signed = rows.mapInArrow(trimmed(_describe(shingle)), "id long, th long, n long, print binary, keys array<long>")
     signed = saved(signed, "near-signed")
     # equal sets are one class, and one of its texts stands for it. Its number orders classes by
     # their copies, then by id: the texts copied most are the likeliest centres of a group. Two
@@ -303,8 +303,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
 
     def sets_of(some: DataFrame) -> DataFrame:
         texts = rows.select(F.coalesce("id", F.lit(NO_ID)).alias("id"), "th", "text")
-        texts = texts.join(some.select("print", "grp", "text.id", "text.th"), ["id", "th"])
-        return texts.select("text", "print", "grp").mapInArrow(_sets(shingle), "print binary, grp long, set binary")
+        # rows that repeat id and text are one text
+        texts = texts.join(some.select("print", "grp", "text.id", "text.th"), ["id", "th"]).dropDuplicates(["id", "th"])
+        return texts.select("text", "print", "grp").mapInArrow(trimmed(_sets(shingle)), "print binary, grp long, set binary")
 
     with pruned_joins(spark):
         small = sets_of(members.where(F.col("size") <= SMALL_GROUP))

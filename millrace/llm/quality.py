@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import saved
+from millrace.llm.common import saved, trimmed
 from millrace.llm.words import BLOCK, texts_of, word_hashes
 
 SAMPLE = 3000  # distinct texts the scorer is fitted on, at most; all others only enter the vote counts
@@ -189,7 +189,7 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     carry = [id_col] if carry is None else carry
     rows = docs.select(F.xxhash64(F.lit(5), F.col(text_col)).alias("rank"), F.col(text_col).cast("string").alias("text"))
-    voted = saved(rows.mapInArrow(_vote_rows, "rank long, votes long"), "quality-votes")
+    voted = saved(rows.mapInArrow(trimmed(_vote_rows), "rank long, votes long"), "quality-votes")
     found = voted.groupBy("votes").agg(F.count("*").alias("n")).orderBy("votes").collect()  # at most 3 ** labellers
     codes = np.array([r["votes"] for r in found], np.int64)
     patterns = np.stack([codes // 3 ** (len(LABELLERS) - 1 - k) % 3 for k in range(len(LABELLERS))], axis=1).astype(np.int64)
@@ -197,7 +197,7 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     cut = voted.select("rank").distinct().orderBy("rank").limit(sample).agg(F.max("rank")).first()[0]
     weights, bias = np.zeros(FEATURES), 10.0
     if cut is not None:
-        fitted = rows.where(F.col("rank") <= cut).mapInArrow(_feature_rows, "rank long, votes long, features binary")
+        fitted = rows.where(F.col("rank") <= cut).mapInArrow(trimmed(_feature_rows), "rank long, votes long, features binary")
         # one row for each rank, in order; sums must not depend on the order of arrival
         fitted = saved(fitted.groupBy("rank").agg(F.min(F.struct("votes", "features")).alias("x")).select("rank", "x.*"), "quality-sample")
         x, target = np.zeros((sample, FEATURES), np.float32), []
@@ -210,5 +210,5 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     out = docs.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)], *([F.col(text_col).alias(f"_c{at}")] if at == len(carry) else []))
     names = [f"_c{i}" for i in range(len(carry))]
     schema = ", ".join(f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(names, carry, strict=True))
-    scored = out.mapInArrow(_scorer(weights, bias, names, f"_c{at}"), f"{schema}, _quality double")
+    scored = out.mapInArrow(trimmed(_scorer(weights, bias, names, f"_c{at}")), f"{schema}, _quality double")
     return scored.select(*[F.col(n).alias(c) for n, c in zip(names, carry, strict=True)], "_quality")

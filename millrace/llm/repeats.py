@@ -27,7 +27,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import dropped, pruned_joins, saved
+from millrace.llm.common import dropped, pruned_joins, saved, trimmed, trimmed_group
 from millrace.llm.words import mix, powers, texts_of
 
 SPAN = 200
@@ -305,7 +305,7 @@ def cut_repeats(docs: DataFrame, span: int = SPAN, keep_first: bool = True, char
     first is kept, and copies when all are removed. No rows: no rows.
     """
     rows = docs.select(*text_key(id_col, text_col), F.col(text_col).cast("string").alias("text"))
-    found = saved(rows.mapInArrow(_find_runs(span, GRAM), "id long, th long, gram long, content long, place long, again boolean"), "rep-runs")
+    found = saved(rows.mapInArrow(trimmed(_find_runs(span, GRAM)), "id long, th long, gram long, content long, place long, again boolean"), "rep-runs")
     again = found.groupBy("gram").agg(F.sum(F.when(F.col("again"), 2).otherwise(1)).alias("n"), F.max("again").alias("tie")).where("n > 1")
     again = saved(again.select("gram", "tie"), "rep-grams")
     all_runs = found
@@ -337,13 +337,13 @@ def cut_repeats(docs: DataFrame, span: int = SPAN, keep_first: bool = True, char
         texts = saved(texts.join(per_text, ["id", "th"]), "rep-texts")
     dropped(per_text)
 
-    opened = texts.where(F.size("open") > 0).select("id", "th", "text", "open").mapInArrow(_run_bytes(span), "id long, th long, gram long, start long, runs long, bytes binary")
+    opened = texts.where(F.size("open") > 0).select("id", "th", "text", "open").mapInArrow(trimmed(_run_bytes(span)), "id long, th long, gram long, start long, runs long, bytes binary")
     opened = saved(opened, "rep-open")
     few = opened.where(F.col("runs") <= MANY)
     size = few.agg(F.count("*").alias("runs"), F.coalesce(F.sum(F.octet_length("bytes") - (span - 1)), F.lit(0)).alias("strings")).first()
     buckets = max(size["runs"] // BUCKET, size["strings"] // STRINGS) + 1
     few = few.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets)))
-    spans = few.groupBy("bucket").applyInArrow(_in_suffix_order(span, keep_first), "id long, th long, low long, high long")
+    spans = few.groupBy("bucket").applyInArrow(trimmed_group(_in_suffix_order(span, keep_first)), "id long, th long, low long, high long")
     strings = opened.where(F.col("runs") > MANY).mapInArrow(_strings(span), "id long, th long, gram long, hash long, start long")
     place = F.struct("id", "th", "start")
     same_string = strings.groupBy("gram", "hash").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
@@ -354,4 +354,4 @@ def cut_repeats(docs: DataFrame, span: int = SPAN, keep_first: bool = True, char
     more = spans.groupBy("id", "th").agg(F.collect_list(F.struct("low", "high")).alias("more"))
     whole = texts.drop("open").join(more, ["id", "th"], "left")
     whole = whole.where((F.size("known") > 0) | F.col("more").isNotNull())
-    return whole.select("id", "th", "text", "known", "more").mapInArrow(_cut(span, characters), "id long, th long, n_bytes long, n_removed long, spans array<struct<low: long, high: long>>, kept binary")
+    return whole.select("id", "th", "text", "known", "more").mapInArrow(trimmed(_cut(span, characters)), "id long, th long, n_bytes long, n_removed long, spans array<struct<low: long, high: long>>, kept binary")

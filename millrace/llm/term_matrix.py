@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace import session
-from millrace.llm.common import saved, scalar
+from millrace.llm.common import saved, scalar, trimmed
 from millrace.llm.words import _BLANK, mix, powers, texts_of
 
 _SPLIT = r"[\x20\x09-\x0D]+"
@@ -204,11 +204,11 @@ def term_matrix(
     lists = ", ".join(f"`{name}` array<{kind}>" for name, kind in kinds.items())
     schema = f"shard long, {lists}, ends binary, columns binary, counts binary"
     with session.conf_set(spark, spark__sql__execution__arrow__maxBytesPerBatch=str(SHARD)):
-        shards = saved(rows.mapInArrow(_shards(len(carry), measure), schema + ", n_words long, words array<string>"), "terms-shards")
+        shards = saved(rows.mapInArrow(trimmed(_shards(len(carry), measure)), schema + ", n_words long, words array<string>"), "terms-shards")
     ranges = int(scalar(shards.agg(F.sum("n_words"))) or 0) // RANGE + 1
-    blocks = shards.select("shard", "words").mapInArrow(_by_range(ranges), "range long, shard long, words array<string>")
+    blocks = shards.select("shard", "words").mapInArrow(trimmed(_by_range(ranges)), "range long, shard long, words array<string>")
     blocks = blocks.repartition(ranges, "range").sortWithinPartitions("range")
-    found = saved(blocks.mapInArrow(_numbered, "range long, shard long, ids binary, words array<string>"), "terms-ids")
+    found = saved(blocks.mapInArrow(trimmed(_numbered), "range long, shard long, ids binary, words array<string>"), "terms-ids")
     words = found.where("shard IS NULL").select("range", F.posexplode("words").alias("place", "word"))
     dictionary = words.select("word", F.shiftleft("range", 32).bitwiseOR(F.col("place").cast("long")).alias("term"))
     # a name of its own: both sides come from the same table
