@@ -63,10 +63,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     other = ~F.col("doc_id").eqNullSafe(F.col("_component"))
     kept = found.where("_n > 0 AND _component IS NOT NULL").groupBy("_component").agg(F.min_by("_th", F.struct(other, "_th")).alias("_kept_th"))
     # nameless components hold only rows without an id: one row for each text
-    worded = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]")) > 0
+    worded = F.col("text").rlike(r"[^\x20\x09-\x0D]")
     docs = docs.select(*COLUMNS, F.xxhash64("text").alias("_th"), F.coalesce(worded, F.lit(False)).alias("_worded"))
     plain = docs.where("NOT _worded").select(*COLUMNS)
-    stay = docs.where("_worded").join(kept, (docs["doc_id"] == kept["_component"]) & (docs["_th"] == kept["_kept_th"])).dropDuplicates(["_component"])
+    stay = docs.where("_worded").join(kept, (docs["doc_id"] == kept["_component"]) & (docs["_th"] == kept["_kept_th"]))
+    stay = stay.dropDuplicates(["doc_id", "_th"])  # of rows that repeat; the join has brought them together
     nameless = docs.where("_worded AND doc_id IS NULL")
     named = found.where("doc_id IS NULL AND _component IS NOT NULL").select(F.col("_th").alias("_named")).distinct()
     nameless = nameless.join(named, nameless["_th"] == named["_named"], "left_anti").dropDuplicates(["_th"])
