@@ -34,7 +34,7 @@ KNOWN = 700_000  # chunks of text whose ids a worker remembers; then it starts a
 TOGETHER = 256  # words encoded at once
 KNOWN_CHARACTERS = 32 << 20
 RANKS = 64  # ranks to a cell of the join between pieces and placements
-DEALT = 64  # hash cells in which the pieces of one length are ranked
+CELL = 50_000  # different pieces of one length that are ranked in one task, about
 
 
 def place(counts: dict[int, int], capacity: int) -> Iterable[tuple[int, int, int, int, int]]:
@@ -226,21 +226,28 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     pieces = rows.mapInArrow(_pieces(tokenizer, capacity), "id long, piece int, start long, length long, ids_crc32 long")
-    pieces = saved(pieces.withColumn("cell", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(DEALT)).cast("int")), "pack-pieces")
-    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
-    plan = list(place(counts, capacity))
+    # pieces that repeat, such as those of all empty texts without an id, are one run of ranks
+    pieces = pieces.groupBy("id", "piece", "start", "length", "ids_crc32").agg(F.count("*").alias("n"))
+    pieces = saved(pieces, "pack-pieces")
+    by_length = pieces.groupBy("length").agg(F.sum("n").alias("n"), F.ceil(F.count("*") / CELL).alias("cells")).collect()  # at most `capacity` rows
+    plan = list(place({r["length"]: r["n"] for r in by_length}, capacity))
     columns = zip(*plan, strict=True) if plan else [[]] * 5
     table = pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("length", "low", "high", "sequence", "offset"), columns, strict=True)})
     plan = spark.createDataFrame(table)
     plan = plan.withColumn("block", F.explode(F.expr(f"sequence(low div {RANKS}, (high - 1) div {RANKS})")))
 
     # rank among the pieces of a length: those in earlier cells, then the place in the own cell
-    cells = pieces.groupBy("length", "cell").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("cell")) - F.col("n")
-    own = F.row_number().over(Window.partitionBy("length", "cell").orderBy("id", "piece", "ids_crc32")) - 1
-    ranked = pieces.withColumn("own", own).join(cells.select("length", "cell", before.alias("before")), ["length", "cell"])
-    ranked = ranked.withColumn("rank", F.col("before") + F.col("own")).withColumn("block", F.expr(f"rank div {RANKS}"))
-    out = ranked.join(plan, ["length", "block"]).where("rank >= low AND rank < high")
+    lengths = spark.createDataFrame([(r["length"], r["cells"]) for r in by_length], "length long, cells long")
+    celled = pieces.join(lengths, "length").withColumn("cell", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.col("cells"))).drop("cells")
+    cells = celled.groupBy("length", "cell").agg(F.sum("n").alias("held"))
+    before = F.sum("held").over(Window.partitionBy("length").orderBy("cell")) - F.col("held")
+    own = F.sum("n").over(Window.partitionBy("length", "cell").orderBy("id", "piece", "ids_crc32", "start").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = celled.withColumn("own", own - F.col("n")).join(cells.select("length", "cell", before.alias("before")), ["length", "cell"])
+    ranked = ranked.withColumn("first", F.col("before") + F.col("own")).withColumn("last", F.col("first") + F.col("n"))
+    ranked = ranked.withColumn("block", F.explode(F.expr(f"sequence(first div {RANKS}, (last - 1) div {RANKS})")))
+    out = ranked.join(plan, ["length", "block"])
+    begin, end = F.greatest("first", "low", F.col("block") * RANKS), F.least("last", "high", (F.col("block") + 1) * RANKS)
+    out = out.where(begin < end).withColumn("rank", F.explode(F.sequence(begin, end - 1)))
     return out.select(
         F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", (F.col("sequence") + F.col("rank") - F.col("low")).alias("sequence_id"), "offset"
     )

@@ -59,6 +59,21 @@ def test_longest_factors_match_plain_search():
             assert previous[i] == max([common(i, j) for j in range(n) if position[j] < position[i]], default=0)
 
 
+def test_packing_of_very_many_equal_pieces(spark, monkeypatch):
+    """Empty texts without an id are one run of ranks, which is cut over many sequences and blocks."""
+    monkeypatch.setattr(packing, "CELL", 3)
+    many = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") % 2 == 0, "").alias("text"))
+    others = spark.createDataFrame([(i % 50, "some words " * (i * 7)) for i in range(120)], many.schema)
+    rows = packing.pack(many.unionByName(others), TOKENIZER)
+    packed = rows.groupBy("sequence_id").agg(F.sum("length").alias("held"), F.min("offset").alias("first"), F.max(F.col("offset") + F.col("length")).alias("end"),
+                                             F.count_distinct("offset").alias("places"), F.count("*").alias("n")).collect()
+    assert sum(r["n"] for r in packed) == rows.count() and sum(r["n"] for r in packed) >= 100_120
+    assert all(r["first"] == 0 and r["end"] == r["held"] <= 2048 and r["places"] == r["n"] for r in packed)
+    assert len(packed) == -(-sum(r["held"] for r in packed) // 2048)
+    empty = rows.where("doc_id IS NULL").agg(F.count("*").alias("n"), F.max("length").alias("most"), F.max("piece").alias("piece")).first()
+    assert tuple(empty) == (100_000, 1, 0)
+
+
 def test_rows_that_repeat_cost_no_more_than_their_number(spark):
     """Many rows without an id and with one text: each of its strings stands elsewhere, in the others."""
     long = "".join(random.Random(5).choices("abcdef ", k=700))
