@@ -116,3 +116,74 @@ def targets(sizes, share=1.5, weights=(3, 1, 2), most=2.0):
         if not over:
             return {s: most * sizes[s] if s in full else goal[s] for s in order}
         full |= over
+
+
+def weak_labels(rows, good=2, junk=0, rounds=500):
+    """rows: one vote per labeller. Posterior of good for each row, by the same model taken row by row."""
+    labellers = range(len(rows[0]))
+    accuracy, prior, post = [0.9] * len(rows[0]), 0.5, [0.0] * len(rows)
+    for _ in range(rounds):
+        new = []
+        for votes in rows:
+            yes, no = prior, 1 - prior
+            for k in labellers:
+                if votes[k] == good:
+                    yes, no = yes * accuracy[k], no * (1 - accuracy[k])
+                elif votes[k] == junk:
+                    yes, no = yes * (1 - accuracy[k]), no * accuracy[k]
+            new.append(yes / (yes + no))
+        done = max(abs(a - b) for a, b in zip(new, post, strict=True)) < 1e-9
+        post = new
+        for k in labellers:
+            right = sum(p if v[k] == good else 1 - p for v, p in zip(rows, post, strict=True) if v[k] in (good, junk))
+            accuracy[k] = (right + 9) / (sum(v[k] in (good, junk) for v in rows) + 10)
+        prior = (sum(post) + 1) / (len(rows) + 2)
+        if done:
+            break
+    return post
+
+
+def trigram_features(text, votes, size=4096, none=1):
+    """Roots of shares of hashed trigrams, and the votes, one by one."""
+    b, counts = (text or "").encode(), Counter()
+    bits = size.bit_length() - 1
+    cell = lambda code: (code * 2654435761 % 2**32) >> (32 - bits)
+    for i in range(len(b) - 2):
+        counts[cell(b[i] << 16 | b[i + 1] << 8 | b[i + 2])] += 1
+    total = sum(counts.values())
+    out = np.zeros(size)
+    for c, n in counts.items():
+        out[c] = np.sqrt(n / (total + 64))
+    for k, v in enumerate(votes):
+        if v != none:
+            out[cell(k * 3 + v + (1 << 24))] += 0.25
+    return out
+
+
+def logistic(x, target, keep=1e-5):
+    """The minimum of the scorer's loss, by Newton steps in the rows' space."""
+    n = len(x)
+    k, bias, alpha = x @ x.T, 0.0, np.zeros(n)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-(k @ alpha + bias)))
+        w = np.maximum(p * (1 - p), 1e-12)
+        # stationary: alpha = (target - p) / (n keep), and the errors sum to 0
+        system = np.zeros((n + 1, n + 1))
+        system[:n, :n], system[:n, n], system[n, :n] = k * w[:, None] + n * keep * np.eye(n), w, w @ k
+        system[n, n] = w.sum()
+        step = np.linalg.solve(system, np.r_[target - p - n * keep * alpha, (target - p).sum()])
+        alpha, bias = alpha + step[:n], bias + step[n]
+        if np.abs(step).max() < 1e-10:
+            break
+    return x.T @ alpha, bias
+
+
+def tilt(sizes, target, most=2.0):
+    """Multiplier of one source by bisection: words at rates most / (1 + exp(-t x)) reach the target."""
+    mean = sum(sizes) / len(sizes)
+    low, high = -1024.0, 1024.0
+    for _ in range(200):
+        t = (low + high) / 2
+        got = sum(most * s / (1 + np.exp(-t * s / mean)) for s in sizes)
+        low, high = (t, high) if got < target else (low, t)
+    return t

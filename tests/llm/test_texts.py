@@ -127,6 +127,53 @@ def test_quality_on_held_out_labels(spark):
     assert sum(not r["kept"] for r in junk) >= 0.97 * len(junk)
 
 
+def test_weak_labels_match_a_model_row_by_row():
+    r = random.Random(9)
+    rows = []
+    for _ in range(400):
+        truth = r.random() < 0.7
+        rows.append([quality.NONE if r.random() < 0.4 else quality.GOOD if (r.random() < right) == truth else quality.JUNK for right in (0.95, 0.8, 0.7, 0.9)])
+    patterns, index, counts = np.unique(np.array(rows), axis=0, return_inverse=True, return_counts=True)
+    assert np.allclose(quality.fit_votes(patterns, counts)[index.ravel()], plain.weak_labels(rows), atol=1e-7)
+
+
+def test_scores_of_the_table_match_a_plain_scorer(spark):
+    """Votes by combination against row by row, features one trigram at a time, the scorer against the exact minimum of its loss."""
+    df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = [(r["doc_id"], r["text"]) for r in df.collect()]
+    said = [quality.votes(np.frombuffer((t or "").encode(), np.uint8)) for _, t in docs]
+    post = plain.weak_labels(said)
+    x = np.stack([plain.trigram_features(t, v) for (_, t), v in zip(docs, said, strict=True)])
+    assert np.allclose(x, [quality.features(np.frombuffer((t or "").encode(), np.uint8), v) for (_, t), v in zip(docs, said, strict=True)])
+    first = {t: i for i, (_, t) in reversed(list(enumerate(docs)))}  # a text counts once
+    once = sorted(first.values())
+    weights, bias = plain.logistic(x[once], np.array(post)[once])
+    exact = 1 / (1 + np.exp(-(x @ weights + bias)))
+    got = {r["doc_id"]: r["_quality"] for r in quality.score_quality(df).collect()}
+    scores = np.array([got[i] for i, _ in docs])
+    long = np.array([len((t or "").encode()) >= 3 for _, t in docs])
+    assert (scores[~long] == 1).all()
+    # descent stops near the minimum: the same side of the cut, and scores close to it
+    clear = long & (np.abs(exact - quality.KEEP) > 0.1)
+    assert clear.sum() > 0.9 * len(docs) and ((scores >= quality.KEEP) == (exact >= quality.KEEP))[clear].all()
+    assert np.corrcoef(scores[long], exact[long])[0, 1] > 0.98
+
+
+def test_rates_match_a_plain_solver(spark):
+    r = random.Random(3)
+    docs = [(i, " ".join(["w"] * r.choice([0, 1, 5, 40, 300])), r.choice(["a", "b", "c", None])) for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    rows = df.select("source", mixing.word_count(F.col("text")).alias("size"))
+    sizes = rows.where("size > 0").groupBy("source", "size").agg(F.count("*").alias("n"))
+    sources = mixing.targets(rows.groupBy("source").agg(F.sum("size").alias("words")))
+    for x in mixing._balanced(sizes, sources, mixing.MOST).collect():
+        own = [len(t.split()) for _, t, s in docs if s == x["source"] and t]
+        if not x["full"]:
+            assert abs(x["tilt"] - plain.tilt(own, x["target"])) < 1e-5
+            got = sum(mixing.MOST * n / (1 + np.exp(-x["tilt"] * n / x["mean"])) for n in own)
+            assert abs(got - x["target"]) < 1e-6 * x["target"]
+
+
 def test_quality_edge_rows(spark):
     assert quality.score_quality(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     rows = [(1, None), (2, ""), (None, "ab"), (3, "### " * 100), (3, "### " * 100), (4, "x" * 5_000_000)]
