@@ -35,7 +35,7 @@ GRAM = 32
 BLOCK = 1 << 20  # strings of one text handled at once
 MANY = 4096  # runs of one gram that a bucket takes
 BUCKET = 4096  # runs that a bucket should hold
-STRINGS = 1 << 19  # strings of one gram that a bucket takes, and that a bucket should hold
+STRINGS = 1 << 20  # strings of one gram that a bucket takes, and that a bucket should hold
 SLICE = 100_000  # strings sorted at once
 _BASE = 0xC2B2AE3D27D4EB4F
 _INVERSE = pow(_BASE, -1, 1 << 64)
