@@ -189,9 +189,14 @@ def erp_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def hot_keys(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
-    """Documents and purchase orders of very many rows, from sketches made as a load of the tables makes them."""
+    """Documents and purchase orders of very many rows, from sketches made as a load of the tables makes them.
+
+    Items, flow, change items and purchase-order lines have one row per line item, as schedule
+    lines and confirmations do; one sketch stands for all of them.
+    """
     path = session.scratch_path(spark, "sketches")
-    hotkeys.save_sketches(erp_tables(spark, sf_dir), sales.SKETCHED, path)
+    tables = {make.__name__: make(spark, sf_dir) for make in (vbep, vbpa, ekes)}
+    hotkeys.save_sketches(tables, {name: sales.SKETCHED[name] for name in tables}, path)
     return hotkeys.read_hot_keys(spark, path)
 
 
