@@ -282,7 +282,7 @@ def scan_rows(
     columns: Sequence[tuple[str, object]],
 ) -> DataFrame:
     """Lazy typed rows of some files with lineage and errors, not yet numbered."""
-    if fmt.multi_line:
+    if fmt.multi_line and fmt.quote:
         return record_rows(spark, paths, root, fmt, columns, session.scratch_path(spark, "records"))
     return rows_of_lines(line_source(spark.read, list(paths), root, fmt), fmt, columns)
 
