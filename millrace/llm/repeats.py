@@ -14,7 +14,7 @@ equal ones, so texts are cut into runs of neighbouring strings with the same sma
    prefixes that neighbours share. Previous and next smaller positions in that order give
    each suffix its longest previous factor: one of ``span`` bytes or more marks a later copy.
    The longer prefix shared with a neighbour is the longest factor found anywhere else.
-3. Grams with very many distinct runs or strings would fill a bucket; their strings are
+3. Grams whose distinct runs hold very many bytes would fill a bucket; their strings are
    counted by hash instead, pre-aggregated, in any number of tasks.
 """
 
@@ -27,15 +27,14 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import dropped, pruned_joins, saved, trimmed, trimmed_group
+from millrace.llm.common import dropped, pruned_joins, saved, scalar, trimmed, trimmed_group
 from millrace.llm.words import mix, powers, texts_of
 
 SPAN = 200
 GRAM = 32
 BLOCK = 1 << 20  # strings of one text handled at once
-MANY = 4096  # runs of one gram that a bucket takes
-BUCKET = 4096  # runs that a bucket should hold
-STRINGS = 1 << 20  # strings of one gram that a bucket takes, and that a bucket should hold
+MANY = 1 << 22  # bytes of one gram's runs that a bucket takes
+BUCKET = 1 << 20  # bytes of runs that a bucket should hold
 SLICE = 100_000  # strings sorted at once
 _BASE = 0xC2B2AE3D27D4EB4F
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -122,13 +121,13 @@ def _run_bytes(span: int):
                     row.append(r)
                     gram.append(x["gram"])
                     place.append(start)
-                    size.append(x["runs"])
+                    size.append(x["load"])
                     data.append(text[start : start + count + span - 1].tobytes())
                 if len(data) > 10_000 or (r == len(opened) - 1 and data):
                     index = pa.array(row)
                     yield pa.RecordBatch.from_arrays(
                         [ids.take(index), th.take(index), pa.array(gram, pa.int64()), pa.array(place, pa.int64()), pa.array(size, pa.int64()), pa.array(data, pa.binary())],
-                        ["id", "th", "gram", "start", "runs", "bytes"],
+                        ["id", "th", "gram", "start", "load", "bytes"],
                     )
                     row, gram, place, size, data = [], [], [], [], []
 
@@ -197,8 +196,13 @@ def _in_suffix_order(span: int, keep_first: bool):
         while first < len(heads):  # slices of whole groups of equal hashes
             last = max(first + 1, int(np.searchsorted(heads, heads[first] + SLICE)))
             part = order[heads[first] : heads[last] if last < len(heads) else len(order)]
-            other, previous = factors(windows[at[part]], part)
-            found[part] = (previous if keep_first else other) >= span
+            if len(part) > SLICE:  # one string that occurs very often: told from others of its hash by its bytes
+                alike = np.concatenate([(windows[at[part[a : a + SLICE]]] == windows[at[part[0]]]).all(axis=1) for a in range(0, len(part), SLICE)])
+                often, part = part[alike], part[~alike]
+                found[often] = often > often.min() if keep_first else len(often) > 1
+            if len(part):
+                other, previous = factors(windows[at[part]], part)
+                found[part] = (previous if keep_first else other) >= span
             first = last
         hit = np.flatnonzero(found)
         base = table["start"].to_numpy()[run_of[hit]] + within[hit]
@@ -315,19 +319,18 @@ def cut_repeats(docs: DataFrame, span: int = SPAN, keep_first: bool = True, char
 
     own = F.struct("id", "th", "place")
     classes = found.groupBy("gram", "content").agg(F.count("*").alias("n"), F.min(own).alias("first"), F.max("tie").alias("tie"))
-    strings = F.col("first.place").bitwiseAND(F.lit((1 << _RUN_BITS) - 1))
-    # the load of a gram: its distinct runs, or its strings in the same measure
-    load = F.greatest(F.count("*"), F.ceil(F.sum(strings) * (MANY / STRINGS)))
-    kinds = classes.groupBy("gram").agg(load.alias("runs"), (F.count("*") > 1).alias("several"))
+    # the load of a gram: the bytes of its distinct runs
+    size = F.col("first.place").bitwiseAND(F.lit((1 << _RUN_BITS) - 1)) + F.lit(span - 1)
+    kinds = classes.groupBy("gram").agg(F.sum(size).alias("load"), (F.count("*") > 1).alias("several"))
     classes = classes.join(kinds, "gram")
     is_open = F.col("several") | F.col("tie")
-    classes = classes.where((F.col("n") > 1) | is_open).select("gram", "content", "n", "first", F.when(is_open, F.col("runs")).alias("runs"))
+    classes = classes.where((F.col("n") > 1) | is_open).select("gram", "content", "n", "first", F.when(is_open, F.col("load")).alias("load"))
     placed = found.drop("tie").join(classes, ["gram", "content"])
     mine = own == F.col("first")
     sure = (F.col("n") > 1) & (F.lit(not keep_first) | ~mine)
     per_text = placed.groupBy("id", "th").agg(
         F.collect_set(F.when(sure, F.col("place"))).alias("known"),  # rows that repeat have equal places
-        F.collect_set(F.when(mine & F.col("runs").isNotNull(), F.struct("gram", "place", "runs"))).alias("open"),
+        F.collect_set(F.when(mine & F.col("load").isNotNull(), F.struct("gram", "place", "load"))).alias("open"),
     )
     per_text = saved(per_text, "rep-per-text")
     dropped(found)
@@ -337,14 +340,13 @@ def cut_repeats(docs: DataFrame, span: int = SPAN, keep_first: bool = True, char
         texts = saved(texts.join(per_text, ["id", "th"]), "rep-texts")
     dropped(per_text)
 
-    opened = texts.where(F.size("open") > 0).select("id", "th", "text", "open").mapInArrow(trimmed(_run_bytes(span)), "id long, th long, gram long, start long, runs long, bytes binary")
+    opened = texts.where(F.size("open") > 0).select("id", "th", "text", "open").mapInArrow(trimmed(_run_bytes(span)), "id long, th long, gram long, start long, load long, bytes binary")
     opened = saved(opened, "rep-open")
-    few = opened.where(F.col("runs") <= MANY)
-    size = few.agg(F.count("*").alias("runs"), F.coalesce(F.sum(F.octet_length("bytes") - (span - 1)), F.lit(0)).alias("strings")).first()
-    buckets = max(size["runs"] // BUCKET, size["strings"] // STRINGS) + 1
+    few = opened.where(F.col("load") <= MANY)
+    buckets = scalar(few.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0)))) // BUCKET + 1
     few = few.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets)))
     spans = few.groupBy("bucket").applyInArrow(trimmed_group(_in_suffix_order(span, keep_first)), "id long, th long, low long, high long")
-    strings = opened.where(F.col("runs") > MANY).mapInArrow(_strings(span), "id long, th long, gram long, hash long, start long")
+    strings = opened.where(F.col("load") > MANY).mapInArrow(_strings(span), "id long, th long, gram long, hash long, start long")
     place = F.struct("id", "th", "start")
     same_string = strings.groupBy("gram", "hash").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
     strings = strings.join(same_string, ["gram", "hash"]).where(F.lit(not keep_first) | (place != F.col("first")))
