@@ -84,6 +84,28 @@ def _counted(rows: list[np.ndarray], words: list[pa.Array], weights: list[np.nda
     return distinct.take(pa.array(order)), ends, key % size, count
 
 
+def _narrow(x: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, byte plane by byte plane: planes of zeros take no room once compressed."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _wide(data) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def _steps(columns: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Columns, which rise within a row, as steps from the one before; a row starts from 0."""
+    out = np.diff(columns, prepend=0)
+    first = ends[:-1][ends[:-1] < ends[1:]]
+    out[first] = columns[first]
+    return out
+
+
+def _columns(steps: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    total = np.r_[0, np.cumsum(steps, dtype=np.int64)]
+    return total[1:] - np.repeat(total[ends[:-1]], np.diff(ends))
+
+
 def _shards(carried: int, measure: Callable[[pa.Array], pa.Array] | None = None):
     """One row for each shard: carried columns as lists, row ends, columns and counts, and the words of the columns."""
 
@@ -106,7 +128,7 @@ def _shards(carried: int, measure: Callable[[pa.Array], pa.Array] | None = None)
         if measure:
             names, carry = [*names, "measure"], [*carry, measure(column)]
         lists = [pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), c) for c in carry]
-        binary = [pa.array([x.tobytes()], pa.binary()) for x in (ends.astype("<i8"), terms.astype("<i4"), count.astype("<u4"))]
+        binary = [pa.array([x], pa.binary()) for x in (ends.astype("<i8").tobytes(), _narrow(_steps(terms, ends)), _narrow(count))]
         return pa.RecordBatch.from_arrays(
             [pa.array([number]), *lists, *binary, pa.array([len(words)], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)],
             ["shard", *names, "ends", "columns", "counts", "n_words", "words"],
@@ -179,9 +201,10 @@ def _with_terms(names: list[str]):
         ids = ids.sort_by("range")
         blocks = [np.int64(k) << 32 | np.frombuffer(x.as_buffer(), "<i4") for k, x in zip(ids["range"].to_pylist(), ids["ids"], strict=True)]
         term = np.concatenate([np.zeros(0, np.int64), *blocks])
-        columns = np.frombuffer(shard["columns"][0].as_buffer(), "<i4")
+        columns = _columns(_wide(shard["columns"][0].as_buffer()), np.frombuffer(shard["ends"][0].as_buffer(), "<i8"))
+        counts = _wide(shard["counts"][0].as_buffer())
         out = {name: shard[name] for name in ["shard", *names, "ends"]}
-        return pa.table({**out, "terms": pa.array([term[columns].tobytes()], pa.binary()), "counts": shard["counts"]})
+        return pa.table({**out, "terms": pa.array([term[columns].tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
 
     return run
 
