@@ -35,3 +35,8 @@ def test_usual_splits_leave_larger_ones(spark):
             assert session.split_bytes(spark) == size
             with session.usual_splits(spark):
                 assert session.split_bytes(spark) == size
+
+
+def test_wide_rows_run_in_compiled_methods(spark):
+    """A method beyond this size is run by the JVM's interpreter for good."""
+    assert int(session.configure(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
