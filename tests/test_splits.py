@@ -40,3 +40,10 @@ def test_usual_splits_leave_larger_ones(spark):
 def test_wide_rows_run_in_compiled_methods(spark):
     """A method beyond this size is run by the JVM's interpreter for good."""
     assert int(session.configure(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_unpivot_calls_no_function_on_the_map(spark):
+    df = spark.range(2).select("id", semistruct.build_map({"known": F.lit("1"), "x": F.lit("2"), "y": F.lit(None)}).alias("m"))
+    got = semistruct.unpivot_numeric(df, F.col("m"), ["id"], ["known"])
+    assert sorted((r.id, r.defect_name, int(r.defect_value)) for r in got.collect()) == [(0, "x", 2), (1, "x", 2)]
+    assert "map_filter" not in got._jdf.queryExecution().optimizedPlan().toString()
