@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace import session
 from millrace.llm import mixing, near_dup, packing, quality, repeats
-from millrace.llm.common import dropped, remove, saved, scratch_scope, tables_read
+from millrace.llm.common import dropped, release, remove, saved, scratch_scope, tables_read
 
 
 def _stage(function):
@@ -27,8 +27,10 @@ def _stage(function):
 
     @wraps(function)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        with scratch_scope() as made:
-            out = function(session.configure(spark), docs, sf_dir)
+        # the driver keeps the text of every plan and of each of its versions
+        with scratch_scope() as made, session.conf_set(session.configure(spark), spark__sql__maxPlanStringLength="2000"):
+            out = function(spark, docs, sf_dir)
+        release()
         out.tables = tables_read(out, made)
         for path in made:
             if path not in out.tables and session.path_exists(spark, path):
