@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from contextlib import contextmanager
 from functools import wraps
 
@@ -27,9 +28,25 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     out.scratch = path
     for scope in _scopes[-1:]:
         scope.append(path)
+        relieve(df.sparkSession)
     return out
 
 
+HEAP_SHARE = 0.5  # of the driver's heap that may be taken before its garbage is collected
+
+
+def relieve(spark: SparkSession) -> None:
+    """Let a driver that has taken much of its heap collect its garbage and give memory back.
+
+    A job of many small queries leaves plans, metrics and broadcasts behind, and the heap grows
+    to its limit before the JVM gives any of it back. Collected plans also free their shuffle files.
+    """
+    runtime = spark._jvm.java.lang.Runtime.getRuntime()
+    if runtime.totalMemory() > HEAP_SHARE * runtime.maxMemory():
+        gc.collect()  # frames that only Python still holds keep their plans alive
+        runtime.gc()
+
+
 def dropped(*frames: DataFrame) -> None:
     """Delete tables made by ``saved`` that nothing reads any more."""
     for df in frames:

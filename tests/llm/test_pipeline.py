@@ -8,7 +8,7 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import quality, repeats
+from millrace.llm import common, quality, repeats
 
 SF = "/root/testdata/sf0.001"
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -126,3 +126,16 @@ def test_stages_take_odd_tables(spark, rows, tmp_path):
         if k == 1 and len(rows) > 3:
             assert [r["doc_id"] for r in docs.collect()] == [1]
     assert repeats.SPAN == 200
+
+
+def test_steps_of_a_stage_leave_no_garbage_on_a_full_driver(spark, monkeypatch):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    whole = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    with common.scratch_scope() as made:
+        for share, more in ((2.0, 0), (0.0, 1)):
+            monkeypatch.setattr(common, "HEAP_SHARE", share)
+            before = whole()
+            assert common.saved(spark.range(3), "relieved").count() == 3
+            assert whole() - before == more
+    for path in made:
+        common.remove(spark, path)
