@@ -1,6 +1,7 @@
 """Tables and results that are kept up: sales tables by load, the change report, the recovery queue, side-by-side jobs."""
 
 import datetime as dt
+import re
 import threading
 import time
 from collections import Counter
@@ -91,6 +92,64 @@ def test_items_wait_for_their_header(spark, tmp_path):
     assert reports.date_changes(tables, "900", day).count() == 1
 
 
+def test_a_load_runs_its_frames_once(spark, tmp_path):
+    """Items and the join for their months are not run again for the sketch; purchase orders are written as they come."""
+    header = spark.createDataFrame([("900", "VERKBELEG", f"c{n}", f"d{n}", dt.date(2024, 1, 1 + n)) for n in range(9)], "mandant string, objectclas string, changenr string, objectid string, udate date")
+    item = spark.createDataFrame([(f"c{n}", f"d{n}", "VBEP", "EDATU", "k", None, "20240203") for n in range(9)], "changenr string, objectid string, tabname string, fname string, tabkey string, value_old string, value_new string")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(number):
+        seen.add(1)
+        return number
+
+    counted = counted.asNondeterministic()
+    order = spark.range(0, 30, 1, 3).select(F.concat(F.lit("45"), F.col("id")).alias("ebeln"), F.lit("00010").alias("ebelp"), F.lit("0001").alias("etenr"), F.lit(dt.date(2024, 1, 1)).alias("eindt"))
+    stored = sales.SalesTables(spark, str(tmp_path), parts=4)
+    stored.append("a", {"cdhdr": header, "cdpos": item.withColumn("objectid", counted("objectid")), "eket": order})
+    assert seen.value == 9
+    assert rows(stored.read("cdpos").select(*item.columns)) == rows(item) and rows(stored.read("eket")) == rows(order)
+    assert len(files_of(stored.read("eket"))) == 3
+    hot = stored.hot_keys(rows_per_key=0)
+    assert hot == {"document": [f"d{n}" for n in range(9)], "order": sorted(f"45{n}" for n in range(30))}
+
+
+def _report_tables(spark, documents):
+    make = lambda lines, schema: spark.createDataFrame([x for d in documents for x in lines(d)], schema)
+    day, line = dt.date(2001, 7, 20), lambda d: [(d, p) for p in ("000010", "000020")]
+    return {
+        "vbap": make(lambda d: [("900", *k, "M", f"text {d}", "part", "ref", "org") for k in line(d)], "mandt string, vbeln string, posnr string, matnr string, arktx string, kdmat string, bstkd_ana string, berid string"),
+        "vbep": make(lambda d: [("900", *k, "0001", day, day) for k in line(d)], "mandt string, vbeln string, posnr string, etenr string, req_dlvdate date, edatu date"),
+        "vbpa": make(lambda d: [("900", d, "000000", r, f"bp {d}", "a1", "DE") for r in ("AG", "ZR")], "mandt string, vbeln string, posnr string, parvw string, assigned_bp string, adrnr string, land1 string"),
+        "vbfa": make(lambda d: [("900", *k, f"45{d}", k[1], "C", "V") for k in line(d)], "mandt string, vbelv string, posnv string, vbeln string, posnn string, vbtyp_v string, vbtyp_n string"),
+        "cdhdr": make(lambda d: [("900", "VERKBELEG", f"c{d}", d, day)], "mandant string, objectclas string, changenr string, objectid string, udate date"),
+        "cdpos": make(lambda d: [(f"c{d}", d, "VBEP", "EDATU", f"900{d or '':>10}{p}0001", "20010701", "20010801") for _, p in line(d)], "changenr string, objectid string, tabname string, fname string, tabkey string, value_old string, value_new string"),
+        "adrc": spark.createDataFrame([("900", "a1", "name")], "client string, addrnumber string, name1 string"),
+    }
+
+
+def test_a_long_list_of_documents_filters_inside_the_partitioning(spark, tmp_path, monkeypatch):
+    tables = _report_tables(spark, [*"abcd", None])
+    whole = reports.change_rows(tables, "900", queries.AS_OF, hot={})
+    assert whole.select("vbeln").distinct().count() == 4
+    only = spark.createDataFrame([("a",), ("c",), ("x",)], "document string")
+    for hot in ({}, {"document": ["a", "b"]}):
+        assert rows(reports.change_rows(tables, "900", queries.AS_OF, hot=hot, only=only)) == rows(whole.where("vbeln IN ('a', 'c')"))
+    with session.conf_set(session.configure(spark), spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false", spark__sql__maxPlanStringLength="100000000"):
+        plan = reports.change_rows(tables, "900", queries.AS_OF, hot={}, only=only)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") >= 6
+    assert len([x for x in plan.splitlines() if re.search(r"Exchange hashpartitioning\(vbelv?#\d+, \d+\), REPARTITION", x)]) <= 6
+    # a store brought up to date by a long list holds the same report
+    monkeypatch.setattr(reports, "FEW_DOCUMENTS", 0)
+    stored, store = sales.SalesTables(spark, str(tmp_path / "sales"), parts=3), TableStore(spark, str(tmp_path / "tables"))
+    stored.append("day0", {n: t.where("vbeln <> 'c'") if n == "vbpa" else t for n, t in tables.items()})
+    stored.append("day1", {"vbpa": tables["vbpa"].where("vbeln = 'c'")})
+    for load in ("day0", "day1"):
+        reports.refresh_change_report(store, stored, "900", queries.AS_OF, [load])
+    want = whole.select(*[F.col(c).alias(h) for c, h in reports.CHANGE_HEADINGS])
+    assert rows(reports.read_change_report(store, queries.AS_OF)) == rows(want)
+
+
 def _log(spark, lines):
     schema = "system string, dataset string, file_path string, status string, error_flag boolean, run_at timestamp_ntz"
     out = spark.createDataFrame([("S", "d", *x) for x in lines], schema)
