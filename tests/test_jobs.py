@@ -247,6 +247,20 @@ def test_refresh_events(store, stage, incremental):
     assert len(defects_again) == 4
 
 
+def test_rows_of_a_grown_file_are_compared_before_they_are_objects(store, stage, monkeypatch):
+    """An object repeats its keys in every row; only places and texts go through the shuffle."""
+    seen = []
+    insert_new = jobs.merge.insert_new
+    monkeypatch.setattr(jobs.merge, "insert_new", lambda target, source, *a, **b: (seen.append(source), insert_new(target, source, *a, **b))[1])
+    write(stage, FOLDER + "a.csv", "h\n" + wide_line(d01="1"))
+    jobs.refresh_events(store, T1)
+    write(stage, FOLDER + "a.csv", "h\n" + wide_line(d01="9") + wide_line(d02="2"))
+    jobs.refresh_events(store, T2)
+    assert len(seen) == 1 and not any(f.dataType.typeName() == "map" for f in seen[0].schema)
+    raw = {int(r.source_row_number): r.raw_obj for r in store.read(jobs.RAW).collect()}
+    assert raw[1]["T不良_01"] == "1" and raw[2]["T不良_02"] == "2" and len(raw[2]) == 60
+
+
 def test_wide_files_with_bad_lines_load_nothing(store, stage):
     name = FOLDER + "a.csv"
     good = ("h\n" + wide_line(d01="1")).encode("cp932")
