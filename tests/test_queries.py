@@ -50,6 +50,17 @@ def test_query(spark, db, name):
     assert ours
 
 
+def test_wide_queries_keep_no_files_that_nothing_reads(spark):
+    shared = file_queries.session.shared_dir(spark).removeprefix("file:")
+    kept = lambda label: set(glob.glob(f"{shared}/{label}-*"))
+    for name in ("wide_refresh", "stream_refresh", "wide_spoilt"):
+        files, tables = kept("files"), kept("tables")
+        df = QUERIES[name](spark, SF_DIR)
+        assert kept("files") == files, name
+        assert name != "wide_spoilt" or kept("tables") == tables
+        assert df.count()
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
