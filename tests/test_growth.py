@@ -158,6 +158,28 @@ def _log(spark, lines):
     return out.withColumns({**more, "raw": F.lit(None).cast("variant")})
 
 
+def test_parts_are_computed_in_groups(spark, tmp_path, monkeypatch):
+    """Groups of parts leave the report of all parts, seen at once."""
+    assert reports._groups({"p0": 5, "p1": 5, "p2": 1, "p3": 20, "p4": 1}, 10) == [["p0", "p1"], ["p2"], ["p3"], ["p4"]]
+    tables = shapes.erp_tables(spark, SF)
+    stored = sales.SalesTables(spark, str(tmp_path / "sales"), parts=4)
+    stored.append("day0", tables)
+    monkeypatch.setattr(reports, "MOST_DOCUMENTS", 800)
+    written = []
+    save = session.save
+    monkeypatch.setattr(session, "save", lambda df, path, *rest: (written.append(path), save(df, path, *rest)))
+    for few in (reports.FEW_DOCUMENTS, 10):
+        monkeypatch.setattr(reports, "FEW_DOCUMENTS", few)
+        store = TableStore(spark, str(tmp_path / f"tables{few}"))
+        for _ in range(2):
+            assert reports.refresh_change_report(store, stored, queries.CLIENT, queries.AS_OF, ["day0"], queries.WHOLE_HISTORY_DAYS) == 4
+            assert len(store._batch_folders(reports.REPORT)) == 4
+        assert sum(f"tables{few}/{reports.REPORT}" in w for w in written) > 2
+        whole = reports.delivery_change_report(tables, queries.CLIENT, queries.AS_OF, queries.WHOLE_HISTORY_DAYS, hot={})
+        assert rows(reports.read_change_report(store, queries.AS_OF, queries.WHOLE_HISTORY_DAYS)) == rows(whole)
+    session.configure(spark)
+
+
 def test_kept_queue_equals_a_rebuild(spark, tmp_path):
     hour = lambda h: NOW + dt.timedelta(hours=h)
     batches = {
