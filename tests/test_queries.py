@@ -50,14 +50,15 @@ def test_query(spark, db, name):
     assert ours
 
 
-def test_wide_queries_keep_no_files_that_nothing_reads(spark):
-    shared = file_queries.session.shared_dir(spark).removeprefix("file:")
-    kept = lambda label: set(glob.glob(f"{shared}/{label}-*"))
+def test_wide_queries_keep_no_files_that_nothing_reads(spark, monkeypatch):
+    made, scratch_path = [], file_queries.session.scratch_path
+    monkeypatch.setattr(file_queries.session, "scratch_path", lambda *a: (made.append(scratch_path(*a)), made[-1])[1])
     for name in ("wide_refresh", "stream_refresh", "wide_spoilt"):
-        files, tables = kept("files"), kept("tables")
+        made.clear()
         df = QUERIES[name](spark, SF_DIR)
-        assert kept("files") == files, name
-        assert name != "wide_spoilt" or kept("tables") == tables
+        left = {os.path.basename(p).split("-")[0] for p in made if file_queries.session.path_exists(spark, p)}
+        assert "files" not in left, name
+        assert name != "wide_spoilt" or "tables" not in left
         assert df.count()
 
 
